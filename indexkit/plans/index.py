@@ -43,6 +43,12 @@ def global_rank(df: DataFrame, col: str, out: str, kind: str, descending: bool,
                        nulls_first=False if descending else True, kind=kind)
 
 
+def detect_mode(scores: DataFrame, col: str = "AI_EXPOSURE_SCORE") -> str:
+    """Dataset-global mode: real scores if any score row exists.  A bounded
+    probe (LIMIT 1 with the filter pushed to the scan), not a full pass."""
+    return PLACEHOLDER if scores.filter(F.col(col).isNotNull()).isEmpty() else REAL
+
+
 def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT_MIN_COVERAGE,
                 mode: str | DataFrame | None = None, bands: Sequence = WAGE_BANDS,
                 weight_scale: int = 2, value_scale: int = 4, norm_range=(1.0, 5.0),
@@ -62,10 +68,8 @@ def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT
                        weight_scale, value_scale, norm_range)
     a = base.join(roll, "OCC_CODE", "left")
     if mode is None:
-        mode_df = roll.agg(F.when(F.max("any_score") == 1, F.lit(REAL))
-                           .otherwise(F.lit(PLACEHOLDER)).alias("EXPOSURE_MODE"))
-        a = a.crossJoin(F.broadcast(mode_df))
-    elif isinstance(mode, DataFrame):
+        mode = detect_mode(tasks)
+    if isinstance(mode, DataFrame):
         a = a.crossJoin(F.broadcast(mode.select("EXPOSURE_MODE").limit(1)))
     else:
         a = a.withColumn("EXPOSURE_MODE", F.lit(mode))

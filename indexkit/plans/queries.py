@@ -24,3 +24,38 @@ def occupation_index_df(spark: SparkSession, sf_dir: str, scaled_rank: bool = Tr
        ids=("D17", "P17", "P18", "P19", "W01", "W03", "J04", "J06", "J10", "A01", "A02", "A03", "A04"))
 def q_occupation_index(spark, sf_dir):
     return occupation_index_df(spark, sf_dir)
+
+
+def _axes(spark, sf_dir):
+    idx = occupation_index_df(spark, sf_dir)
+    return idx, ix.axis_industry(S.industry_slice(spark, sf_dir), idx), \
+        ix.axis_region(S.region_slice(spark, sf_dir), idx)
+
+
+@query("axis_industry", O.axis_industry_sql(), ids=("A05", "A10", "A11", "J05", "W03", "D18", "D19"))
+def q_axis_industry(spark, sf_dir):
+    return ix.axis_industry(S.industry_slice(spark, sf_dir), occupation_index_df(spark, sf_dir))
+
+
+@query("axis_region", O.axis_region_sql(), ids=("A06", "W04", "J05", "P07", "D20", "D21"))
+def q_axis_region(spark, sf_dir):
+    return ix.axis_region(S.region_slice(spark, sf_dir), occupation_index_df(spark, sf_dir))
+
+
+@query("axis_wage_band", O.axis_wage_band_sql(), ids=("A07", "J13", "D22"))
+def q_axis_wage_band(spark, sf_dir):
+    return ix.axis_wage_band(occupation_index_df(spark, sf_dir))
+
+
+@query("axis_long", O.axis_long_sql(), ids=("U01", "D23"))
+def q_axis_long(spark, sf_dir):
+    idx, ind, reg = _axes(spark, sf_dir)
+    return ix.axis_long(ind, reg, ix.axis_wage_band(idx))
+
+
+@query("axis_explorer", f"""
+SELECT * FROM ({O.axis_long_sql()}) a WHERE AXIS_TYPE = 'REGION' AND GRANULARITY = 'State'
+ORDER BY AI_EXPOSURE DESC NULLS LAST, AXIS_KEY LIMIT 10""", ids=("T06",))
+def q_axis_explorer(spark, sf_dir):
+    idx, ind, reg = _axes(spark, sf_dir)
+    return ix.axis_explorer(ix.axis_long(ind, reg, ix.axis_wage_band(idx)), "REGION", "State", 10)
