@@ -147,24 +147,30 @@ def placeholder_index(tasks: DataFrame, key: str = "OCC_CODE", weight: str = "IM
                     F.lit("PLACEHOLDER_ONET_IMPORTANCE_PROXY").alias("SCORE_SOURCE"))
 
 
-def ratio_of_sums(df: DataFrame, keys: Sequence[str], num: str, den: str,
-                  digits: int = 4, num_scale: int = 4, order_by: str | None = None) -> DataFrame:
-    """ROUND(SUM(num) / NULLIF(SUM(den), 0), digits) per key, with row count
-    and the denominator total; optional MIN(order_by) for ordering."""
+def ratio_of_sums(df: DataFrame, keys: Sequence[str], value: str, weight: str,
+                  digits: int = 4, value_scale: int = 4, order_by: str | None = None) -> DataFrame:
+    """ROUND(SUM(value * weight) / NULLIF(SUM(weight), 0), digits) per key (a
+    NULL value adds nothing to the numerator but its weight still counts),
+    with row count and the weight total; optional MIN(order_by) as ``_ord``."""
+    w = F.col(weight).cast("bigint")
     aggs = [F.count(F.lit(1)).alias("occupations"),
-            F.sum(F.col(den).cast("bigint")).alias("total_employment"),
-            F.sum(units(num, num_scale)).alias("_n")]
+            F.sum(w).alias("total_employment"),
+            F.sum(units(value, value_scale) * w).alias("_n")]
     if order_by:
         aggs.append(F.min(order_by).alias("_ord"))
     g = df.groupBy(*keys).agg(*aggs)
     return g.withColumn(
         "emp_weighted_exposure",
-        exact_ratio(F.col("_n"), F.col("total_employment") * F.lit(10 ** num_scale), digits)).drop("_n")
+        exact_ratio(F.col("_n"), F.col("total_employment") * F.lit(10 ** value_scale), digits)).drop("_n")
 
 
 def mean_abs_diff(a: DataFrame, b: DataFrame, key: str, col_a: str, col_b: str,
-                  digits: int = 6) -> DataFrame:
-    """Weight sensitivity: mean |a - b| over keys present in both, 1 row."""
-    j = a.select(key, F.col(col_a).alias("_a")).join(b.select(key, F.col(col_b).alias("_b")), key)
-    return j.agg(F.round(F.avg(F.abs(F.col("_a") - F.col("_b"))), digits).alias("mean_abs_diff"),
+                  digits: int = 6, value_scale: int = 4) -> DataFrame:
+    """Weight sensitivity: mean |a - b| over keys where both are present
+    (exact: values carry <= value_scale decimals), one row."""
+    j = a.select(key, units(col_a, value_scale).alias("_a")).join(
+        b.select(key, units(col_b, value_scale).alias("_b")), key)
+    j = j.filter(F.col("_a").isNotNull() & F.col("_b").isNotNull())
+    return j.agg(exact_ratio(F.sum(F.abs(F.col("_a") - F.col("_b"))),
+                             F.count(F.lit(1)) * F.lit(10 ** value_scale), digits).alias("mean_abs_diff"),
                  F.count(F.lit(1)).alias("n"))
