@@ -55,15 +55,19 @@ def rank_window(df: DataFrame, col: str, out: str = "rank", descending: bool = F
 
 def value_ranks(df: DataFrame, col: str, descending: bool = False,
                 nulls_first: bool | None = None, buckets: int = DEFAULT_BUCKETS,
-                accuracy: int = 10000) -> DataFrame:
-    """One row per distinct value of ``col`` (NULL included) with
-    ``_rank``, ``_n`` (rows in the ranking) and ``_cnt`` (rows with the value)."""
+                accuracy: int = 10000, partition_by=()) -> DataFrame:
+    """One row per distinct (partition, value) of ``col`` (NULL included)
+    with ``_rank``, ``_n`` (rows in the partition) and ``_cnt`` (rows with
+    the value).  Buckets are global value ranges; with ``partition_by`` the
+    running sums restart per partition key, so a hot partition key is spread
+    over all buckets instead of one task."""
     if nulls_first is None:
         nulls_first = not descending
+    parts = list(partition_by)
     v = F.col(col)
-    g = df.groupBy(v.alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
+    g = df.groupBy(*parts, v.alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
 
-    totals = g.agg(
+    totals = g.groupBy(*parts).agg(
         F.sum("_cnt").alias("_n"),
         F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_cnt"))), F.lit(0)).alias("_nulls"),
     )
@@ -73,35 +77,41 @@ def value_ranks(df: DataFrame, col: str, descending: bool = False,
     nn = nn.crossJoin(F.broadcast(bounds)).withColumn(
         "_bucket", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
 
-    # rows with a strictly smaller value inside the bucket
-    w_in = (Window.partitionBy("_bucket").orderBy(F.col("_v").asc())
+    # rows with a strictly smaller value inside the (partition, bucket)
+    w_in = (Window.partitionBy(*parts, "_bucket").orderBy(F.col("_v").asc())
             .rowsBetween(Window.unboundedPreceding, -1))
     nn = nn.withColumn("_less_in", F.coalesce(F.sum("_cnt").over(w_in), F.lit(0)))
-    # bucket offsets: prefix sums over at most `buckets` rows
-    bt = nn.groupBy("_bucket").agg(F.sum("_cnt").alias("_bcnt"))
+    # bucket offsets: prefix sums over at most partitions x buckets rows
+    bt = nn.groupBy(*parts, "_bucket").agg(F.sum("_cnt").alias("_bcnt"))
     w_b = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    if parts:
+        w_b = w_b.partitionBy(*parts)
     bt = bt.withColumn("_boff", F.coalesce(F.sum("_bcnt").over(w_b), F.lit(0))).drop("_bcnt")
-    nn = nn.join(F.broadcast(bt), "_bucket").crossJoin(F.broadcast(totals))
+    nn = nn.join(bt, [*parts, "_bucket"])
+    nn = nn.join(totals, parts) if parts else nn.crossJoin(F.broadcast(totals))
 
     less = F.col("_boff") + F.col("_less_in")          # non-null rows before v (ascending)
     nonnull = F.col("_n") - F.col("_nulls")
     before = (nonnull - less - F.col("_cnt")) if descending else less
     if nulls_first:
         before = before + F.col("_nulls")
-    ranked_nn = nn.select("_v", "_cnt", "_n", (before + 1).alias("_rank"))
+    ranked_nn = nn.select(*parts, "_v", "_cnt", "_n", (before + 1).alias("_rank"))
 
-    nul = g.filter(F.col("_v").isNull()).crossJoin(F.broadcast(totals))
+    nul = g.filter(F.col("_v").isNull())
+    nul = nul.join(totals, parts) if parts else nul.crossJoin(F.broadcast(totals))
     null_rank = F.lit(1).cast("bigint") if nulls_first else (F.col("_n") - F.col("_nulls") + 1)
-    ranked_null = nul.select("_v", "_cnt", "_n", null_rank.alias("_rank"))
+    ranked_null = nul.select(*parts, "_v", "_cnt", "_n", null_rank.alias("_rank"))
     return ranked_nn.unionByName(ranked_null)
 
 
 def rank_scaled(df: DataFrame, col: str, out: str = "rank", descending: bool = False,
                 nulls_first: bool | None = None, kind: str = "rank",
-                buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Global rank / percent_rank / average rank of ``col`` without a
-    single-partition window.  Equals the plain window on every row."""
-    vr = value_ranks(df, col, descending, nulls_first, buckets)
+                buckets: int = DEFAULT_BUCKETS, partition_by=()) -> DataFrame:
+    """Global (or per ``partition_by``) rank / percent_rank / average rank of
+    ``col`` without a single-partition window.  Equals the plain window on
+    every row."""
+    parts = list(partition_by)
+    vr = value_ranks(df, col, descending, nulls_first, buckets, partition_by=parts)
     r = F.col("_rank")
     if kind == "rank":
         expr = r.cast("int")
@@ -112,9 +122,12 @@ def rank_scaled(df: DataFrame, col: str, out: str = "rank", descending: bool = F
         expr = r.cast("double") + (F.col("_cnt") - 1).cast("double") / 2.0
     else:
         raise ValueError(f"unknown rank kind {kind!r}")
-    vr = vr.select(F.col("_v"), expr.alias(out))
-    joined = df.join(vr, df[col].eqNullSafe(vr["_v"]), "left")
-    return joined.drop("_v")
+    vr = vr.select(*[F.col(p).alias(f"_p_{p}") for p in parts], F.col("_v"), expr.alias(out))
+    cond = df[col].eqNullSafe(vr["_v"])
+    for p in parts:
+        cond = cond & df[p].eqNullSafe(vr[f"_p_{p}"])
+    joined = df.join(vr, cond, "left")
+    return joined.drop("_v", *[f"_p_{p}" for p in parts])
 
 
 def percent_rank_scaled(df: DataFrame, col: str, out: str = "percent_rank",
