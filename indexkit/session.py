@@ -35,6 +35,9 @@ def get_spark(app: str = "indexkit", master: str | None = None,
     conf = dict(DEFAULT_CONF)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if master and master.startswith("local"):
+        # local mode: the driver JVM is the only executor
+        conf.setdefault("spark.driver.memory", "16g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
