@@ -49,9 +49,10 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], schema: Struc
     return df.select(*cols)
 
 
-def tag_year_from_file(df: DataFrame, col: str = "DATA_YEAR", pattern: str = r"(\d{4})") -> DataFrame:
-    """Stamp the 4-digit year found in each row's source file name."""
-    return df.withColumn(col, F.regexp_extract(F.col("_metadata.file_name"), pattern, 1).cast("int"))
+def tag_year_from_file(df: DataFrame, col: str = "DATA_YEAR", pattern: str = r"(\d{4})",
+                       source: str = "file_name") -> DataFrame:
+    """Stamp the year found in each row's source file name (or full path)."""
+    return df.withColumn(col, F.regexp_extract(F.col(f"_metadata.{source}"), pattern, 1).cast("int"))
 
 
 def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
