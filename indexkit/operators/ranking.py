@@ -27,6 +27,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 DEFAULT_BUCKETS = 64
+# Inputs whose estimated size is at most this many bytes are ranked with the
+# plain window (one task sorts a bounded amount); larger ones take the
+# distributed path.  Session conf ``indexkit.rank.singleTaskMaxBytes``.
+SINGLE_TASK_MAX_BYTES = 64 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimized plan (an upper bound for
+    scans, projections, filters and aggregates; no job runs)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def single_task_limit(df: DataFrame) -> int:
+    v = df.sparkSession.conf.get("indexkit.rank.singleTaskMaxBytes", None)
+    return int(v) if v else SINGLE_TASK_MAX_BYTES
 
 
 def _order(c: Column, descending: bool, nulls_first: bool) -> Column:
@@ -130,6 +145,19 @@ def rank_scaled(df: DataFrame, col: str, out: str = "rank", descending: bool = F
     return joined.drop("_v", *[f"_p_{p}" for p in parts])
 
 
+def rank_auto(df: DataFrame, col: str, out: str = "rank", descending: bool = False,
+              nulls_first: bool | None = None, kind: str = "rank", size_hint: DataFrame | None = None,
+              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+    """Plain window when the ranked relation is provably small (size of
+    ``size_hint`` – e.g. the scan that fixes the row count – or of ``df``
+    itself is within the single-task limit), distributed rank otherwise."""
+    probe = size_hint if size_hint is not None else df
+    if estimated_bytes(probe) <= single_task_limit(df):
+        return rank_window(df, col, out, descending=descending, nulls_first=nulls_first, kind=kind)
+    return rank_scaled(df, col, out, descending=descending, nulls_first=nulls_first, kind=kind,
+                       buckets=buckets)
+
+
 def percent_rank_scaled(df: DataFrame, col: str, out: str = "percent_rank",
                         buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     return rank_scaled(df, col, out, kind="percent_rank", buckets=buckets)

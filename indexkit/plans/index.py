@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from indexkit.functions.bands import WAGE_BANDS, band_case, band_order_case
 from indexkit.functions.numeric import div0
-from indexkit.operators.ranking import rank_scaled, rank_window
+from indexkit.operators.ranking import rank_auto, rank_scaled, rank_window
 from indexkit.operators.rollup import task_rollup, weighted_rollup
 
 REAL = "REAL_TASK_SCORE"
@@ -35,7 +35,12 @@ INDEX_COLUMNS = [
 
 
 def global_rank(df: DataFrame, col: str, out: str, kind: str, descending: bool,
-                scaled: bool) -> DataFrame:
+                scaled: bool | str, size_hint: DataFrame | None = None) -> DataFrame:
+    """scaled: True (distributed), False (plain window) or "auto" (by the
+    estimated size of ``size_hint``)."""
+    if scaled == "auto":
+        return rank_auto(df, col, out, descending=descending,
+                         nulls_first=False if descending else True, kind=kind, size_hint=size_hint)
     if scaled:
         return rank_scaled(df, col, out, descending=descending,
                            nulls_first=False if descending else True, kind=kind)
@@ -52,7 +57,7 @@ def detect_mode(scores: DataFrame, col: str = "AI_EXPOSURE_SCORE") -> str:
 def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT_MIN_COVERAGE,
                 mode: str | DataFrame | None = None, bands: Sequence = WAGE_BANDS,
                 weight_scale: int = 2, value_scale: int = 4, norm_range=(1.0, 5.0),
-                scaled_rank: bool = True) -> DataFrame:
+                scaled_rank: bool | str = "auto") -> DataFrame:
     """OCCUPATION_EXPOSURE_FACT (index form, 21 columns).
 
     base  : OCC_CODE, OCC_TITLE, O_GROUP, TOT_EMP, A_MEAN, A_MEDIAN (one row
@@ -98,23 +103,26 @@ def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT
         F.col("placeholder_exposure").alias("PLACEHOLDER_EXPOSURE"),
     )
     r = a.filter(F.col("A_MEDIAN").isNotNull())
-    r = global_rank(r, "A_MEDIAN", "WAGE_PERCENTILE", "percent_rank", False, scaled_rank)
-    r = global_rank(r, "AI_EXPOSURE", "EXPOSURE_RANK", "rank", True, scaled_rank)
+    # the fact has one row per base occupation: the base scan bounds its size
+    r = global_rank(r, "A_MEDIAN", "WAGE_PERCENTILE", "percent_rank", False, scaled_rank, base)
+    r = global_rank(r, "AI_EXPOSURE", "EXPOSURE_RANK", "rank", True, scaled_rank, base)
     r = r.withColumn("WEIGHTED_EXPOSURE", F.col("AI_EXPOSURE") * F.col("TOT_EMP"))
     r = r.withColumn("WAGE_BAND", band_case("WAGE_PERCENTILE", bands))
     return r.select(*INDEX_COLUMNS)
 
 
 def build_placeholder_fact(base: DataFrame, placeholder: DataFrame, bands: Sequence = WAGE_BANDS,
-                           scaled_rank: bool = True, extra: Sequence[str] = ()) -> DataFrame:
+                           scaled_rank: bool | str = "auto", extra: Sequence[str] = ()) -> DataFrame:
     """OCCUPATION_EXPOSURE_FACT, placeholder form: national occupations with
     the importance proxy, wage percentile, band and exposure rank.  The rank
     puts NULL exposures first (DESC without NULLS, as the warehouse script
     left it implicit; see the README)."""
     e = base.join(placeholder.select("OCC_CODE", "AI_EXPOSURE", "SCORE_SOURCE"), "OCC_CODE", "left")
     r = e.filter(F.col("A_MEDIAN").isNotNull())
-    r = global_rank(r, "A_MEDIAN", "WAGE_PERCENTILE", "percent_rank", False, scaled_rank)
-    if scaled_rank:
+    r = global_rank(r, "A_MEDIAN", "WAGE_PERCENTILE", "percent_rank", False, scaled_rank, base)
+    if scaled_rank == "auto":
+        r = rank_auto(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True, size_hint=base)
+    elif scaled_rank:
         r = rank_scaled(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True)
     else:
         r = rank_window(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True)

@@ -14,7 +14,7 @@ from indexkit.plans import standins as S
 from indexkit.plans.registry import query
 
 
-def occupation_index_df(spark: SparkSession, sf_dir: str, scaled_rank: bool = True) -> DataFrame:
+def occupation_index_df(spark: SparkSession, sf_dir: str, scaled_rank: bool | str = "auto") -> DataFrame:
     return ix.build_index(S.base_occupations(spark, sf_dir), S.task_statements(spark, sf_dir),
                           weight_scale=S.WEIGHT_SCALE, value_scale=S.VALUE_SCALE,
                           norm_range=S.NORM_RANGE, scaled_rank=scaled_rank)
