@@ -34,7 +34,8 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
                     labels: Sequence[str] = (), coverage_metric: str | None = None,
                     digits: int = 4, value_scale: int = 4, weight_scale: int = 0,
                     total_name: str = "TOTAL_EMP", count_name: str = "OCC_COUNT",
-                    coverage_name: str = "EMP_COVERAGE", label_agg=F.min) -> DataFrame:
+                    coverage_name: str = "EMP_COVERAGE", label_agg=F.min,
+                    coverage_digits: int | None = None) -> DataFrame:
     """Per key: total weight, row count, weighted coverage and one weighted
     mean per metric (Σ w·v / Σ w over rows where v is present).
 
@@ -60,7 +61,7 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
     if weight_scale:
         total = exact_ratio(total, F.lit(10 ** weight_scale), weight_scale)
     out = [*keys, *labels, total.alias(total_name), F.col(count_name),
-           div0("_ws", "_wt", digits).alias(coverage_name)]
+           div0("_ws", "_wt", digits if coverage_digits is None else coverage_digits).alias(coverage_name)]
     for m in metrics:
         out.append(exact_ratio(F.col(f"_n_{m}"), F.col(f"_d_{m}") * F.lit(10 ** value_scale),
                                digits).alias(m))
