@@ -21,7 +21,7 @@ IDX = f"({O.occupation_index_sql()})"
 
 # ------------------------------------------------------------ profiles
 
-@query("value_counts", "SELECT p_brand, COUNT(*) AS n FROM part GROUP BY p_brand", ids=("A17",))
+@query("value_counts", "SELECT p_brand, COUNT(*) AS n FROM part GROUP BY p_brand", ids=("A17", "D27"))
 def q_value_counts(spark, sf_dir):
     return PR.value_counts(S.read(spark, sf_dir, "part"), "p_brand")
 
@@ -42,7 +42,7 @@ b AS (SELECT least(CAST(floor((v - lo) / w) AS INTEGER), 19) AS bin FROM v, w),
 c AS (SELECT bin, COUNT(*) AS n FROM b GROUP BY bin)
 SELECT r.bin, w.lo + r.bin * w.w AS bin_lo, CAST(coalesce(c.n, 0) AS BIGINT) AS n
 FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(20)) r CROSS JOIN w LEFT JOIN c ON r.bin = c.bin""",
-       ids=("A18",))
+       ids=("A18", "D27"))
 def q_histogram(spark, sf_dir):
     return PR.histogram(S.read(spark, sf_dir, "lineitem"), "l_extendedprice", 20)
 
@@ -74,7 +74,7 @@ FROM (
   SELECT 4, 'detailed occupations', s4, s0 FROM c)"""
 
 
-@query("funnel", FUNNEL_SQL, ids=("A20",))
+@query("funnel", FUNNEL_SQL, ids=("A20", "D27"))
 def q_funnel(spark, sf_dir):
     o = S.oews_like(spark, sf_dir)
     return PR.funnel(o, _funnel_steps(REL.max_value(o, "DATA_YEAR")))
@@ -88,7 +88,7 @@ SELECT (SELECT COUNT(DISTINCT OCC_CODE) FROM ({OEWS_SQL}) o
        (SELECT COUNT(*) FROM lineitem) AS task_statements,
        (SELECT {O.ratio("COUNT_IF(EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey)) * 100",
                         "COUNT(*)", 0)} FROM part) AS match_pct,
-       (SELECT COUNT(DISTINCT year(o_orderdate)) FROM orders) AS data_years""", ids=("A29", "J12"))
+       (SELECT COUNT(DISTINCT year(o_orderdate)) FROM orders) AS data_years""", ids=("A29", "J12", "D27"))
 def q_kpis(spark, sf_dir):
     o = S.oews_like(spark, sf_dir)
     det = REL.slice_where(o, AREA_TYPE="1", I_GROUP="cross-industry", OWN_CODE="1235", O_GROUP="detailed")

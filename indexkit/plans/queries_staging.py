@@ -208,3 +208,52 @@ def q_vw_region_occupation(spark, sf_dir):
                       ["GRANULARITY", "AREA", "AREA_TITLE", "STATE"])
     return d.select("GRANULARITY", "AREA", "AREA_TITLE", "STATE", "OCC_CODE", "AREA_OCC_EMP", "AI_EXPOSURE",
                     "AUTOMATION", "AUGMENTATION", "SCORE_STATUS", "EXPOSURE_MODE")
+
+
+def _land_oews(spark, sf_dir):
+    """Line items exported as 32-column OEWS-shaped text, one folder per
+    year, with thousands separators, '#' wages and the '00-0000' total row;
+    landed with one glob read and the year taken from the path."""
+    from indexkit.functions.clean import OEWS_NULL_TOKENS
+    from indexkit.schemas import OEWS_COLUMNS, OEWS_SCHEMA
+    root = I.work_dir(spark, "oews")
+    li = S.read(spark, sf_dir, "lineitem")
+    o = S.read(spark, sf_dir, "orders")
+    c = S.read(spark, sf_dir, "customer")
+    j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
+    vals = {
+        "AREA": F.col("c_nationkey").cast("string"), "AREA_TITLE": F.lit("area"),
+        "AREA_TYPE": F.left(F.col("o_orderpriority"), F.lit(1)), "PRIM_STATE": F.lit("XX"),
+        "NAICS": F.col("c_mktsegment"), "NAICS_TITLE": F.lower("c_mktsegment"),
+        "I_GROUP": F.when(F.col("o_orderstatus") == "F", F.lit("Cross-Industry")).otherwise(F.lit("sector")),
+        "OWN_CODE": F.when(F.col("l_returnflag") == "N", F.lit("1235")).otherwise(F.lit("5")),
+        "OCC_CODE": F.when(F.col("l_partkey") == 0, F.lit("00-0000"))
+                     .otherwise(F.lpad(F.col("l_partkey").cast("string"), 7, "0")),
+        "OCC_TITLE": F.lit("title, with comma"),
+        "O_GROUP": F.when(F.col("l_linestatus") == "O", F.lit("broad")).otherwise(F.lit("Detailed")),
+        "TOT_EMP": F.format_number(F.col("l_quantity") * 1000, 0),
+        "A_MEDIAN": F.when(F.col("l_returnflag") == "R", F.lit("#")).otherwise(F.format_number("l_extendedprice", 2)),
+    }
+    text = j.select(*[(vals[n] if n in vals else F.lit("*")).alias(n) for n in OEWS_COLUMNS],
+                    F.year("o_orderdate").alias("yr"))
+    text.write.mode("overwrite").partitionBy("yr").option("header", True).csv(root)
+    raw = I.read_delimited(spark, os.path.join(root, "yr=*", "*.csv"), OEWS_SCHEMA, tokens=OEWS_NULL_TOKENS,
+                           keep_corrupt=False)
+    return I.tag_year_from_file(raw, source="file_path", pattern=r"yr=(\d{4})")
+
+
+@query("staging_oews", """
+SELECT CAST(year(o_orderdate) AS INTEGER) AS DATA_YEAR, lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS OCC_CODE,
+       left(o_orderpriority, 1) AS AREA_TYPE,
+       CASE WHEN o_orderstatus = 'F' THEN 'cross-industry' ELSE 'sector' END AS I_GROUP,
+       CASE WHEN l_returnflag = 'N' THEN '1235' ELSE '5' END AS OWN_CODE,
+       CASE WHEN l_linestatus = 'O' THEN 'broad' ELSE 'detailed' END AS O_GROUP,
+       CAST(c_nationkey AS VARCHAR) AS AREA, c_mktsegment AS NAICS,
+       CAST(l_quantity * 1000 AS BIGINT) AS TOT_EMP,
+       CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS A_MEDIAN, CAST(NULL AS DOUBLE) AS A_MEAN
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+WHERE l_partkey <> 0""", ids=("D01", "S01", "S03", "S04", "P01", "P04", "P09", "U03"))
+def q_staging_oews(spark, sf_dir):
+    s = P.stg_oews(_land_oews(spark, sf_dir))
+    return s.select("DATA_YEAR", "OCC_CODE", "AREA_TYPE", "I_GROUP", "OWN_CODE", "O_GROUP", "AREA", "NAICS",
+                    "TOT_EMP", "A_MEDIAN", "A_MEAN")
