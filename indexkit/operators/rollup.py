@@ -26,8 +26,10 @@ def _col(c) -> Column:
 
 
 def units(c, scale: int) -> Column:
-    """round(v * 10**scale) as BIGINT (exact for values with <= scale decimals)."""
-    return F.round(_col(c).cast("double") * F.lit(10 ** scale)).cast("bigint")
+    """round(v * 10**scale) as BIGINT (exact for values with <= scale
+    decimals); integers and decimals never pass through a double."""
+    x = _col(c) if scale == 0 else _col(c) * F.lit(10 ** scale)
+    return F.round(x, 0).cast("bigint")
 
 
 def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Sequence[str],
@@ -54,9 +56,15 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
         v = units(m, value_scale)
         aggs.append(F.sum(w * v).alias(f"_n_{m}"))
         aggs.append(F.sum(F.when(v.isNotNull(), w).otherwise(F.lit(0))).alias(f"_d_{m}"))
-    for lab in labels:
-        aggs.append(label_agg(lab).alias(lab))
     g = df.groupBy(*keys).agg(*aggs)
+    if labels:
+        # min() over strings cannot live in a hash aggregation buffer (Spark
+        # falls back to a sort-based aggregate over every row); take labels
+        # from the distinct (key, label) pairs instead - a hash aggregate on
+        # string keys, then a tiny min per key.
+        dim = df.select(*keys, *labels).distinct().groupBy(*keys).agg(
+            *[label_agg(lab).alias(lab) for lab in labels])
+        g = g.join(dim, list(keys), "left")
     total = F.col("_wt")
     if weight_scale:
         total = exact_ratio(total, F.lit(10 ** weight_scale), weight_scale)
