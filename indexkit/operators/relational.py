@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indexkit.functions.bands import WAGE_BANDS, bands_frame
@@ -43,29 +43,30 @@ def slice_where(df: DataFrame, **predicates) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
-                   columns: Sequence[str]) -> DataFrame:
-    """One row per key: the row that sorts first by ``order_by`` (Column
-    expressions with direction), ties broken by ``columns`` ascending.
-
-    Implemented as an aggregate of ``min(struct(sort keys, columns))`` – a
-    hash aggregate with map-side partial results, no sort and no window, so a
-    hot key does not pile up in one task.  Descending sort keys are negated
-    when numeric; string keys must be ascending (or pass a numeric proxy).
+                   columns: Sequence[str], salt_buckets: int = 16) -> DataFrame:
+    """One row per key: the row that sorts first by ``order_by`` (Columns,
+    with direction), ties broken by ``columns`` ascending (NULLs first), so
+    the choice is total and deterministic.
+
+    Two codegen'd row_number passes instead of one window over the key: the
+    first ranks inside (key, salt) groups, the salt being a hash of the row,
+    so a key holding a third of all rows is spread over ``salt_buckets``
+    tasks; the second pass ranks at most ``salt_buckets`` survivors per key.
     """
-    sort_fields = []
-    for i, o in enumerate(order_by):
-        sort_fields.append(o.alias(f"_o{i}"))
-    tie = [F.col(c).alias(f"_t{j}") for j, c in enumerate(columns)]
-    packed = F.struct(*sort_fields, *tie)
-    g = df.groupBy(*keys).agg(F.min(packed).alias("_best"))
-    return g.select(*keys, *[F.col(f"_best._t{j}").alias(c) for j, c in enumerate(columns)])
+    order = list(order_by) + [F.col(c).asc_nulls_first() for c in columns]
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in dict.fromkeys([*keys, *columns])]), F.lit(salt_buckets))
+    d = df.withColumn("_salt", salt)
+    d = d.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order)))
+    d = d.filter(F.col("_r") == 1)
+    d = d.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return d.filter(F.col("_r") == 1).select(*keys, *[c for c in columns if c not in keys])
 
 
 def dedupe_one(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
     """One row per key, the smallest by ``order_cols`` (a total order when
     they cover every non-key column)."""
     others = [c for c in order_cols if c not in keys]
-    return latest_per_key(df, keys, [F.col(c) for c in others], others)
+    return latest_per_key(df, keys, [], others)
 
 
 def newest_row(df: DataFrame, order: Sequence[Column], n: int = 1) -> DataFrame:

@@ -122,22 +122,28 @@ def stratified_sample(df: DataFrame, strata: Column, key: str, n: int, seed: int
     per stratum, rows ordered by sha256('seed:key') inside the stratum; the
     union is trimmed to n by the same order (not padded).
 
-    Skew-safe top-k: a first pass keeps the k best rows per (stratum, salt)
-    so no task holds a whole stratum, the second pass ranks at most
-    ``salt_buckets * k`` rows per stratum."""
-    d = df.withColumn("_stratum", strata).withColumn("_h", sha_hex(F.lit(seed), F.col(key)))
-    sizes = d.groupBy("_stratum").agg(F.count(F.lit(1)).alias("_size"))
+    One pass over the input, skew-safe: rows are spread over
+    (stratum, salt) groups; one window there yields both the hash order and
+    the group size, and only the first n rows of each group survive (k <= n).
+    Stratum sizes are the sums of the group sizes, so the second window sees
+    at most ``salt_buckets * n`` rows per stratum and no task holds a whole
+    stratum."""
+    d = (df.withColumn("_stratum", strata).withColumn("_h", sha_hex(F.lit(seed), F.col(key)))
+           .withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt_buckets))))
+    w1 = Window.partitionBy("_stratum", "_salt")
+    d = (d.withColumn("_r1", F.row_number().over(w1.orderBy("_h")))
+          .withColumn("_cs", F.count(F.lit(1)).over(w1))
+          .filter(F.col("_r1") <= F.lit(n)))
+    sizes = d.filter(F.col("_r1") == 1).groupBy("_stratum").agg(F.sum("_cs").alias("_size"))
     total = sizes.agg(F.sum("_size").alias("_total"))
+    # one row per stratum (bounded by the stratum code space) -> broadcast
     alloc = sizes.crossJoin(F.broadcast(total)).select(
         "_stratum", F.greatest(F.lit(1), F.bround(F.lit(float(n)) * F.col("_size") / F.col("_total"), 0)
                                .cast("int")).alias("_k"))
     d = d.join(F.broadcast(alloc), "_stratum")
-    d = d.withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt_buckets)))
-    w1 = Window.partitionBy("_stratum", "_salt").orderBy("_h")
-    d = d.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= F.col("_k"))
     w2 = Window.partitionBy("_stratum").orderBy("_h")
     d = d.withColumn("_r2", F.row_number().over(w2)).filter(F.col("_r2") <= F.col("_k"))
-    return d.orderBy("_h").limit(n).drop("_r1", "_r2", "_salt", "_k")
+    return d.orderBy("_h").limit(n).drop("_r1", "_r2", "_salt", "_k", "_cs")
 
 
 def annotation_sheet(sample: DataFrame, metrics: Sequence[str], annotators: int) -> DataFrame:

@@ -25,20 +25,25 @@ FIELDS = ("TASK_ID", "ONET_SOC_CODE", "OCCUPATION_TITLE", "OCCUPATION_DESCRIPTIO
 
 
 def _worklist(spark, sf_dir):
+    """Statements with importance and occupation context.  In the stand-in a
+    statement and its importance rating are the same deduplicated line, so
+    the rating is taken from the row (the domain pipeline joins separate
+    tables with ``build_worklist``)."""
     d = REL.dedupe_one(S.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LI_ORDER)
     task_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     st = d.select(task_id.alias("TASK_ID"), F.col("l_partkey").cast("string").alias("ONET_SOC_CODE"),
                   F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit(" of order "),
                            F.col("l_orderkey").cast("string")).alias("TASK_STATEMENT"),
                   F.when(F.col("l_returnflag") == "A", F.lit("Core"))
-                   .when(F.col("l_returnflag") == "N", F.lit("Supplemental")).alias("TASK_TYPE"))
-    im = d.filter(F.col("l_linestatus") == "F").select(
-        task_id.alias("TASK_ID"), F.col("l_partkey").cast("string").alias("ONET_SOC_CODE"),
-        F.col("l_quantity").alias("IMPORTANCE_RAW"))
+                   .when(F.col("l_returnflag") == "N", F.lit("Supplemental")).alias("TASK_TYPE"),
+                  F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).alias("IMPORTANCE_RAW"))
     ctx = S.read(spark, sf_dir, "part").filter(F.col("p_size") <= 45).select(
         F.col("p_partkey").cast("string").alias("ONET_SOC_CODE"), F.col("p_name").alias("OCCUPATION_TITLE"),
         F.col("p_type").alias("OCCUPATION_DESCRIPTION"))
-    return SC.build_worklist(st, im, ctx)
+    w = st.join(ctx, "ONET_SOC_CODE", "left")
+    return (w.withColumn("OCCUPATION_TITLE", F.coalesce("OCCUPATION_TITLE", F.lit("")))
+             .withColumn("OCCUPATION_DESCRIPTION", F.coalesce("OCCUPATION_DESCRIPTION", F.lit("")))
+             .withColumn("TASK_TYPE", F.coalesce(F.nullif(F.trim("TASK_TYPE"), F.lit("")), F.lit("n/a"))))
 
 
 WORKLIST_SQL = f"""

@@ -60,3 +60,22 @@ def test_render_prompt(spark):
     t = "T{{TASK_ID}} imp {{IMPORTANCE_RAW}} title {{OCCUPATION_TITLE}}"
     r = SC.render_prompt(df, t, ["TASK_ID", "IMPORTANCE_RAW", "OCCUPATION_TITLE"]).first()["PROMPT"]
     assert r == "T7 imp not rated title (not available)"
+
+
+def test_stratified_sample_hot_stratum(spark):
+    """One stratum holds 90% of the rows and every salt group is far larger
+    than n: sizes must still count every row."""
+    tasks = [(str(i), ("AA" if i % 10 else "B%d" % (i % 7)) + "-x") for i in range(1, 20000)]
+    df = spark.createDataFrame(tasks, "TASK_ID string, SOC string")
+    got = [r["TASK_ID"] for r in SC.stratified_sample(df, F.substring("SOC", 1, 2), "TASK_ID", 30, 7,
+                                                      salt_buckets=4).collect()]
+    h = lambda t: hashlib.sha256(f"7:{t}".encode()).hexdigest()
+    groups = defaultdict(list)
+    for t, soc in tasks:
+        groups[soc[:2]].append(t)
+    sample = []
+    for g, items in sorted(groups.items()):
+        items.sort(key=h)
+        sample.extend(items[:max(1, round(30 * len(items) / len(tasks)))])
+    sample.sort(key=h)
+    assert got == sample[:30]
