@@ -79,44 +79,40 @@ def value_ranks(df: DataFrame, col: str, descending: bool = False,
     if nulls_first is None:
         nulls_first = not descending
     parts = list(partition_by)
-    v = F.col(col)
-    g = df.groupBy(*parts, v.alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
-
-    totals = g.groupBy(*parts).agg(
-        F.sum("_cnt").alias("_n"),
-        F.coalesce(F.sum(F.when(F.col("_v").isNull(), F.col("_cnt"))), F.lit(0)).alias("_nulls"),
-    )
-    nn = g.filter(F.col("_v").isNotNull())
+    v = F.col("_v")
+    g = df.groupBy(*parts, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
+    null_cnt = F.sum(F.when(v.isNull(), F.col("_cnt")).otherwise(F.lit(0)))
     qs = [i / buckets for i in range(1, buckets)]
-    bounds = nn.agg(F.percentile_approx("_v", qs, accuracy).alias("_b"))
-    nn = nn.crossJoin(F.broadcast(bounds)).withColumn(
-        "_bucket", F.size(F.filter("_b", lambda b: b < F.col("_v")))).drop("_b")
-
+    if parts:
+        bounds = g.agg(F.percentile_approx("_v", qs, accuracy).alias("_b"))
+        totals = g.groupBy(*parts).agg(F.sum("_cnt").alias("_n"), null_cnt.alias("_nulls"))
+        g = g.crossJoin(F.broadcast(bounds)).join(totals, parts)
+    else:
+        # one global aggregate: totals, NULL count and bucket bounds (one row)
+        stats = g.agg(F.sum("_cnt").alias("_n"), null_cnt.alias("_nulls"),
+                      F.percentile_approx("_v", qs, accuracy).alias("_b"))
+        g = g.crossJoin(F.broadcast(stats))
+    # bucket: number of bounds below v (a pure function of v); NULL -> -1
+    g = g.withColumn("_bucket", F.when(v.isNull(), F.lit(-1))
+                     .otherwise(F.size(F.filter("_b", lambda b: b < v)))).drop("_b")
     # rows with a strictly smaller value inside the (partition, bucket)
-    w_in = (Window.partitionBy(*parts, "_bucket").orderBy(F.col("_v").asc())
+    w_in = (Window.partitionBy(*parts, "_bucket").orderBy(v.asc())
             .rowsBetween(Window.unboundedPreceding, -1))
-    nn = nn.withColumn("_less_in", F.coalesce(F.sum("_cnt").over(w_in), F.lit(0)))
+    g = g.withColumn("_less_in", F.coalesce(F.sum("_cnt").over(w_in), F.lit(0)))
     # bucket offsets: prefix sums over at most partitions x buckets rows
-    bt = nn.groupBy(*parts, "_bucket").agg(F.sum("_cnt").alias("_bcnt"))
-    w_b = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    if parts:
-        w_b = w_b.partitionBy(*parts)
-    bt = bt.withColumn("_boff", F.coalesce(F.sum("_bcnt").over(w_b), F.lit(0))).drop("_bcnt")
-    nn = nn.join(bt, [*parts, "_bucket"])
-    nn = nn.join(totals, parts) if parts else nn.crossJoin(F.broadcast(totals))
+    bt = g.filter(F.col("_bucket") >= 0).groupBy(*parts, "_bucket").agg(F.sum("_cnt").alias("_bcnt"))
+    w_b = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    bt = bt.select(*parts, "_bucket", F.coalesce(F.sum("_bcnt").over(w_b), F.lit(0)).alias("_boff"))
+    g = g.join(bt if parts else F.broadcast(bt), [*parts, "_bucket"], "left")
 
     less = F.col("_boff") + F.col("_less_in")          # non-null rows before v (ascending)
     nonnull = F.col("_n") - F.col("_nulls")
     before = (nonnull - less - F.col("_cnt")) if descending else less
     if nulls_first:
         before = before + F.col("_nulls")
-    ranked_nn = nn.select(*parts, "_v", "_cnt", "_n", (before + 1).alias("_rank"))
-
-    nul = g.filter(F.col("_v").isNull())
-    nul = nul.join(totals, parts) if parts else nul.crossJoin(F.broadcast(totals))
-    null_rank = F.lit(1).cast("bigint") if nulls_first else (F.col("_n") - F.col("_nulls") + 1)
-    ranked_null = nul.select(*parts, "_v", "_cnt", "_n", null_rank.alias("_rank"))
-    return ranked_nn.unionByName(ranked_null)
+    null_rank = F.lit(1).cast("bigint") if nulls_first else (nonnull + 1)
+    rank = F.when(v.isNull(), null_rank).otherwise(before + 1)
+    return g.select(*parts, "_v", "_cnt", "_n", rank.alias("_rank"))
 
 
 def rank_scaled(df: DataFrame, col: str, out: str = "rank", descending: bool = False,
