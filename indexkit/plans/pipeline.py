@@ -130,14 +130,14 @@ def dim_region(oews: DataFrame) -> DataFrame:
     cand = oews.filter(F.col("AREA").isNotNull()).select(
         "DATA_YEAR", "AREA", "AREA_TITLE", "STATE",
         C.label_case("AREA_TYPE", C.AREA_TYPE_LABELS, C.AREA_TYPE_OTHER).alias("AREA_TYPE_LABEL")).distinct()
-    return REL.latest_per_key(cand, ["AREA"], [-F.col("DATA_YEAR"), F.col("AREA_TITLE"), F.col("STATE"),
+    return REL.latest_per_key(cand, ["AREA"], [F.col("DATA_YEAR").desc(), F.col("AREA_TITLE"), F.col("STATE"),
                                                F.col("AREA_TYPE_LABEL")],
                               ["AREA_TITLE", "STATE", "AREA_TYPE_LABEL"])
 
 
 def dim_industry(oews: DataFrame) -> DataFrame:
     cand = oews.filter(F.col("NAICS").isNotNull()).select("DATA_YEAR", "NAICS", "INDUSTRY_TITLE").distinct()
-    return REL.latest_per_key(cand, ["NAICS"], [-F.col("DATA_YEAR"), F.col("INDUSTRY_TITLE")],
+    return REL.latest_per_key(cand, ["NAICS"], [F.col("DATA_YEAR").desc(), F.col("INDUSTRY_TITLE")],
                               ["INDUSTRY_TITLE"])
 
 

@@ -440,7 +440,7 @@ SELECT o_custkey, o_orderkey, o_orderpriority, o_totalprice FROM (
   FROM orders) WHERE rn = 1""", ids=("W05", "D13", "D14"))
 def q_latest_per_key(spark, sf_dir):
     o = S.read(spark, sf_dir, "orders")
-    return REL.latest_per_key(o, ["o_custkey"], [-F.unix_micros(F.col("o_orderdate").cast("timestamp")), F.col("o_orderkey")],
+    return REL.latest_per_key(o, ["o_custkey"], [F.col("o_orderdate").desc(), F.col("o_orderkey")],
                               ["o_orderkey", "o_orderpriority", "o_totalprice"])
 
 

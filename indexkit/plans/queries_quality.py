@@ -283,7 +283,7 @@ CUT = "TIMESTAMP '2024-01-16 00:00:00'"
 
 def _snapshot(spark, sf_dir, cond):
     e = S.read(spark, sf_dir, "events").filter(cond)
-    latest = REL.latest_per_key(e, ["user_id"], [-F.unix_micros(F.col("ts").cast("timestamp")), -F.col("event_id")],
+    latest = REL.latest_per_key(e, ["user_id"], [F.col("ts").desc(), F.col("event_id").desc()],
                                 ["event_type", "event_id", "value"])
     return latest.select(F.concat(F.lit("user/"), F.col("user_id").cast("string")).alias("url"),
                          F.col("event_type").alias("etag"), F.col("event_id").cast("string").alias("last_modified"),
@@ -300,8 +300,8 @@ SELECT coalesce(c.url, p.url) AS url,
        p.etag AS prev_etag, p.last_modified AS prev_last_modified, p.length AS prev_length
 FROM cur c FULL OUTER JOIN prev p ON c.url = p.url""", ids=("S20",))
 def q_manifest_diff(spark, sf_dir):
-    ts = F.col("ts").cast("timestamp")
-    cut = F.lit("2024-01-16 00:00:00").cast("timestamp")
+    ts = F.col("ts")
+    cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
     prev = _snapshot(spark, sf_dir, ts < cut)
     # current snapshot: everything published so far except failed fetches
     cur = _snapshot(spark, sf_dir, F.col("event_type") != "error")
@@ -357,7 +357,7 @@ def q_dim_region(spark, sf_dir):
                     F.col("r_name").alias("STATE"),
                     C.label_case(F.left(F.col("o_orderpriority"), F.lit(1)), C.AREA_TYPE_LABELS,
                                  C.AREA_TYPE_OTHER).alias("AREA_TYPE_LABEL")).distinct()
-    return REL.latest_per_key(cand, ["AREA"], [-F.col("DATA_YEAR"), F.col("AREA_TITLE"), F.col("STATE"),
+    return REL.latest_per_key(cand, ["AREA"], [F.col("DATA_YEAR").desc(), F.col("AREA_TITLE"), F.col("STATE"),
                                                F.col("AREA_TYPE_LABEL")],
                               ["AREA_TITLE", "STATE", "AREA_TYPE_LABEL"])
 

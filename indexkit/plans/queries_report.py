@@ -248,7 +248,7 @@ WHERE a.event_type = 'click' AND b.event_type = 'view'""", ["comparison", "metri
 def q_retest(spark, sf_dir):
     e = S.read(spark, sf_dir, "events")
     latest = REL.latest_per_key(e, ["event_type", "user_id"],
-                                [-F.unix_micros(F.col("ts").cast("timestamp")), F.col("event_id")], ["value"])
+                                [F.col("ts").desc(), F.col("event_id")], ["value"])
     a = latest.filter(F.col("event_type") == "click").select("user_id", (F.col("value") / 100.0).alias("x"))
     b = latest.filter(F.col("event_type") == "view").select("user_id", (F.col("value") / 100.0).alias("y"))
     pairs = a.join(b, "user_id").select(F.lit("click_vs_view").alias("comparison"),
