@@ -5,11 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# 2**32 mod 1000: folding a 256-bit number eight 32-bit chunks at a time
-# keeps the accumulator below 2**42, so the whole modulus stays in BIGINT.
-_CHUNK_MOD_1000 = (2 ** 32) % 1000
-
-
 def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -25,7 +20,9 @@ def sha8(c) -> Column:
 
 
 def hex_mod(hex_col, modulus: int = 1000) -> Column:
-    """int(hex, 16) % modulus for a 64-character hex string."""
+    """int(hex, 16) % modulus for a 64-character hex string: a Horner fold
+    over eight 32-bit chunks with (2**32 mod modulus) as the step, so the
+    accumulator stays far below the BIGINT range."""
     h = _col(hex_col)
     step = (2 ** 32) % modulus
     acc = F.lit(0).cast("bigint")

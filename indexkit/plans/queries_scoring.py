@@ -10,7 +10,6 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from indexkit.functions import clean as C
 from indexkit.functions.hashing import hash_score
 from indexkit.operators import scoring as SC
-from indexkit.plans import oracle as O
 from indexkit.plans import standins as S
 from indexkit.plans.queries_ops import DEDUP_SQL, LI_ORDER
 from indexkit.operators import relational as REL

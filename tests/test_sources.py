@@ -2,7 +2,6 @@
 
 import os
 
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 from indexkit.schemas import CONFIG_SCHEMA
