@@ -463,6 +463,7 @@ SELECT COALESCE(
 def q_choose_run(spark, sf_dir):
     e = S.read(spark, sf_dir, "events")
     runs = e.select(F.col("event_type").alias("SCORING_RUN_ID"), F.col("ts").alias("LOADED_AT"))
+    # approvals are rare: events above 99 stand in for the approval rows
     appr = e.filter(F.col("value") > 99).select(F.col("event_type").alias("SCORING_RUN_ID"),
                                                 F.col("ts").alias("APPROVED_AT"))
     return REL.choose_run(runs, appr)

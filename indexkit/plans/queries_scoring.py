@@ -36,6 +36,8 @@ def _worklist(spark, sf_dir):
                   F.when(F.col("l_returnflag") == "A", F.lit("Core"))
                    .when(F.col("l_returnflag") == "N", F.lit("Supplemental")).alias("TASK_TYPE"),
                   F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).alias("IMPORTANCE_RAW"))
+    # occupations without a context row exist in the domain (their prompt says
+    # "(not available)"); parts larger than 45 stand in for them
     ctx = S.read(spark, sf_dir, "part").filter(F.col("p_size") <= 45).select(
         F.col("p_partkey").cast("string").alias("ONET_SOC_CODE"), F.col("p_name").alias("OCCUPATION_TITLE"),
         F.col("p_type").alias("OCCUPATION_DESCRIPTION"))
