@@ -127,7 +127,7 @@ def q_error_filter(spark, sf_dir):
 # ------------------------------------------------------------ slices
 
 OEWS_SQL = """
-SELECT year(o_orderdate) AS DATA_YEAR, left(o_orderpriority, 1) AS AREA_TYPE,
+SELECT CAST(year(o_orderdate) AS INTEGER) AS DATA_YEAR, left(o_orderpriority, 1) AS AREA_TYPE,
        CASE WHEN o_orderstatus = 'F' THEN 'cross-industry' ELSE 'sector' END AS I_GROUP,
        CASE WHEN l_returnflag = 'N' THEN '1235' ELSE '5' END AS OWN_CODE,
        CASE WHEN l_linestatus = 'O' THEN 'broad' ELSE 'detailed' END AS O_GROUP,

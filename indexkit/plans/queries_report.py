@@ -65,7 +65,7 @@ c AS (
          COUNT_IF(DATA_YEAR = (SELECT y FROM mx) AND AREA_TYPE = '1' AND lower(I_GROUP) = 'cross-industry'
                   AND OWN_CODE = '1235' AND lower(O_GROUP) = 'detailed') AS s4
   FROM o)
-SELECT step, label, rows, CASE WHEN s0 = 0 THEN NULL ELSE {O.ratio("rows * 100", "s0", 1)} END AS pct_of_start
+SELECT step, label, CAST(rows AS BIGINT) AS rows, CASE WHEN s0 = 0 THEN NULL ELSE {O.ratio("rows * 100", "s0", 1)} END AS pct_of_start
 FROM (
   SELECT 0 AS step, 'all rows' AS label, s0 AS rows, s0 FROM c UNION ALL
   SELECT 1, 'latest year', s1, s0 FROM c UNION ALL
@@ -224,7 +224,7 @@ WITH d AS (SELECT l_returnflag AS comparison,
                   {U('l_discount * 10')} - {U('l_tax * 12.5')} AS d1,
                   {U('l_tax * 10')} - {U('l_discount * 10')} AS d2 FROM lineitem),
 f AS (SELECT comparison, coalesce((d1 > 2500 AND d2 < -2500) OR (d1 < -2500 AND d2 > 2500), false) AS swap FROM d)
-SELECT comparison, COUNT(*) AS rows, COUNT_IF(swap) AS swaps,
+SELECT comparison, COUNT(*) AS rows, CAST(COUNT_IF(swap) AS BIGINT) AS swaps,
        {O.ratio('COUNT_IF(swap)', 'COUNT(*)', 6)} AS swap_share
 FROM f GROUP BY comparison""", ids=("A27",))
 def q_swap_flags(spark, sf_dir):

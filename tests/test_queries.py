@@ -13,7 +13,7 @@ from indexkit.plans.standins import TABLES
 SF = "/root/testdata/sf0.001"
 FAST = ["occupation_index", "axis_industry", "axis_region", "axis_wage_band", "clean_parse", "tasks_scored",
         "band_join", "weighted_mean", "rank_nulls", "agreement", "stratified_sample", "response_parse",
-        "histogram", "funnel", "manifest_diff", "dim_region", "landing_roundtrip", "quarantine"]
+        "histogram", "funnel", "swap_flags", "latest_slice", "manifest_diff", "dim_region", "landing_roundtrip", "quarantine"]
 
 
 @pytest.fixture(scope="module")
@@ -38,10 +38,17 @@ def test_every_query_has_an_oracle_or_is_documented():
     assert missing == {"score_worklist"}
 
 
+DUCK_TO_SPARK = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+                 "BOOLEAN": "boolean"}
+
+
 @pytest.mark.parametrize("name", FAST)
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
+    rel = con.sql(E.oracle_sql()[name])
+    types = {c: DUCK_TO_SPARK.get(str(t), str(t)) for c, t in zip(rel.columns, rel.types)}
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == types
     res = con.execute(E.oracle_sql()[name])
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
