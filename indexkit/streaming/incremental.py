@@ -62,7 +62,7 @@ def year_window(years: DataFrame, col: str = "DATA_YEAR", span: int = 4, ahead:
 
 def load_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: StructType,
                    fmt: str = "csv", options: dict | None = None, partition_by: Sequence[str] = (),
-                   transform=None) -> int:
+                   transform=None, replace_partitions: bool = True) -> int:
     """Land files not seen before from ``src`` into Parquet at ``dst``.
 
     Returns the number of micro-batches run by this call (0 when nothing was
@@ -76,9 +76,12 @@ def load_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, sch
     batches = []
 
     def write_batch(df: DataFrame, epoch_id: int) -> None:
-        w = df.write.mode("overwrite" if partition_by else "append")
+        replace = bool(partition_by) and replace_partitions
+        w = df.write.mode("overwrite" if replace else "append")
         if partition_by:
-            w = w.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by)
+            w = w.partitionBy(*partition_by)
+        if replace:
+            w = w.option("partitionOverwriteMode", "dynamic")
         w.parquet(dst)
         batches.append(epoch_id)
 

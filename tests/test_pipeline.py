@@ -112,3 +112,20 @@ def test_placeholder_mode(spark, tmp_path):
     assert fact["11-1011"]["AI_EXPOSURE"] == 0.5
     assert fact["11-1011"]["AUTOMATION"] is None
     assert fact["41-2031"]["SCORE_STATUS"] == "NO_ONET"
+
+
+def test_one_command_refresh(spark, tmp_path):
+    from indexkit import cli
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    write_domain_files(raw)
+    code = cli.main(["refresh", "--raw", raw, "--out", out])
+    assert code == 1                                   # rule 20 FAILs on the 1.2 score
+    fact = spark.read.parquet(os.path.join(out, "occupation_exposure_fact"))
+    assert fact.count() == 5
+    assert spark.read.parquet(os.path.join(out, "quarantine", "oews")).count() >= 1
+    # a second refresh of the same files neither duplicates OEWS rows nor the log's fact
+    before = spark.read.parquet(os.path.join(out, "raw_oews")).count()
+    cli.main(["refresh", "--raw", raw, "--out", out])
+    assert spark.read.parquet(os.path.join(out, "raw_oews")).count() == before
+    assert spark.read.parquet(os.path.join(out, "raw_scores")).count() == 11   # each run file loaded once
+    assert spark.read.parquet(os.path.join(out, "refresh_log")).count() == 2
