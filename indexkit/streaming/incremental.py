@@ -3,9 +3,11 @@
 * ``load_new_files`` – load-once landing: a file-source Structured Streaming
   query with ``trigger(availableNow=True)``; the checkpoint remembers which
   files were processed, so a re-run is a no-op and an interrupted run resumes
-  (exactly-once file tracking, survives executor loss).  Each micro-batch is
-  written with dynamic partition overwrite, so a republished year replaces
-  its partition instead of appending duplicates.
+  (exactly-once file tracking, survives executor loss).  Micro-batches are
+  written idempotently: with dynamic partition overwrite (a republished year
+  replaces its partition instead of appending duplicates) or, for append-only
+  tables, into one ``batch_epoch=<id>`` folder per micro-batch that a re-run
+  of the same epoch overwrites.
 * ``manifest_diff`` – new / changed / unchanged / missing per key between two
   snapshots of source metadata (full outer join, null-safe comparisons).
 * ``latest_version`` – highest (major, minor) of versioned file names,
@@ -76,13 +78,17 @@ def load_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, sch
     batches = []
 
     def write_batch(df: DataFrame, epoch_id: int) -> None:
-        replace = bool(partition_by) and replace_partitions
-        w = df.write.mode("overwrite" if replace else "append")
-        if partition_by:
-            w = w.partitionBy(*partition_by)
-        if replace:
-            w = w.option("partitionOverwriteMode", "dynamic")
-        w.parquet(dst)
+        # foreachBatch is at-least-once: a micro-batch re-run after a failure
+        # must not add rows twice.  Replacing partitions is idempotent by
+        # itself; appends go to a folder per epoch, overwritten on a re-run.
+        if partition_by and replace_partitions:
+            (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+               .partitionBy(*partition_by).parquet(dst))
+        else:
+            w = df.write.mode("overwrite")
+            if partition_by:
+                w = w.partitionBy(*partition_by)
+            w.parquet(f"{dst.rstrip('/')}/batch_epoch={epoch_id}")
         batches.append(epoch_id)
 
     q = (stream.writeStream.foreachBatch(write_batch)
