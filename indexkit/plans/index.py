@@ -2,9 +2,12 @@
 
 ``build_index`` is the flagship: statements with importance and scores are
 rolled up per occupation (one partial+final hash aggregate), joined to the
-national occupation slice, gated by coverage, ranked globally without a
-single-partition window, and banded.  ``axis_*`` re-weight the national
-index by the employment of each industry / area / wage band.
+national occupation slice, gated by coverage, ranked globally and banded.
+The global ranks use a single-task window only while the fact's size
+(bounded by the base scan) is within ``indexkit.rank.singleTaskMaxBytes``;
+beyond it they take the distributed rank of ``operators.ranking``.
+``axis_*`` re-weight the national index by the employment of each industry /
+area / wage band.
 """
 
 from __future__ import annotations
