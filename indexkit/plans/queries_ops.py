@@ -511,3 +511,25 @@ def q_pct_rank_average(spark, sf_dir):
     p = R.average_rank_scaled(p, "p_size", "_avg")
     n = p.agg(F.count(F.lit(1)).alias("_n"))
     return p.crossJoin(F.broadcast(n)).select("p_partkey", (F.col("_avg") / F.col("_n")).alias("pct_avg"))
+
+
+@query("coverage", f"""
+SELECT OCC_CODE,
+       CASE WHEN COUNT(IMPORTANCE_RAW) > 0 THEN COUNT(IMPORTANCE_RAW) END AS rated_task_count,
+       CASE WHEN COUNT(IMPORTANCE_RAW) > 0 THEN COUNT(CASE WHEN IMPORTANCE_RAW IS NOT NULL THEN AI_EXPOSURE_SCORE END) END
+         AS scored_task_count,
+       CASE WHEN COUNT(IMPORTANCE_RAW) > 0 THEN
+         {O.ratio("COUNT(CASE WHEN IMPORTANCE_RAW IS NOT NULL THEN AI_EXPOSURE_SCORE END)", "COUNT(IMPORTANCE_RAW)",
+                  zero="0.0")} END AS TASK_COUNT_COVERAGE,
+       CASE WHEN COUNT(IMPORTANCE_RAW) > 0 THEN
+         {O.ratio("SUM(CASE WHEN AI_EXPOSURE_SCORE IS NOT NULL THEN CAST(IMPORTANCE_RAW AS BIGINT) END)",
+                  "SUM(CAST(IMPORTANCE_RAW AS BIGINT))", zero="0.0")} END AS IMPORTANCE_WEIGHT_COVERAGE
+FROM ({O.TASKS}) t GROUP BY OCC_CODE""", ids=("A03", "A11"))
+def q_coverage(spark, sf_dir):
+    """Count and weight coverage per occupation (DIV0: 0 on a zero
+    denominator, NULL when the occupation has no rated statement)."""
+    from indexkit.functions.numeric import div0
+    r = RU.task_rollup(S.task_statements(spark, sf_dir), weight_scale=S.WEIGHT_SCALE, norm_range=S.NORM_RANGE)
+    return r.select("OCC_CODE", "rated_task_count", "scored_task_count",
+                    div0("scored_task_count", "rated_task_count").alias("TASK_COUNT_COVERAGE"),
+                    div0("imp_scored_u", "imp_total_u").alias("IMPORTANCE_WEIGHT_COVERAGE"))

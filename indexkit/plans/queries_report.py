@@ -254,3 +254,25 @@ def q_retest(spark, sf_dir):
     pairs = a.join(b, "user_id").select(F.lit("click_vs_view").alias("comparison"),
                                         F.lit("value").alias("metric"), "x", "y")
     return AG.agreement_report(pairs, ["comparison", "metric"])
+
+
+@query("spearman", f"""
+WITH p AS (SELECT * FROM ({PAIRS_SQL}) q WHERE x IS NOT NULL AND y IS NOT NULL AND NOT isnan(x) AND NOT isnan(y)),
+r AS (SELECT *,
+        RANK() OVER (PARTITION BY comparison, metric ORDER BY x)
+          + (COUNT(*) OVER (PARTITION BY comparison, metric, x) - 1) / 2.0 AS rx,
+        RANK() OVER (PARTITION BY comparison, metric ORDER BY y)
+          + (COUNT(*) OVER (PARTITION BY comparison, metric, y) - 1) / 2.0 AS ry
+      FROM p)
+SELECT comparison, metric, COUNT(*) AS n, {_pearson_sql('rx', 'ry')} AS spearman
+FROM r GROUP BY comparison, metric""", ids=("A23", "W07"))
+def q_spearman(spark, sf_dir):
+    """Pearson over average ranks, ranks taken per (comparison, metric) after
+    incomplete pairs are dropped; the ranks are distributed (no single task
+    holds a comparison group)."""
+    from indexkit.operators.ranking import rank_scaled
+    d = _pairs_df(spark, sf_dir)
+    d = rank_scaled(d, "x", "_rx", kind="average", partition_by=["comparison", "metric"])
+    d = rank_scaled(d, "y", "_ry", kind="average", partition_by=["comparison", "metric"])
+    return d.groupBy("comparison", "metric").agg(F.count(F.lit(1)).alias("n"),
+                                                 AG.pearson_expr("_rx", "_ry").alias("spearman"))
