@@ -216,17 +216,20 @@ SCORE_OUT = StructType([
 
 def offline_scorer(pdf: pd.DataFrame) -> pd.DataFrame:
     """Deterministic stand-in for a model client (vectorised over the batch):
-    scores from the prompt length, an error row when the prompt is longest."""
+    scores from the prompt length, an error row for some prompt lengths."""
     n = pdf["PROMPT"].str.len().to_numpy()
     base = (n % 97) / 96.0
-    err = np.where(n % 53 == 0, "scorer error: empty response", None)
+    err = np.where(n % 17 == 0, "scorer error: empty response", None)
     ok = pd.isna(err)
+    def scores(values):
+        # error rows get NULL (nullable Float64 -> Arrow null), never NaN
+        return pd.Series(values, dtype="Float64").where(ok, pd.NA)
     out = pd.DataFrame({
-        "TASK_ID": pdf["TASK_ID"], "ONET_SOC_CODE": pdf["ONET_SOC_CODE"],
-        "AI_EXPOSURE_SCORE": np.where(ok, np.round(base, 4), np.nan),
-        "AUTOMATION_SCORE": np.where(ok, np.round(base * 0.5, 4), np.nan),
-        "AUGMENTATION_SCORE": np.where(ok, np.round(1 - base, 4), np.nan),
-        "CONFIDENCE": np.where(ok, 0.8, np.nan),
+        "TASK_ID": pdf["TASK_ID"].to_numpy(), "ONET_SOC_CODE": pdf["ONET_SOC_CODE"].to_numpy(),
+        "AI_EXPOSURE_SCORE": scores(np.round(base, 4)),
+        "AUTOMATION_SCORE": scores(np.round(base * 0.5, 4)),
+        "AUGMENTATION_SCORE": scores(np.round(1 - base, 4)),
+        "CONFIDENCE": scores(np.full(len(pdf), 0.8)),
         "RATIONALE": np.where(ok, "offline stand-in score", None),
         "ERROR_MESSAGE": err,
     })
