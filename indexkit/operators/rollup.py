@@ -36,16 +36,17 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
                     labels: Sequence[str] = (), coverage_metric: str | None = None,
                     digits: int = 4, value_scale: int = 4, weight_scale: int = 0,
                     total_name: str = "TOTAL_EMP", count_name: str = "OCC_COUNT",
-                    coverage_name: str = "EMP_COVERAGE", label_agg=F.min,
+                    coverage_name: str = "EMP_COVERAGE", label_agg=None,
                     coverage_digits: int | None = None) -> DataFrame:
     """Per key: total weight, row count, weighted coverage and one weighted
     mean per metric (Σ w·v / Σ w over rows where v is present).
 
-    ``labels`` are carried with a deterministic ``min`` (the reference's
+    ``labels`` are carried with a deterministic minimum (the reference's
     ANY_VALUE is non-deterministic).  ``coverage_metric`` (default: the first
     metric) decides which rows count as scored.
     """
     cov_m = coverage_metric or metrics[0]
+    label_agg = label_agg or (lambda c: F.array_min(F.collect_set(c)))
     w = units(weight, weight_scale)
     aggs = [
         F.sum(w).alias("_wt"),
@@ -56,15 +57,13 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
         v = units(m, value_scale)
         aggs.append(F.sum(w * v).alias(f"_n_{m}"))
         aggs.append(F.sum(F.when(v.isNotNull(), w).otherwise(F.lit(0))).alias(f"_d_{m}"))
+    # Labels depend on the key (ANY_VALUE in the warehouse).  min() over a
+    # string cannot live in a hash aggregation buffer - Spark would sort every
+    # row - while collect_set is hash-based (ObjectHashAggregate) and holds a
+    # single value per key here; array_min makes the pick deterministic.
+    for lab in labels:
+        aggs.append(label_agg(lab).alias(lab))
     g = df.groupBy(*keys).agg(*aggs)
-    if labels:
-        # min() over strings cannot live in a hash aggregation buffer (Spark
-        # falls back to a sort-based aggregate over every row); take labels
-        # from the distinct (key, label) pairs instead - a hash aggregate on
-        # string keys, then a tiny min per key.
-        dim = df.select(*keys, *labels).distinct().groupBy(*keys).agg(
-            *[label_agg(lab).alias(lab) for lab in labels])
-        g = g.join(dim, list(keys), "left")
     total = F.col("_wt")
     if weight_scale:
         total = exact_ratio(total, F.lit(10 ** weight_scale), weight_scale)
