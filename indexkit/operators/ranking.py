@@ -33,10 +33,14 @@ DEFAULT_BUCKETS = 64
 SINGLE_TASK_MAX_BYTES = 64 * 1024 * 1024
 
 
-def estimated_bytes(df: DataFrame) -> int:
+def estimated_bytes(df: DataFrame) -> int | None:
     """Catalyst's size estimate of the optimized plan (an upper bound for
-    scans, projections, filters and aggregates; no job runs)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    scans, projections, filters and aggregates; no job runs).  None when the
+    statistics are not reachable (e.g. a Spark Connect session)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001
+        return None
 
 
 def single_task_limit(df: DataFrame) -> int:
@@ -146,9 +150,11 @@ def rank_auto(df: DataFrame, col: str, out: str = "rank", descending: bool = Fal
               buckets: int = DEFAULT_BUCKETS) -> DataFrame:
     """Plain window when the ranked relation is provably small (size of
     ``size_hint`` – e.g. the scan that fixes the row count – or of ``df``
-    itself is within the single-task limit), distributed rank otherwise."""
+    itself is within the single-task limit), distributed rank otherwise,
+    including when no size estimate is available."""
     probe = size_hint if size_hint is not None else df
-    if estimated_bytes(probe) <= single_task_limit(df):
+    size = estimated_bytes(probe)
+    if size is not None and size <= single_task_limit(df):
         return rank_window(df, col, out, descending=descending, nulls_first=nulls_first, kind=kind)
     return rank_scaled(df, col, out, descending=descending, nulls_first=nulls_first, kind=kind,
                        buckets=buckets)
