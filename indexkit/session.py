@@ -42,7 +42,10 @@ def get_spark(app: str = "indexkit", master: str | None = None,
     for k, v in conf.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    try:
+        spark.sparkContext.setLogLevel("ERROR")
+    except Exception:  # noqa: BLE001
+        pass
     ensure_checkpoint_dir(spark)
     return spark
 
@@ -51,14 +54,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     """Use ``spark.checkpoint.dir`` from the session (the shared folder a
     cluster names); only when it is unset – local runs and tests – create a
     private scratch folder."""
-    sc = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001  (no SparkContext in a Connect session)
+        sc = None
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and sc is not None:
+        configured = sc.getConf().get("spark.checkpoint.dir", None)
     path = configured
     if not path:
         path = fallback or tempfile.mkdtemp(prefix="indexkit-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
-    if sc.getCheckpointDir() is None:
+    if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
