@@ -38,8 +38,10 @@ def published_tables(spark, sf_dir) -> dict[str, DataFrame]:
     shared checkpoint folder) before ~20 rules read them, like the warehouse
     rules read materialised tables."""
     idx = cut_lineage(occupation_index_df(spark, sf_dir))
-    ind = cut_lineage(ix.axis_industry(S.industry_slice(spark, sf_dir), idx))
-    reg = cut_lineage(ix.axis_region(S.region_slice(spark, sf_dir), idx))
+    # both axis slices start from the same lineitem ⋈ orders ⋈ customer pass
+    enriched = cut_lineage(S.enriched_lines(spark, sf_dir))
+    ind = cut_lineage(ix.axis_industry(S.industry_slice(spark, sf_dir, enriched), idx))
+    reg = cut_lineage(ix.axis_region(S.region_slice(spark, sf_dir, enriched), idx))
     return {"index": idx, "industry": ind, "region": reg,
             "long": ix.axis_long(ind, reg, ix.axis_wage_band(idx))}
 

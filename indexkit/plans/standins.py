@@ -68,27 +68,30 @@ def task_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem ⋈ orders ⋈ customer, narrowed to what both axis slices need
+    (callers that build both may materialise it once and pass it in)."""
     li = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     return (li.join(o, li.l_orderkey == o.o_orderkey)
-              .join(c, F.col("o_custkey") == c.c_custkey))
+              .join(c, F.col("o_custkey") == c.c_custkey)
+              .select("l_partkey", "l_suppkey", "l_quantity", "c_nationkey", "c_mktsegment"))
 
 
-def industry_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+def industry_slice(spark: SparkSession, sf_dir: str, enriched: DataFrame | None = None) -> DataFrame:
     """STG_BLS_OEWS_INDUSTRY stand-in: (NAICS, INDUSTRY_TITLE, OCC_CODE, TOT_EMP)."""
-    e = _enriched_lines(spark, sf_dir)
+    e = enriched if enriched is not None else enriched_lines(spark, sf_dir)
     g = e.groupBy(F.col("c_mktsegment").alias("NAICS"), F.col("l_partkey").alias("OCC_CODE")).agg(
         F.sum(F.col("l_quantity").cast("bigint")).alias("TOT_EMP"))
     return g.select("NAICS", F.lower("NAICS").alias("INDUSTRY_TITLE"), "OCC_CODE", "TOT_EMP")
 
 
-def region_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+def region_slice(spark: SparkSession, sf_dir: str, enriched: DataFrame | None = None) -> DataFrame:
     """STG_BLS_OEWS_REGION stand-in: (GRANULARITY, AREA, AREA_TITLE, STATE,
     OCC_CODE, TOT_EMP).  Each line counts once per area type; one pass,
     partial aggregation right after the explode."""
-    e = _enriched_lines(spark, sf_dir)
+    e = enriched if enriched is not None else enriched_lines(spark, sf_dir)
     s = read(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     n = read(spark, sf_dir, "nation")
     sn = F.broadcast(n.select(F.col("n_nationkey").alias("sn_key"),
