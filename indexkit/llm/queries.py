@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexkit.llm import exact_dedup
+from indexkit.llm import bpe, exact_dedup
 from indexkit.llm.common import read
 from indexkit.llm.registry import query
 
 
+@query("op2_bpe_encode_decode")
+def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op8_exact_dedup", r"""
 WITH keyed AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_cp,
