@@ -78,11 +78,28 @@ def _shard(shards: int) -> Column:
     return F.pmod(F.crc32("digest"), F.lit(shards)).cast("int")
 
 
+#: Bits of the bitmap that screens texts before they are shuffled: a broadcast
+#: of at most BITS / 64 rows whatever the data.
+BITS = 1 << 23
+
+
+def _may_be_in(rows: DataFrame, digests: DataFrame) -> DataFrame:
+    """``rows`` without those whose digest has no bit in the bitmap of
+    ``digests``.  It only saves shuffling; the exact join follows."""
+    bit = F.pmod(F.xxhash64("digest"), F.lit(BITS))
+    mask = F.expr("shiftleft(1L, CAST(__bit % 64 AS INT))")
+    words = digests.select(bit.alias("__bit")).groupBy(F.expr("__bit DIV 64").alias("__word")) \
+        .agg(F.bit_or(mask).alias("__bits"))
+    return rows.withColumn("__bit", bit).withColumn("__word", F.expr("__bit DIV 64")) \
+        .join(F.broadcast(words), "__word").filter(F.col("__bits").bitwiseAND(mask) != 0) \
+        .drop("__bit", "__word", "__bits")
+
+
 def unequal_buckets(docs: DataFrame, digests: DataFrame) -> DataFrame:
     """Digests whose rows are not all the same bytes (a digest collision).
     ``min`` and ``max`` combine map-side, so a huge bucket ships few texts."""
     texts = docs.select(normalised(F.col("text")).alias("norm"))
-    texts = texts.withColumn("digest", F.unhex(F.sha2("norm", 256))).join(digests, "digest")
+    texts = _may_be_in(texts.withColumn("digest", F.unhex(F.sha2("norm", 256))), digests).join(digests, "digest")
     ends = texts.groupBy("digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
     return ends.filter(F.col("lo") != F.col("hi")).select("digest")
 
