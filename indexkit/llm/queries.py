@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexkit.llm import bpe, exact_dedup
+from indexkit.llm import bpe, chat_format, exact_dedup, url_rules
 from indexkit.llm.common import read
 from indexkit.llm.registry import query
 
@@ -17,6 +19,42 @@ def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+_CONTROL = "|".join(re.escape(c) for c in chat_format.CONTROLS)
+
+
+@query("op5_chat_format", rf"""
+WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+sized AS (
+  SELECT *, length(regexp_replace(text, '(\\|{_CONTROL})', '\1+', 'g')) AS body,
+         CASE role WHEN 'user' THEN {sum(map(len, chat_format.MARKS['user']))}
+                   WHEN 'assistant' THEN {sum(map(len, chat_format.MARKS['assistant']))}
+                   WHEN 'system' THEN {sum(map(len, chat_format.MARKS['system']))}
+                   ELSE {sum(map(len, chat_format.OTHER))} + length(regexp_replace(role, '(\\|{_CONTROL})', '\1+', 'g'))
+         END AS marks
+  FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (role = 'assistant'), ''))
+         AS loss_sha256,
+       sum(body + marks)::BIGINT AS formatted_chars
+FROM sized GROUP BY conv_id""")
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    turns = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    planted = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)],
+                                    "conv_id long, turn long, role string, text string")
+    return chat_format.conversation_digests(turns.unionByName(planted),
+                                            public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+@query("op6_url_rules")
+def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
+
+
 @query("op8_exact_dedup", r"""
 WITH keyed AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_cp,
