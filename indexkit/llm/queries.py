@@ -8,17 +8,43 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexkit.llm import bpe, chat_format, exact_dedup, url_rules
+from indexkit.llm import bpe, chat_format, exact_dedup, m_tree, packing, url_rules
 from indexkit.llm.common import read
 from indexkit.llm.registry import query
 
 
+def packable(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source and the cluster of equal normalised texts."""
+    return docs.select("doc_id", packing.n_tokens(F.col("text")).alias("size"), "source",
+                       F.xxhash64(F.lower(exact_dedup.normalised(F.col("text")))).alias("cluster"))
+
+
+@query("op1_best_fit_packing")
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(packable(read(spark, sf_dir, "documents")))
+
+
 @query("op2_bpe_encode_decode")
 def op2_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query("op3_m_tree_top_k", """
+WITH v AS (
+  SELECT vec_id, [floor(1024 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.v) = len(q.v) WHERE q.vec_id % 100 = 0)
+SELECT query_id, rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored)
+WHERE rank <= 10""")
+def op3_m_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read(spark, sf_dir, "embeddings")
+    return m_tree.top_k(rows, rows.filter("vec_id % 100 = 0"), 10)
+
+
 _CONTROL = "|".join(re.escape(c) for c in chat_format.CONTROLS)
 
 
