@@ -23,14 +23,14 @@ import hashlib
 import heapq
 import json
 import unicodedata
-from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from indexkit.llm.common import with_columns_from_text
+
 #: Words with more parts than this merge through a heap.
 SCAN_PARTS = 128
 #: Chunks and characters remembered per Python worker; beyond it the table is emptied.
@@ -182,19 +182,21 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
     """Per document: doc_id, n_tokens, ids_sha256, decoded_sha256 and, when
     ``with_ids``, the ids and the decoded text themselves.  ``path`` must be
     readable on every executor."""
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    added = [("n_tokens", "long"), ("ids_sha256", "string"), ("decoded_sha256", "string")]
+    if with_ids:
+        added += [("ids", "array<int>"), ("decoded", "string")]
+
+    def fn(texts: list[str]) -> list:
         bpe = load(path)
-        for batch in batches:
-            rows = [bpe.both(t or "") for t in batch["text"]]
-            out = pd.DataFrame({
-                "doc_id": batch["doc_id"],
-                "n_tokens": [i.count(" ") + 1 if i else 0 for i, _ in rows],
-                "ids_sha256": [hashlib.sha256(i.encode()).hexdigest() for i, _ in rows],
-                "decoded_sha256": [hashlib.sha256(t.encode()).hexdigest() for _, t in rows]})
+        out: list[list] = [[] for _ in added]
+        for text in texts:
+            ids, decoded = bpe.both(text)
+            row = [ids.count(" ") + 1 if ids else 0, hashlib.sha256(ids.encode()).hexdigest(),
+                   hashlib.sha256(decoded.encode()).hexdigest()]
             if with_ids:
-                out["ids"] = [[int(x) for x in i.split(" ")] if i else [] for i, _ in rows]
-                out["decoded"] = [t for _, t in rows]
-            yield out
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        run, schema + (", ids array<int>, decoded string" if with_ids else ""))
+                row += [[int(x) for x in ids.split(" ")] if ids else [], decoded]
+            for column, value in zip(out, row):
+                column.append(value)
+        return out
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return with_columns_from_text(docs, lambda: fn, added).drop("text")

@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from indexkit.session import ensure_checkpoint_dir
 
@@ -37,6 +40,42 @@ def parts(n_rows: int, per_part: int) -> int:
     return max(1, math.ceil(n_rows / per_part))
 
 
+def with_columns_from_text(docs: DataFrame, make: Callable[[], Callable[[list[str]], list]], added: list[tuple[str, str]],
+                           text: str = "text") -> DataFrame:
+    """``docs`` plus columns computed from one text column by a Python function
+    over batches; nulls reach it as empty strings.  ``make`` runs once per
+    task.  All other columns pass as Arrow, untouched; a column of the name of
+    an added one is replaced."""
+    names = {n for n, _ in added}
+    kept = docs.select([c for c in docs.columns if c not in names])
+    extra = StructType.fromDDL(", ".join(f"{n} {t}" for n, t in added))
+    schema = StructType(kept.schema.fields + extra.fields)
+    types = [f.type for f in to_arrow_schema(extra)]
+    at = kept.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fn = make()
+        for batch in batches:
+            made = fn([t or "" for t in batch.column(at).to_pylist()])
+            arrays = [pa.array(m, type=t) for m, t in zip(made, types)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *(n for n, _ in added)])
+    return kept.mapInArrow(run, schema)
+
+
+def takes(texts: list[str], chars: int) -> Iterator[list[str]]:
+    """Texts in order, in lists of about ``chars`` characters."""
+    held: list[str] = []
+    size = 0
+    for t in texts:
+        held.append(t)
+        size += len(t)
+        if size >= chars:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 def whole_groups(batches: Iterable[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
     """Re-cut sorted batches at group borders: every yielded frame holds
     complete groups only.  At most one batch plus one group is held."""

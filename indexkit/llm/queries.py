@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexkit.llm import bpe, chat_format, exact_dedup, m_tree, packing, url_rules
-from indexkit.llm.common import read
+from indexkit.llm import bpe, chat_format, exact_dedup, kneser_ney, language_id, m_tree, packing, url_rules
+from indexkit.llm.common import crc_mod, read
 from indexkit.llm.registry import query
 
 
@@ -45,6 +45,21 @@ def op3_m_tree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m_tree.top_k(rows, rows.filter("vec_id % 100 = 0"), 10)
 
 
+@query("op4_quality_kneser_ney")
+def op4_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return kneser_ney.classify(docs, read(spark, sf_dir, "labels")).drop("text")
+
+
+@query("op10_language_crf")
+def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = crc_mod(F.col("doc_id"), 3) == 1
+    model = language_id.fit(docs, ~held_out)
+    return language_id.predict(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 _CONTROL = "|".join(re.escape(c) for c in chat_format.CONTROLS)
 
 
