@@ -76,6 +76,40 @@ def takes(texts: list[str], chars: int) -> Iterator[list[str]]:
         yield held
 
 
+#: Bits of the bitmap that screens rows before they are shuffled: a broadcast of
+#: at most BITS / 64 rows whatever the data.
+BITS = 1 << 23
+
+
+def _marked(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` plus ``__hit``: false only if no row of ``keys`` has its key."""
+    bit = F.pmod(F.xxhash64(*on), F.lit(BITS))
+    mask = F.expr("shiftleft(1L, CAST(__bit % 64 AS INT))")
+    words = keys.select(bit.alias("__bit")).groupBy(F.expr("__bit DIV 64").alias("__word")) \
+        .agg(F.bit_or(mask).alias("__bits"))
+    return rows.withColumn("__bit", bit).withColumn("__word", F.expr("__bit DIV 64")) \
+        .join(F.broadcast(words), "__word", "left") \
+        .withColumn("__hit", F.coalesce(F.col("__bits").bitwiseAND(mask) != 0, F.lit(False))) \
+        .drop("__bit", "__word", "__bits")
+
+
+def may_match(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """``rows`` without those that certainly match no row of ``keys``.  It only
+    saves shuffling them; an exact join must follow."""
+    return _marked(rows, keys, on).filter("__hit").drop("__hit")
+
+
+def without_keys(rows: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
+    """Left anti join (null equals null) that shuffles only rows which may match."""
+    marked = _marked(rows, keys, on)
+    renamed = keys.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(on)]).distinct()
+    same = F.lit(True)
+    for i, c in enumerate(on):
+        same = same & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+    checked = marked.filter("__hit").join(renamed, same, "left_anti")
+    return marked.filter("NOT __hit").unionByName(checked).drop("__hit")
+
+
 def whole_groups(batches: Iterable[pd.DataFrame], key: list[str]) -> Iterator[pd.DataFrame]:
     """Re-cut sorted batches at group borders: every yielded frame holds
     complete groups only.  At most one batch plus one group is held."""

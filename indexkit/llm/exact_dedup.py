@@ -22,13 +22,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexkit.llm import fuse_filter
-from indexkit.llm.common import parts, stored
+from indexkit.llm.common import may_match, parts, stored, without_keys
 
 WHITE = " \t\n\x0b\x0c\r"
 #: Distinct digests per filter shard; the number of shards grows with the data.
 SHARD_KEYS = 16_384
-#: Order of members: most code points, then smallest id, then first row.
-RANK = F.struct((-F.col("n_cp")).alias("neg_cp"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
+
+
+def _rank() -> Column:
+    """Order of members: most code points, then smallest id, then first row."""
+    return F.struct((-F.col("n_cp")).alias("neg_cp"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
 
 
 def normalised(text: Column) -> Column:
@@ -47,7 +50,7 @@ def keyed(docs: DataFrame, fresh: Column) -> DataFrame:
 
 
 def _groups(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(RANK).alias("best"))
+    return rows.groupBy("digest").agg(F.count("*").alias("n"), F.min(_rank()).alias("best"))
 
 
 def build_filters(groups: DataFrame, shards: int) -> DataFrame:
@@ -78,28 +81,11 @@ def _shard(shards: int) -> Column:
     return F.pmod(F.crc32("digest"), F.lit(shards)).cast("int")
 
 
-#: Bits of the bitmap that screens texts before they are shuffled: a broadcast
-#: of at most BITS / 64 rows whatever the data.
-BITS = 1 << 23
-
-
-def _may_be_in(rows: DataFrame, digests: DataFrame) -> DataFrame:
-    """``rows`` without those whose digest has no bit in the bitmap of
-    ``digests``.  It only saves shuffling; the exact join follows."""
-    bit = F.pmod(F.xxhash64("digest"), F.lit(BITS))
-    mask = F.expr("shiftleft(1L, CAST(__bit % 64 AS INT))")
-    words = digests.select(bit.alias("__bit")).groupBy(F.expr("__bit DIV 64").alias("__word")) \
-        .agg(F.bit_or(mask).alias("__bits"))
-    return rows.withColumn("__bit", bit).withColumn("__word", F.expr("__bit DIV 64")) \
-        .join(F.broadcast(words), "__word").filter(F.col("__bits").bitwiseAND(mask) != 0) \
-        .drop("__bit", "__word", "__bits")
-
-
 def unequal_buckets(docs: DataFrame, digests: DataFrame) -> DataFrame:
     """Digests whose rows are not all the same bytes (a digest collision).
     ``min`` and ``max`` combine map-side, so a huge bucket ships few texts."""
     texts = docs.select(normalised(F.col("text")).alias("norm"))
-    texts = _may_be_in(texts.withColumn("digest", F.unhex(F.sha2("norm", 256))), digests).join(digests, "digest")
+    texts = may_match(texts.withColumn("digest", F.unhex(F.sha2("norm", 256))), digests, ["digest"]).join(digests, "digest")
     ends = texts.groupBy("digest").agg(F.min("norm").alias("lo"), F.max("norm").alias("hi"))
     return ends.filter(F.col("lo") != F.col("hi")).select("digest")
 
@@ -124,7 +110,7 @@ def deduplicate(docs: DataFrame, fresh: Column, shard_keys: int = SHARD_KEYS) ->
     final = stored(alone.unionByName(met).filter("n > 1"), "dedup-final")
 
     bad = stored(unequal_buckets(docs, final.select("digest")), "dedup-unequal")
-    single = F.struct(F.lit(1).cast("long").alias("n"), RANK.alias("best"))
+    single = F.struct(F.lit(1).cast("long").alias("n"), _rank().alias("best"))
     out = rows.join(final, "digest", "left").select(
         "row_id", "doc_id", "digest", "n_cp",
         F.when(F.col("n").isNull(), single).otherwise(F.struct("n", "best")).alias("g"))
@@ -142,7 +128,7 @@ def _split(docs: DataFrame, bad: DataFrame, result: DataFrame) -> DataFrame:
                        F.char_length(F.coalesce("text", F.lit(""))).alias("n_cp"),
                        normalised(F.col("text")).alias("norm"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("norm", 256))).join(bad, "digest")
-    best = rows.groupBy("norm").agg(F.count("*").alias("n"), F.min(RANK).alias("best"))
+    best = rows.groupBy("norm").agg(F.count("*").alias("n"), F.min(_rank()).alias("best"))
     redone = rows.join(best, "norm").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("best.row_id") == F.col("row_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "row_id")
@@ -158,9 +144,17 @@ def stable_half(doc_id: Column) -> Column:
 def deduplicate_rows(docs: DataFrame) -> DataFrame:
     """All columns of the rows that stay.  Of repeated rows (same id and same
     normalised text) one stays."""
-    kept = deduplicate(docs, stable_half(F.col("doc_id"))).filter("kept") \
-        .select(F.col("doc_id").alias("__kept_id"), F.col("text_sha256").alias("__kept_sha"))
-    marked = docs.withColumn("__sha", F.sha2(normalised(F.col("text")), 256))
-    joined = marked.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("__kept_id"))
-                         & (F.col("__sha") == F.col("__kept_sha")), "left_semi")
-    return joined.dropDuplicates(["doc_id", "__sha"]).select(docs.columns)
+    rows = stored(deduplicate(docs, stable_half(F.col("doc_id"))).select(
+        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "dedup-result")
+    key = ["__id", "__sha"]
+    marked = docs.withColumn("__id", F.col("doc_id").cast("long")) \
+        .withColumn("__sha", F.sha2(normalised(F.col("text")), 256))
+    # rows whose key is only dropped go; a key with a kept and a dropped row is a repeated row
+    keys = rows.groupBy(*key).agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
+    again = stored(keys.filter("stays AND n > 1").select(*key), "dedup-again")
+    gone = keys.filter("NOT stays").select(*key).unionByName(again)
+    kept = without_keys(marked, stored(gone, "dedup-gone"), key)
+    twice = may_match(marked, again, key)
+    names = again.select(*[F.col(c).alias(f"{c}2") for c in key])
+    twice = twice.join(names, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__sha") == F.col("__sha2")), "left_semi")
+    return kept.unionByName(twice.dropDuplicates(key)).select(docs.columns)

@@ -28,6 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexkit.llm.common import parts
+from indexkit.llm.exact_dedup import normalised
 
 WINDOW = 2048
 SHARD_ITEMS = 4096
@@ -38,6 +39,13 @@ def n_tokens(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(r"[^\x20\x09-\x0D]+")) + 1
 
 
+def packable(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source and the cluster of equal texts (white space and
+    case aside) of documents."""
+    return docs.select("doc_id", n_tokens(F.col("text")).alias("size"), "source",
+                       F.xxhash64(F.lower(normalised(F.col("text")))).alias("cluster"))
+
+
 def _bits(values: list) -> list[int]:
     """One bit per value that occurs twice or more; others conflict with nothing."""
     shared = {v: k for k, v in enumerate(v for v, n in Counter(values).items() if n > 1 and v is not None)}

@@ -8,20 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexkit.llm import bpe, chat_format, exact_dedup, kneser_ney, language_id, m_tree, packing, url_rules
+from indexkit.llm import bpe, chat_format, exact_dedup, kneser_ney, language_id, m_tree, ngram_join, packing, url_rules
 from indexkit.llm.common import crc_mod, read
 from indexkit.llm.registry import query
 
 
-def packable(docs: DataFrame) -> DataFrame:
-    """doc_id, size, source and the cluster of equal normalised texts."""
-    return docs.select("doc_id", packing.n_tokens(F.col("text")).alias("size"), "source",
-                       F.xxhash64(F.lower(exact_dedup.normalised(F.col("text")))).alias("cluster"))
-
-
 @query("op1_best_fit_packing")
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(packable(read(spark, sf_dir, "documents")))
+    return packing.pack(packing.packable(read(spark, sf_dir, "documents")))
 
 
 @query("op2_bpe_encode_decode")
@@ -51,6 +45,11 @@ def op4_quality_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.classify(docs, read(spark, sf_dir, "labels")).drop("text")
 
 
+@query("op9_ngram_jaccard_join")
+def op9_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 @query("op10_language_crf")
 def op10_language_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
