@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexkit.llm import bpe, chat_format, exact_dedup, kneser_ney, language_id, m_tree, ngram_join, packing, url_rules
+from indexkit.llm import bpe, chat_format, context_mixing, exact_dedup, kneser_ney, language_id, m_tree, ngram_join, packing, url_rules
 from indexkit.llm.common import crc_mod, read
 from indexkit.llm.registry import query
 
@@ -95,6 +95,12 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels"))
 
 
+@query("op7_lm_context_mixing")
+def op7_lm_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return context_mixing.score(docs, crc_mod(F.col("doc_id"), 7) == 2)
+
+
 @query("op8_exact_dedup", r"""
 WITH keyed AS (
   SELECT doc_id, length(coalesce(text, '')) AS n_cp,
