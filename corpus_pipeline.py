@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from indexkit.llm import exact_dedup, kneser_ney, language_id, ngram_join, packing
-from indexkit.llm.common import read, stored
+from indexkit.llm.common import read, shielded, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -27,16 +27,16 @@ LEAST_LANGUAGE_SCORE = 0.4
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a recognised language stay; texts without a letter or
     without a prevailing language go.  The model learns from the rows it is given."""
-    model = language_id.fit(docs, F.lit(True))
-    kept = language_id.predict(docs, model).filter(
+    safe, restored = shielded(docs, ["doc_id", "text", "lang"])
+    kept = language_id.predict(safe, language_id.fit(safe, F.lit(True))).filter(
         (F.col("lang_pred") != "und") & (F.col("lang_score") > LEAST_LANGUAGE_SCORE))
-    return kept.select(docs.columns)
+    return restored(kept)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose perplexity is usual for their language stay."""
-    judged = kneser_ney.classify(docs, read(spark, sf_dir, "labels"))
-    return judged.filter("accepted").select(docs.columns)
+    safe, restored = shielded(docs, ["doc_id", "text", "lang"])
+    return restored(kneser_ney.classify(safe, read(spark, sf_dir, "labels")).filter("accepted"))
 
 
 def exact_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -76,6 +76,15 @@ def takes(texts: list[str], chars: int) -> Iterator[list[str]]:
         yield held
 
 
+def shielded(docs: DataFrame, needed: list[str]) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """``docs`` with all columns but ``needed`` renamed, so that no column an
+    operator adds can clash with one of them, and the function that selects
+    the original columns again."""
+    names = [c if c in needed else f"__c{k}" for k, c in enumerate(docs.columns)]
+    originals = docs.columns
+    return docs.toDF(*names), lambda out: out.select(*names).toDF(*originals)
+
+
 #: Bits of the bitmap that screens rows before they are shuffled: a broadcast of
 #: at most BITS / 64 rows whatever the data.
 BITS = 1 << 23

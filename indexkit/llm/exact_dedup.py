@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from indexkit.llm import fuse_filter
-from indexkit.llm.common import may_match, parts, stored, without_keys
+from indexkit.llm.common import may_match, parts, shielded, stored, without_keys
 
 WHITE = " \t\n\x0b\x0c\r"
 #: Distinct digests per filter shard; the number of shards grows with the data.
@@ -147,7 +147,8 @@ def deduplicate_rows(docs: DataFrame) -> DataFrame:
     rows = stored(deduplicate(docs, stable_half(F.col("doc_id"))).select(
         F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "dedup-result")
     key = ["__id", "__sha"]
-    marked = docs.withColumn("__id", F.col("doc_id").cast("long")) \
+    safe, restored = shielded(docs, ["doc_id", "text"])
+    marked = safe.withColumn("__id", F.col("doc_id").cast("long")) \
         .withColumn("__sha", F.sha2(normalised(F.col("text")), 256))
     # rows whose key is only dropped go; a key with a kept and a dropped row is a repeated row
     keys = rows.groupBy(*key).agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
@@ -157,4 +158,4 @@ def deduplicate_rows(docs: DataFrame) -> DataFrame:
     twice = may_match(marked, again, key)
     names = again.select(*[F.col(c).alias(f"{c}2") for c in key])
     twice = twice.join(names, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__sha") == F.col("__sha2")), "left_semi")
-    return kept.unionByName(twice.dropDuplicates(key)).select(docs.columns)
+    return restored(kept.unionByName(twice.dropDuplicates(key)))

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexkit.llm.common import may_match, stored, whole_groups, without_keys
+from indexkit.llm.common import may_match, shielded, stored, whole_groups, without_keys
 from indexkit.llm.components import components, local_roots
 
 WORDS = 5
@@ -341,4 +341,5 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     the least id."""
     found = join(docs).select(F.col("doc_id").alias("__id"), "class_id")
     gone = stored(found.filter(~F.col("__id").eqNullSafe(F.col("class_id"))).select("__id"), "nj-gone")
-    return without_keys(docs.withColumn("__id", F.col("doc_id").cast("long")), gone, ["__id"]).select(docs.columns)
+    safe, restored = shielded(docs, ["doc_id"])
+    return restored(without_keys(safe.withColumn("__id", F.col("doc_id").cast("long")), gone, ["__id"]))
