@@ -144,14 +144,28 @@ def _slots(h: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
         return ((x ^ (x >> np.uint64(29))) * _M[1] >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def predictors(rows, bits: int, trust: float = 1.5) -> np.ndarray:
-    """(logit, trust) of every slot from its two counts; an unseen slot has trust 0."""
-    out = np.zeros((1 << bits, 2), dtype=np.float32)
-    if len(rows):
-        n0, n1, slot = (rows[c].to_numpy(np.float64) for c in ("n0", "n1", "slot"))
-        out[slot.astype(np.int64), 0] = np.log((n1 + 0.3) / (n0 + 0.3))
-        out[slot.astype(np.int64), 1] = (n0 + n1) / (n0 + n1 + trust)
-    return out
+def predictors(n0: np.ndarray, n1: np.ndarray, trust: float = 1.5) -> np.ndarray:
+    """(logit, trust) of slots from their two counts; an unseen slot has trust 0."""
+    n0, n1 = n0.astype(np.float64), n1.astype(np.float64)
+    return np.stack([np.log((n1 + 0.3) / (n0 + 0.3)), (n0 + n1) / (n0 + n1 + trust)], axis=1).astype(np.float32)
+
+
+#: Slots that travel to the driver in one row.
+PACK = 1 << 13
+
+
+def collected(slots: DataFrame, bits: int, trust: float = 1.5) -> np.ndarray:
+    """The whole table [2^bits, 2] of (slot, n0, n1) rows: packed by tasks, so
+    the driver gets 2^bits / PACK rows of fixed size and nothing else."""
+    def pack(rows: pd.DataFrame) -> pd.DataFrame:
+        out = np.zeros((PACK, 2), dtype=np.float32)
+        out[rows["slot"].to_numpy() % PACK] = predictors(rows["n0"].to_numpy(), rows["n1"].to_numpy(), trust)
+        return pd.DataFrame({"block": [int(rows["slot"].iloc[0]) // PACK], "packed": [out.tobytes()]})
+    table = np.zeros((1 << bits, 2), dtype=np.float32)
+    blocks = slots.withColumn("block", F.expr(f"slot DIV {PACK}")).groupBy("block").applyInPandas(pack, "block long, packed binary")
+    for row in blocks.toLocalIterator():
+        table[row["block"] * PACK:(row["block"] + 1) * PACK] = np.frombuffer(row["packed"], dtype=np.float32).reshape(PACK, 2)
+    return table
 
 
 def _emit(counts: np.ndarray) -> pa.RecordBatch:
@@ -368,7 +382,7 @@ def spelling(counts: DataFrame) -> np.ndarray:
         yield _emit(counts)
     once = counts.filter("c = 1 AND word IS NOT NULL").select("word")
     rows = once.mapInArrow(run, _SLOT_ROWS).groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    return predictors(rows.toPandas(), SPELL_BITS, SPELL_TRUST)  # at most 2^SPELL_BITS rows
+    return collected(rows, SPELL_BITS, SPELL_TRUST)
 
 
 def _least_count(counts: DataFrame) -> int:
@@ -386,18 +400,18 @@ def _least_count(counts: DataFrame) -> int:
 
 def fit(training: DataFrame, counts: DataFrame) -> tuple[Mixer, dict]:
     """Mixer and totals from ``training`` (text) and its word counts."""
-    top = sorted(counts.filter("word IS NOT NULL").filter(F.col("c") >= _least_count(counts)).collect(),
-                 key=lambda r: (-r["c"], r["word"]))
+    # at most DICTIONARY rows
+    top = counts.filter("word IS NOT NULL").filter(F.col("c") >= _least_count(counts)).toPandas()
+    top = top.assign(word=top["word"].map(bytes)).sort_values(["c", "word"], ascending=[False, True], kind="stable")
     row = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v"), F.count_if(F.col("c") == 1).alias("once"),
                      F.sum(F.when(F.col("word").isNull(), F.col("c"))).alias("ends")).first()
     total = {"n": row["n"] or 0, "v": row["v"] if row["n"] else 0, "ends": row["ends"] or 0}
-    own = np.array([r["c"] for r in top], dtype=np.int64)
+    own, words = top["c"].to_numpy(np.int64), top["word"].tolist()
     total["unseen"] = max(1, row["once"])
     total["tail"] = total["n"] - total["ends"] - int(own.sum())
     weights = np.concatenate([own, [max(1, total["ends"]), total["tail"] + total["unseen"]]])
-    mixer = Mixer([bytes(r["word"]) for r in top], own, weights, None)
-    rows = context_counts(training, mixer).toPandas()  # at most 2^TABLE_BITS rows
-    return Mixer(mixer.words, own, weights, predictors(rows, TABLE_BITS)), total
+    table = collected(context_counts(training, Mixer(words, own, weights, None)), TABLE_BITS)
+    return Mixer(words, own, weights, table), total
 
 
 def symbol_scores(docs: DataFrame, mixer: Mixer) -> DataFrame:

@@ -194,16 +194,14 @@ def test_kneser_ney_probabilities_sum_to_one_and_pieces_agree(monkeypatch):
 
 
 # ---- context mixing
-def _mixer(table=True):
+def _mixer():
     counts = np.array([50, 20, 5, 1])
     weights = np.array([50, 20, 5, 1, 9, 4])
     m = context_mixing.Mixer([b"a", b"b", b"c", b"d"], counts, weights, None).ready()
     slots = np.zeros((1 << context_mixing.TABLE_BITS, 2), dtype=np.int32)
     ids = np.array([0, 1, 0, 1, 2, 4, 0, 1, 3, 5, 4], dtype=np.int32)
     m.count(ids, np.array([6, 5]), slots)
-    used = np.flatnonzero(slots.any(1))
-    m.table = context_mixing.predictors(pd.DataFrame({"slot": used, "n0": slots[used, 0], "n1": slots[used, 1]}),
-                                        context_mixing.TABLE_BITS)
+    m.table = context_mixing.predictors(slots[:, 0], slots[:, 1])
     return m
 
 
@@ -227,9 +225,7 @@ def test_a_document_scores_the_same_alone_and_in_a_batch():
 def test_spelling_is_a_distribution_over_short_words():
     counts = np.zeros((1 << context_mixing.SPELL_BITS, 2), dtype=np.int32)
     context_mixing.spell_counts([b"the", b"then", b"ten", b"a"], counts)
-    used = np.flatnonzero(counts.any(1))
-    table = context_mixing.predictors(pd.DataFrame({"slot": used, "n0": counts[used, 0], "n1": counts[used, 1]}),
-                                      context_mixing.SPELL_BITS, context_mixing.SPELL_TRUST)
+    table = context_mixing.predictors(counts[:, 0], counts[:, 1], context_mixing.SPELL_TRUST)
     singles = 10 ** context_mixing.spell_log10([bytes([b]) for b in range(256) if b != 32], table)
     assert 0 < singles.sum() < 1
     assert context_mixing.spell_log10([b"then"], table)[0] > context_mixing.spell_log10([b"qxzw"], table)[0]
