@@ -13,7 +13,6 @@ quality rule FAILs, like the warehouse refresh.
 from __future__ import annotations
 
 import argparse
-import glob
 import os
 import sys
 
@@ -27,21 +26,29 @@ from indexkit.sources import ingest as I
 from indexkit.streaming import incremental as INC
 
 
+def files(spark, pattern: str) -> list[str]:
+    """Paths that match, from whatever file system the pattern names."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(f.getPath().toString() for f in found or [])
+
+
 def land_raw(spark, raw: str, out: str) -> P.RawTables:
-    oews_files = sorted(glob.glob(os.path.join(raw, "oews_*.csv")))
+    oews_files = files(spark, f"{raw}/oews_*.csv")
     if not oews_files:
         raise FileNotFoundError(f"no oews_<year>.csv under {raw}")
     I.land_delimited(spark, oews_files, OEWS_SCHEMA, os.path.join(out, "raw_oews"),
                      quarantine=os.path.join(out, "quarantine", "oews"), partition_by=["DATA_YEAR"],
                      tag_year=True, tokens=OEWS_NULL_TOKENS)
     tab = dict(sep="\t", quote=None, tokens=ONET_NULL_TOKENS)
-    I.land_delimited(spark, sorted(glob.glob(os.path.join(raw, "task_statements*.txt"))), TASK_STATEMENT_SCHEMA,
+    I.land_delimited(spark, files(spark, f"{raw}/task_statements*.txt"), TASK_STATEMENT_SCHEMA,
                      os.path.join(out, "raw_statements"), quarantine=os.path.join(out, "quarantine", "statements"),
                      **tab)
-    I.land_delimited(spark, sorted(glob.glob(os.path.join(raw, "task_ratings*.txt"))), TASK_RATING_SCHEMA,
+    I.land_delimited(spark, files(spark, f"{raw}/task_ratings*.txt"), TASK_RATING_SCHEMA,
                      os.path.join(out, "raw_ratings"), quarantine=os.path.join(out, "quarantine", "ratings"), **tab)
     scores = None
-    if glob.glob(os.path.join(raw, "task_ai_scores_*.csv")):
+    if files(spark, f"{raw}/task_ai_scores_*.csv"):
         # append-only run history, each file loaded once (streaming ledger)
         runs_dir = os.path.join(out, "raw_scores")
 
@@ -55,7 +62,7 @@ def land_raw(spark, raw: str, out: str) -> P.RawTables:
         scores = spark.read.parquet(runs_dir)
     approved = None
     appr_dir = os.path.join(out, "approved_run")
-    if os.path.isdir(appr_dir):
+    if files(spark, appr_dir):
         approved = spark.read.parquet(appr_dir)
     return P.RawTables(spark.read.parquet(os.path.join(out, "raw_oews")),
                        spark.read.parquet(os.path.join(out, "raw_statements")),
@@ -80,7 +87,10 @@ def main(argv=None) -> int:
         I.promote_run(spark, os.path.join(args.out, "approved_run"), args.run, args.note)
         return 0
     raw = land_raw(spark, args.raw, args.out)
-    t = P.rebuild(spark, raw, args.out, args.min_coverage, args.mode)
+    try:
+        t = P.rebuild(spark, raw, args.out, args.min_coverage, args.mode)
+    except P.QualityFailure as e:
+        t = e.tables
     v = t["verdict"].first()
     print(f"{v['VERDICT']}: {v['QUALITY_FAILS']} FAIL, {v['QUALITY_WARNS']} WARN")
     return 1 if v["QUALITY_FAILS"] else 0

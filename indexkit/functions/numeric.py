@@ -8,15 +8,20 @@ decimal quotient: half-up, like the reference's ROUND on its warehouse.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-# Casting numerator and denominator to these widths makes Spark's decimal
-# division keep 18 fractional digits (precision rule for p1/s1 ÷ p2/s2), so
-# the final half-up rounding to a few digits is exact for any realistic sum.
-NUM_TYPE = DecimalType(24, 6)
-DEN_TYPE = DecimalType(18, 2)
+# Ratios are rounded in whole numbers: (2 n 10^k + d) div 2 d, on numerators and
+# denominators with up to six decimals.  Magnitudes up to 1e24 fit.
+MICRO = DecimalType(32, 6)
+WHOLE = DecimalType(38, 0)
+# A sum of weight x value (both whole) is carried as two long-backed sums, for the
+# value's part above and below SPLIT.  They stay fast and hold while the weights
+# of a group sum to less than 9e15; beyond that Spark raises, never wraps.
+SPLIT = 1000
 
 
 def _col(c) -> Column:
@@ -30,12 +35,28 @@ def exact_ratio(num, den, digits: int = 4, zero=None) -> Column:
     A NULL operand gives NULL.
     """
     n, d = _col(num), _col(den)
-    q = F.round(n.cast(NUM_TYPE) / F.nullif(d, F.lit(0)).cast(DEN_TYPE), digits).cast("double")
+    million, power = F.lit(Decimal(10) ** 6).cast("decimal(7,0)"), F.lit(Decimal(10) ** digits).cast(f"decimal({digits + 1},0)")
+    top = F.abs((n.cast(MICRO) * million).cast(WHOLE))
+    low = F.abs((F.nullif(d, F.lit(0)).cast(MICRO) * million).cast(WHOLE))
+    two = F.lit(2).cast("decimal(1,0)")
+    half_up = F.call_function("div", ((top * power).cast(WHOLE) * two).cast(WHOLE) + low, (low * two).cast(WHOLE))
+    sign = F.when((n < 0) != (d < 0), -1).otherwise(1)
+    q = (sign * half_up).cast("double") / F.lit(float(10 ** digits))
     if zero is None:
         return q
     return F.when(d == 0, F.lit(float(zero))).otherwise(q)
 
 
+def split_sums(weight: Column, value: Column, name: str) -> list[Column]:
+    """Aggregates of the exact sum of weight x value, in two parts."""
+    return [F.sum(weight * F.call_function("div", value, F.lit(SPLIT))).alias(f"{name}_hi"),
+            F.sum(weight * (value % F.lit(SPLIT))).alias(f"{name}_lo")]
+
+
+def split_total(name: str) -> Column:
+    return F.col(f"{name}_hi").cast(WHOLE) * F.lit(SPLIT).cast("decimal(4,0)") + F.col(f"{name}_lo").cast(WHOLE)
+
+
 def div0(num, den, digits: int = 4) -> Column:
     """DIV0 then ROUND: 0 when the denominator is 0, NULL when an operand is."""
     return exact_ratio(num, den, digits, zero=0)

@@ -18,7 +18,7 @@ the *distinct values* instead:
    to the rows.  AQE turns that join into a broadcast when the measured
    table is small and splits skewed partitions otherwise.
 
-The plain-window forms are kept for small inputs and as the test oracle.
+There is no size switch: the plain-window form serves tests as their oracle.
 """
 
 from __future__ import annotations
@@ -26,26 +26,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 64
-# Inputs whose estimated size is at most this many bytes are ranked with the
-# plain window (one task sorts a bounded amount); larger ones take the
-# distributed path.  Session conf ``indexkit.rank.singleTaskMaxBytes``.
-SINGLE_TASK_MAX_BYTES = 64 * 1024 * 1024
 
+def range_buckets(df: DataFrame) -> int:
+    """Value ranges to rank in: as many as there are shuffle partitions."""
+    return max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of the optimized plan (an upper bound for
-    scans, projections, filters and aggregates; no job runs).  None when the
-    statistics are not reachable (e.g. a Spark Connect session)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001
-        return None
 
-
-def single_task_limit(df: DataFrame) -> int:
-    v = df.sparkSession.conf.get("indexkit.rank.singleTaskMaxBytes", None)
-    return int(v) if v else SINGLE_TASK_MAX_BYTES
+def same(left: DataFrame, right: DataFrame, columns, prefix: str) -> Column:
+    """Null-safe equality of ``columns`` with their ``prefix``-ed names."""
+    cond = F.lit(True)
+    for c in columns:
+        cond = cond & left[c].eqNullSafe(right[f"{prefix}{c}"])
+    return cond
 
 
 def _order(c: Column, descending: bool, nulls_first: bool) -> Column:
@@ -69,11 +61,11 @@ def rank_window(df: DataFrame, col: str, out: str = "rank", descending: bool = F
         expr = F.rank().over(w) + (F.count(F.lit(1)).over(tie) - 1) / 2.0
     else:
         expr = getattr(F, kind)().over(w)
-    return df.withColumn(out, expr)
+    return df.withColumn(out, expr if kind in ("average", "percent_rank") else expr.cast("bigint"))
 
 
 def value_ranks(df: DataFrame, col: str, descending: bool = False,
-                nulls_first: bool | None = None, buckets: int = DEFAULT_BUCKETS,
+                nulls_first: bool | None = None, buckets: int | None = None,
                 accuracy: int = 10000, partition_by=()) -> DataFrame:
     """One row per distinct (partition, value) of ``col`` (NULL included)
     with ``_rank``, ``_n`` (rows in the partition) and ``_cnt`` (rows with
@@ -84,13 +76,15 @@ def value_ranks(df: DataFrame, col: str, descending: bool = False,
         nulls_first = not descending
     parts = list(partition_by)
     v = F.col("_v")
+    buckets = buckets or range_buckets(df)
     g = df.groupBy(*parts, F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_cnt"))
     null_cnt = F.sum(F.when(v.isNull(), F.col("_cnt")).otherwise(F.lit(0)))
     qs = [i / buckets for i in range(1, buckets)]
     if parts:
         bounds = g.agg(F.percentile_approx("_v", qs, accuracy).alias("_b"))
-        totals = g.groupBy(*parts).agg(F.sum("_cnt").alias("_n"), null_cnt.alias("_nulls"))
-        g = g.crossJoin(F.broadcast(bounds)).join(totals, parts)
+        totals = g.groupBy(*[F.col(p).alias(f"_t_{p}") for p in parts]).agg(
+            F.sum("_cnt").alias("_n"), null_cnt.alias("_nulls"))
+        g = g.join(totals, same(g, totals, parts, "_t_")).drop(*[f"_t_{p}" for p in parts]).crossJoin(F.broadcast(bounds))
     else:
         # one global aggregate: totals, NULL count and bucket bounds (one row)
         stats = g.agg(F.sum("_cnt").alias("_n"), null_cnt.alias("_nulls"),
@@ -106,8 +100,10 @@ def value_ranks(df: DataFrame, col: str, descending: bool = False,
     # bucket offsets: prefix sums over at most partitions x buckets rows
     bt = g.filter(F.col("_bucket") >= 0).groupBy(*parts, "_bucket").agg(F.sum("_cnt").alias("_bcnt"))
     w_b = Window.partitionBy(*parts).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    bt = bt.select(*parts, "_bucket", F.coalesce(F.sum("_bcnt").over(w_b), F.lit(0)).alias("_boff"))
-    g = g.join(bt if parts else F.broadcast(bt), [*parts, "_bucket"], "left")
+    bt = bt.select(*[F.col(p).alias(f"_o_{p}") for p in parts], F.col("_bucket").alias("_o__bucket"),
+                   F.coalesce(F.sum("_bcnt").over(w_b), F.lit(0)).alias("_boff"))
+    keys = [*parts, "_bucket"]
+    g = g.join(bt if parts else F.broadcast(bt), same(g, bt, keys, "_o_"), "left").drop(*[f"_o_{c}" for c in keys])
 
     less = F.col("_boff") + F.col("_less_in")          # non-null rows before v (ascending)
     nonnull = F.col("_n") - F.col("_nulls")
@@ -121,7 +117,7 @@ def value_ranks(df: DataFrame, col: str, descending: bool = False,
 
 def rank_scaled(df: DataFrame, col: str, out: str = "rank", descending: bool = False,
                 nulls_first: bool | None = None, kind: str = "rank",
-                buckets: int = DEFAULT_BUCKETS, partition_by=()) -> DataFrame:
+                buckets: int | None = None, partition_by=()) -> DataFrame:
     """Global (or per ``partition_by``) rank / percent_rank / average rank of
     ``col`` without a single-partition window.  Equals the plain window on
     every row."""
@@ -129,7 +125,7 @@ def rank_scaled(df: DataFrame, col: str, out: str = "rank", descending: bool = F
     vr = value_ranks(df, col, descending, nulls_first, buckets, partition_by=parts)
     r = F.col("_rank")
     if kind == "rank":
-        expr = r.cast("int")
+        expr = r
     elif kind == "percent_rank":
         expr = F.when(F.col("_n") <= 1, F.lit(0.0)).otherwise(
             (r - 1).cast("double") / (F.col("_n") - 1).cast("double"))
@@ -145,28 +141,13 @@ def rank_scaled(df: DataFrame, col: str, out: str = "rank", descending: bool = F
     return joined.drop("_v", *[f"_p_{p}" for p in parts])
 
 
-def rank_auto(df: DataFrame, col: str, out: str = "rank", descending: bool = False,
-              nulls_first: bool | None = None, kind: str = "rank", size_hint: DataFrame | None = None,
-              buckets: int = DEFAULT_BUCKETS) -> DataFrame:
-    """Plain window when the ranked relation is provably small (size of
-    ``size_hint`` – e.g. the scan that fixes the row count – or of ``df``
-    itself is within the single-task limit), distributed rank otherwise,
-    including when no size estimate is available."""
-    probe = size_hint if size_hint is not None else df
-    size = estimated_bytes(probe)
-    if size is not None and size <= single_task_limit(df):
-        return rank_window(df, col, out, descending=descending, nulls_first=nulls_first, kind=kind)
-    return rank_scaled(df, col, out, descending=descending, nulls_first=nulls_first, kind=kind,
-                       buckets=buckets)
-
-
 def percent_rank_scaled(df: DataFrame, col: str, out: str = "percent_rank",
-                        buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                        buckets: int | None = None) -> DataFrame:
     return rank_scaled(df, col, out, kind="percent_rank", buckets=buckets)
 
 
 def average_rank_scaled(df: DataFrame, col: str, out: str = "avg_rank",
-                        buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                        buckets: int | None = None) -> DataFrame:
     return rank_scaled(df, col, out, kind="average", buckets=buckets)
 
 

@@ -1,9 +1,10 @@
 """Weighted rollups with coverage.
 
 All sums run on scaled integers ("units"): a value with at most ``s``
-decimals becomes ``round(v * 10**s)`` as BIGINT.  Integer sums are exact,
-order independent and stay in Spark's fast long-backed aggregation buffers
-(wide DECIMAL sums fall back to BigDecimal objects).  Division happens once
+decimals becomes ``v * 10**s`` as BIGINT (more decimals are an error).  Integer
+sums are exact, order independent and stay in Spark's fast long-backed
+aggregation buffers; product sums are kept in two parts, so large weights
+don't overflow them (wide DECIMAL sums would fall back to BigDecimal objects).  Division happens once
 per group, on exact decimals, with half-up rounding.
 
 Every aggregate here is a plain hash aggregate: partial aggregation on the
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indexkit.functions.numeric import div0, exact_ratio
+from indexkit.functions.numeric import WHOLE, div0, exact_ratio, split_sums, split_total
 
 
 def _col(c) -> Column:
@@ -26,52 +27,69 @@ def _col(c) -> Column:
 
 
 def units(c, scale: int) -> Column:
-    """round(v * 10**scale) as BIGINT (exact for values with <= scale
-    decimals); integers and decimals never pass through a double."""
-    x = _col(c) if scale == 0 else _col(c) * F.lit(10 ** scale)
-    return F.round(x, 0).cast("bigint")
+    """v * 10**scale as BIGINT.  A value with more than ``scale`` decimals is
+    an error, never silently rounded; integers never pass through a double."""
+    if scale == 0:
+        x = _col(c)
+        whole = F.round(x, 0).cast("bigint")
+    else:
+        x = _col(c) * F.lit(10 ** scale)
+        whole = F.round(x, 0).cast("bigint")
+    off = F.abs(x.cast("double") - whole.cast("double")) > F.greatest(F.lit(1e-4), F.abs(x.cast("double")) * 1e-12)
+    return F.when(off, F.raise_error(F.concat(F.lit(f"more than {scale} decimals: "), _col(c).cast("string"))).cast("bigint")) \
+        .otherwise(whole)
+
+
+def default_scale(df: DataFrame, column: str, scale: int | None) -> int:
+    """Decimals kept of a weight: none for whole-number types, else four."""
+    if scale is not None:
+        return scale
+    kind = df.schema[column].dataType.typeName()
+    return 0 if kind in ("byte", "short", "integer", "long") else 4
 
 
 def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Sequence[str],
                     labels: Sequence[str] = (), coverage_metric: str | None = None,
-                    digits: int = 4, value_scale: int = 4, weight_scale: int = 0,
+                    digits: int = 4, value_scale: int = 6, weight_scale: int | None = None,
                     total_name: str = "TOTAL_EMP", count_name: str = "OCC_COUNT",
-                    coverage_name: str = "EMP_COVERAGE", label_agg=None,
-                    coverage_digits: int | None = None) -> DataFrame:
+                    coverage_name: str = "EMP_COVERAGE", coverage_digits: int | None = None,
+                    unrounded: str | None = None) -> DataFrame:
     """Per key: total weight, row count, weighted coverage and one weighted
     mean per metric (Σ w·v / Σ w over rows where v is present).
 
-    ``labels`` are carried with a deterministic minimum (the reference's
-    ANY_VALUE is non-deterministic).  ``coverage_metric`` (default: the first
-    metric) decides which rows count as scored.
+    ``labels`` depend on the key; they join the first (hash-based) grouping,
+    and the few resulting rows are reduced to the least label per key, so no
+    buffer holds a set.  ``coverage_metric`` (default: the first metric)
+    decides which rows count as scored.  ``unrounded`` names one metric whose
+    mean is also given as ``_unrounded`` (what ranks are taken on).
     """
     cov_m = coverage_metric or metrics[0]
-    label_agg = label_agg or (lambda c: F.array_min(F.collect_set(c)))
+    weight_scale = default_scale(df, weight, weight_scale)
     w = units(weight, weight_scale)
-    aggs = [
-        F.sum(w).alias("_wt"),
-        F.count(F.lit(1)).alias(count_name),
-        F.sum(F.when(F.col(cov_m).isNotNull(), w).otherwise(F.lit(0))).alias("_ws"),
-    ]
+    lean = df.select(*keys, *labels, w.alias("_w"), *[units(m, value_scale).alias(f"_v_{m}") for m in metrics])
+    w = F.col("_w")
+    aggs = [F.sum(w).alias("_wt"), F.count(F.lit(1)).alias(count_name),
+            F.sum(F.when(F.col(f"_v_{cov_m}").isNotNull(), w).otherwise(F.lit(0))).alias("_ws")]
     for m in metrics:
-        v = units(m, value_scale)
-        aggs.append(F.sum(w * v).alias(f"_n_{m}"))
+        v = F.col(f"_v_{m}")
+        aggs += split_sums(w, v, f"_n_{m}")
         aggs.append(F.sum(F.when(v.isNotNull(), w).otherwise(F.lit(0))).alias(f"_d_{m}"))
-    # Labels depend on the key (ANY_VALUE in the warehouse).  min() over a
-    # string cannot live in a hash aggregation buffer - Spark would sort every
-    # row - while collect_set is hash-based (ObjectHashAggregate) and holds a
-    # single value per key here; array_min makes the pick deterministic.
-    for lab in labels:
-        aggs.append(label_agg(lab).alias(lab))
-    g = df.groupBy(*keys).agg(*aggs)
+    g = lean.groupBy(*keys, *labels).agg(*aggs)
+    if labels:
+        sums = [c for c in g.columns if c not in (*keys, *labels)]
+        g = g.groupBy(*keys).agg(*[F.min(lab).alias(lab) for lab in labels], *[F.sum(c).alias(c) for c in sums])
     total = F.col("_wt")
     if weight_scale:
         total = exact_ratio(total, F.lit(10 ** weight_scale), weight_scale)
+    scale = F.lit(10 ** value_scale).cast(WHOLE)
     out = [*keys, *labels, total.alias(total_name), F.col(count_name),
            div0("_ws", "_wt", digits if coverage_digits is None else coverage_digits).alias(coverage_name)]
     for m in metrics:
-        out.append(exact_ratio(F.col(f"_n_{m}"), F.col(f"_d_{m}") * F.lit(10 ** value_scale),
-                               digits).alias(m))
+        out.append(exact_ratio(split_total(f"_n_{m}"), F.col(f"_d_{m}").cast(WHOLE) * scale, digits).alias(m))
+    if unrounded:
+        # numerator and denominator are whole numbers, so equal means stay equal
+        out.append(F.try_divide(split_total(f"_n_{unrounded}").cast("double"), F.col(f"_d_{unrounded}").cast("double"))
+                   .alias("_unrounded"))
     return g.select(*out)
 
 
@@ -79,7 +97,7 @@ def task_rollup(tasks: DataFrame, key: str = "OCC_CODE", weight: str = "IMPORTAN
                 metrics: Sequence[str] = ("AI_EXPOSURE_SCORE", "AUTOMATION_SCORE",
                                           "AUGMENTATION_SCORE"),
                 confidence: str | None = "CONFIDENCE",
-                weight_scale: int = 2, value_scale: int = 4,
+                weight_scale: int = 2, value_scale: int = 6,
                 norm_range: tuple[float, float] = (1.0, 5.0)) -> DataFrame:
     """Occupation rollup over one row per task statement.
 
@@ -90,7 +108,10 @@ def task_rollup(tasks: DataFrame, key: str = "OCC_CODE", weight: str = "IMPORTAN
     Rated-only quantities are NULL when the key has no rated statement (the
     reference's inner join produces no row there).
     """
-    w = units(weight, weight_scale)
+    lean = tasks.select(key, units(weight, weight_scale).alias("_w"),
+                        *[units(m, value_scale).alias(m) for m in metrics],
+                        *([units(confidence, value_scale).alias("_c")] if confidence else []))
+    w = F.col("_w")
     rated = w.isNotNull()
     s0 = F.col(metrics[0])
     aggs = [
@@ -102,14 +123,14 @@ def task_rollup(tasks: DataFrame, key: str = "OCC_CODE", weight: str = "IMPORTAN
         F.max(F.when(s0.isNotNull(), F.lit(1)).otherwise(F.lit(0))).alias("_any_score"),
     ]
     for m in metrics:
-        v = units(m, value_scale)
-        aggs.append(F.sum(w * v).alias(f"_n_{m}"))
+        v = F.col(m)
+        aggs += split_sums(w, v, f"_n_{m}")
         aggs.append(F.sum(F.when(v.isNotNull(), w).otherwise(F.when(rated, F.lit(0)))).alias(f"_d_{m}"))
     if confidence:
-        c = units(confidence, value_scale)
+        c = F.col("_c")
         aggs.append(F.sum(F.when(rated, c)).alias("_conf_sum"))
         aggs.append(F.count(F.when(rated, c)).alias("_conf_cnt"))
-    g = tasks.groupBy(key).agg(*aggs)
+    g = lean.groupBy(key).agg(*aggs)
     has_rated = F.col("_rated") > 0
     lo, hi = norm_range
     scale_w = 10 ** weight_scale
@@ -130,7 +151,7 @@ def task_rollup(tasks: DataFrame, key: str = "OCC_CODE", weight: str = "IMPORTAN
         ph.alias("placeholder_exposure"),
     ]
     for m in metrics:
-        cols.append(exact_ratio(F.col(f"_n_{m}"), F.col(f"_d_{m}") * F.lit(10 ** value_scale), 4)
+        cols.append(exact_ratio(split_total(f"_n_{m}"), F.col(f"_d_{m}").cast(WHOLE) * F.lit(10 ** value_scale).cast(WHOLE), 4)
                     .alias(f"occ_{m}"))
     if confidence:
         cols.append(exact_ratio(F.col("_conf_sum"), F.col("_conf_cnt") * F.lit(10 ** value_scale), 4)

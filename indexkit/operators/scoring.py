@@ -136,21 +136,21 @@ def stratified_sample(df: DataFrame, strata: Column, key: str, n: int, seed: int
           .filter(F.col("_r1") <= F.lit(n)))
     sizes = d.filter(F.col("_r1") == 1).groupBy("_stratum").agg(F.sum("_cs").alias("_size"))
     total = sizes.agg(F.sum("_size").alias("_total"))
-    # one row per stratum (bounded by the stratum code space) -> broadcast
+    # one row per stratum of any strata column: AQE broadcasts it if it is small
     alloc = sizes.crossJoin(F.broadcast(total)).select(
         "_stratum", F.greatest(F.lit(1), F.bround(F.lit(float(n)) * F.col("_size") / F.col("_total"), 0)
                                .cast("int")).alias("_k"))
-    d = d.join(F.broadcast(alloc), "_stratum")
+    d = d.join(alloc, "_stratum")
     w2 = Window.partitionBy("_stratum").orderBy("_h")
     d = d.withColumn("_r2", F.row_number().over(w2)).filter(F.col("_r2") <= F.col("_k"))
     return d.orderBy("_h").limit(n).drop("_r1", "_r2", "_salt", "_k", "_cs")
 
 
 def annotation_sheet(sample: DataFrame, metrics: Sequence[str], annotators: int) -> DataFrame:
-    """Blank annotation columns per metric x annotator plus notes."""
+    """Blank annotation columns, annotator by annotator, plus notes."""
     out = sample
-    for m in metrics:
-        for a in range(1, annotators + 1):
+    for a in range(1, annotators + 1):
+        for m in metrics:
             out = out.withColumn(f"{m}_annot{a}", F.lit(""))
     return out.withColumn("annotator_notes", F.lit(""))
 

@@ -3,9 +3,9 @@
 ``build_index`` is the flagship: statements with importance and scores are
 rolled up per occupation (one partial+final hash aggregate), joined to the
 national occupation slice, gated by coverage, ranked globally and banded.
-The global ranks use a single-task window only while the fact's size
-(bounded by the base scan) is within ``indexkit.rank.singleTaskMaxBytes``;
-beyond it they take the distributed rank of ``operators.ranking``.
+Statements, importance and scores are three tables joined on the task key and
+the occupation code.  All ranks are the distributed rank of
+``operators.ranking``; axis ranks are taken on unrounded means.
 ``axis_*`` re-weight the national index by the employment of each industry /
 area / wage band.
 """
@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from indexkit.functions.bands import WAGE_BANDS, band_case, band_order_case
 from indexkit.functions.numeric import div0
-from indexkit.operators.ranking import rank_auto, rank_scaled, rank_window
+from indexkit.operators.ranking import rank_scaled
 from indexkit.operators.rollup import task_rollup, weighted_rollup
 
 REAL = "REAL_TASK_SCORE"
@@ -37,30 +37,24 @@ INDEX_COLUMNS = [
 ]
 
 
-def global_rank(df: DataFrame, col: str, out: str, kind: str, descending: bool,
-                scaled: bool | str, size_hint: DataFrame | None = None) -> DataFrame:
-    """scaled: True (distributed), False (plain window) or "auto" (by the
-    estimated size of ``size_hint``)."""
-    if scaled == "auto":
-        return rank_auto(df, col, out, descending=descending,
-                         nulls_first=False if descending else True, kind=kind, size_hint=size_hint)
-    if scaled:
-        return rank_scaled(df, col, out, descending=descending,
-                           nulls_first=False if descending else True, kind=kind)
-    return rank_window(df, col, out, descending=descending,
-                       nulls_first=False if descending else True, kind=kind)
+def exposure_mode(scores: DataFrame, col: str = "AI_EXPOSURE_SCORE") -> DataFrame:
+    """One row with the dataset-wide EXPOSURE_MODE: real as soon as the score
+    table itself holds a score, whether or not it matches a task.  Lazy: a
+    bounded probe (LIMIT 1 under the filter), no job while the plan is built."""
+    probe = scores.filter(F.col(col).isNotNull()).select(col).limit(1).agg(F.count(F.lit(1)).alias("n"))
+    return probe.select(F.when(F.col("n") > 0, REAL).otherwise(PLACEHOLDER).alias("EXPOSURE_MODE"))
 
 
-def detect_mode(scores: DataFrame, col: str = "AI_EXPOSURE_SCORE") -> str:
-    """Dataset-global mode: real scores if any score row exists.  A bounded
-    probe (LIMIT 1 with the filter pushed to the scan), not a full pass."""
-    return PLACEHOLDER if scores.filter(F.col(col).isNotNull()).isEmpty() else REAL
+def joined_tasks(statements: DataFrame, importance: DataFrame, scores: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """statements ⟕ importance ⟕ scores on the task key and occupation code:
+    one row per statement, unrated and unscored ones included.  The three
+    tables are shuffled on the same keys once."""
+    return statements.join(importance, list(keys), "left").join(scores, list(keys), "left")
 
 
 def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT_MIN_COVERAGE,
                 mode: str | DataFrame | None = None, bands: Sequence = WAGE_BANDS,
-                weight_scale: int = 2, value_scale: int = 4, norm_range=(1.0, 5.0),
-                scaled_rank: bool | str = "auto") -> DataFrame:
+                weight_scale: int = 2, value_scale: int = 6, norm_range=(1.0, 5.0)) -> DataFrame:
     """OCCUPATION_EXPOSURE_FACT (index form, 21 columns).
 
     base  : OCC_CODE, OCC_TITLE, O_GROUP, TOT_EMP, A_MEAN, A_MEDIAN (one row
@@ -69,14 +63,14 @@ def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT
             unrated), AI_EXPOSURE_SCORE, AUTOMATION_SCORE, AUGMENTATION_SCORE,
             CONFIDENCE (NULL when unscored).
     mode  : 'REAL_TASK_SCORE' / 'PLACEHOLDER', a one-row frame with
-            EXPOSURE_MODE, or None to derive it from the tasks (any score
-            present -> real).
+            EXPOSURE_MODE (``exposure_mode`` of the score table), or None when
+            the tasks are the only place scores are kept.
     """
     roll = task_rollup(tasks, "OCC_CODE", "IMPORTANCE_RAW", METRICS, "CONFIDENCE",
                        weight_scale, value_scale, norm_range)
     a = base.join(roll, "OCC_CODE", "left")
     if mode is None:
-        mode = detect_mode(tasks)
+        mode = exposure_mode(tasks)
     if isinstance(mode, DataFrame):
         a = a.crossJoin(F.broadcast(mode.select("EXPOSURE_MODE").limit(1)))
     else:
@@ -84,8 +78,9 @@ def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT
 
     rated = F.col("rated_task_count")
     real = F.col("EXPOSURE_MODE") == F.lit(REAL)
-    # coverage compared unrounded, by cross-multiplication (exact)
-    low = (F.col("imp_scored_u").cast("decimal(30,6)")
+    # coverage compared unrounded, by cross-multiplication (exact); no weight
+    # at all is no coverage
+    low = (F.col("imp_total_u") == 0) | (F.col("imp_scored_u").cast("decimal(30,6)")
            < F.lit(min_coverage).cast("decimal(8,6)") * F.col("imp_total_u").cast("decimal(20,0)"))
     status = (F.when(rated.isNull() | (rated == 0), F.lit("NO_ONET"))
               .when(real & low, F.lit("LOW_COVERAGE"))
@@ -106,29 +101,23 @@ def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT
         F.col("placeholder_exposure").alias("PLACEHOLDER_EXPOSURE"),
     )
     r = a.filter(F.col("A_MEDIAN").isNotNull())
-    # the fact has one row per base occupation: the base scan bounds its size
-    r = global_rank(r, "A_MEDIAN", "WAGE_PERCENTILE", "percent_rank", False, scaled_rank, base)
-    r = global_rank(r, "AI_EXPOSURE", "EXPOSURE_RANK", "rank", True, scaled_rank, base)
+    r = rank_scaled(r, "A_MEDIAN", "WAGE_PERCENTILE", kind="percent_rank")
+    r = rank_scaled(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=False)
     r = r.withColumn("WEIGHTED_EXPOSURE", F.col("AI_EXPOSURE") * F.col("TOT_EMP"))
     r = r.withColumn("WAGE_BAND", band_case("WAGE_PERCENTILE", bands))
     return r.select(*INDEX_COLUMNS)
 
 
 def build_placeholder_fact(base: DataFrame, placeholder: DataFrame, bands: Sequence = WAGE_BANDS,
-                           scaled_rank: bool | str = "auto", extra: Sequence[str] = ()) -> DataFrame:
+                           extra: Sequence[str] = ()) -> DataFrame:
     """OCCUPATION_EXPOSURE_FACT, placeholder form: national occupations with
     the importance proxy, wage percentile, band and exposure rank.  The rank
     puts NULL exposures first (DESC without NULLS, as the warehouse script
     left it implicit; see the README)."""
     e = base.join(placeholder.select("OCC_CODE", "AI_EXPOSURE", "SCORE_SOURCE"), "OCC_CODE", "left")
     r = e.filter(F.col("A_MEDIAN").isNotNull())
-    r = global_rank(r, "A_MEDIAN", "WAGE_PERCENTILE", "percent_rank", False, scaled_rank, base)
-    if scaled_rank == "auto":
-        r = rank_auto(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True, size_hint=base)
-    elif scaled_rank:
-        r = rank_scaled(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True)
-    else:
-        r = rank_window(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True)
+    r = rank_scaled(r, "A_MEDIAN", "WAGE_PERCENTILE", kind="percent_rank")
+    r = rank_scaled(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True)
     r = (r.withColumn("WEIGHTED_EXPOSURE", F.col("AI_EXPOSURE") * F.col("TOT_EMP"))
           .withColumn("WAGE_BAND", band_case("WAGE_PERCENTILE", bands)))
     return r.select("OCC_CODE", "OCC_TITLE", "O_GROUP", "TOT_EMP", "A_MEAN", "A_MEDIAN",
@@ -153,14 +142,14 @@ def axis_rollup(drill: DataFrame, keys: Sequence[str], emp: str, labels: Sequenc
                 rank_partition: Sequence[str] | None = (), rank: bool = True) -> DataFrame:
     """Employment-weighted rollup of the index along one axis + exposure rank.
 
-    The aggregated axis has one row per axis key (sectors, areas): small, so
-    its rank is a plain window (partitioned by granularity for regions)."""
+    The rank is taken on the unrounded mean: means that agree in four decimals
+    only are not ties."""
     g = weighted_rollup(drill, keys, emp, AXIS_METRICS, labels=(*labels, "EXPOSURE_MODE"),
-                        coverage_metric="AI_EXPOSURE")
+                        coverage_metric="AI_EXPOSURE", unrounded="AI_EXPOSURE")
     if rank:
-        g = rank_window(g, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=False,
+        g = rank_scaled(g, "_unrounded", "EXPOSURE_RANK", descending=True, nulls_first=False,
                         partition_by=tuple(rank_partition or ()))
-    return g
+    return g.drop("_unrounded")
 
 
 def axis_industry(industry_slice: DataFrame, index: DataFrame) -> DataFrame:
@@ -198,17 +187,17 @@ def axis_long(industry: DataFrame, region: DataFrame, wage: DataFrame) -> DataFr
     i = industry.select(F.lit("INDUSTRY").alias("AXIS_TYPE"), F.lit("n/a").alias("GRANULARITY"),
                         F.col("NAICS").cast("string").alias("AXIS_KEY"),
                         F.col("INDUSTRY_TITLE").alias("AXIS_LABEL"), *AXIS_METRICS, "TOTAL_EMP",
-                        "EMP_COVERAGE", F.col("EXPOSURE_RANK").cast("int").alias("EXPOSURE_RANK"),
+                        "EMP_COVERAGE", "EXPOSURE_RANK",
                         "EXPOSURE_MODE")
     r = region.select(F.lit("REGION").alias("AXIS_TYPE"), "GRANULARITY",
                       F.col("AREA").cast("string").alias("AXIS_KEY"),
                       F.col("AREA_TITLE").alias("AXIS_LABEL"), *AXIS_METRICS, "TOTAL_EMP",
-                      "EMP_COVERAGE", F.col("EXPOSURE_RANK").cast("int").alias("EXPOSURE_RANK"),
+                      "EMP_COVERAGE", "EXPOSURE_RANK",
                       "EXPOSURE_MODE")
     w = wage.select(F.lit("WAGE_BAND").alias("AXIS_TYPE"), F.lit("n/a").alias("GRANULARITY"),
                     F.col("WAGE_BAND").alias("AXIS_KEY"), F.col("WAGE_BAND").alias("AXIS_LABEL"),
                     *AXIS_METRICS, "TOTAL_EMP", "EMP_COVERAGE",
-                    F.col("BAND_ORDER").cast("int").alias("EXPOSURE_RANK"), "EXPOSURE_MODE")
+                    F.col("BAND_ORDER").cast("bigint").alias("EXPOSURE_RANK"), "EXPOSURE_MODE")
     return i.select(*cols).unionByName(r.select(*cols)).unionByName(w.select(*cols))
 
 

@@ -155,22 +155,23 @@ def index_tasks(tasks: DataFrame, scores: DataFrame) -> DataFrame:
 def base_rules(national: DataFrame, statements: DataFrame, tasks: DataFrame, oews: DataFrame,
                fact: DataFrame, dims: dict[str, DataFrame]) -> DataFrame:
     """The base rule set on the domain tables (checks 1-10)."""
-    r = [Q.run_rules(statements, [
-        Q.Rule(1, "missing occupation code in task statements", "rows",
-               F.count_if(C.is_blank("OCC_CODE")), Q.fail_if_positive),
+    r = [Q.run_rules(oews, [
+        Q.Rule(1, "missing occupation code in staging", "rows",
+               F.count_if(C.is_blank("OCC_CODE")), Q.fail_if_positive)]),
+         Q.run_rules(statements, [
         Q.Rule(2, "occupation code not standardised", "rows",
                F.count_if(F.col("OCC_CODE").isNull() | (F.length("OCC_CODE") != 7)), Q.fail_if_positive)])]
     occ = national.select("OCC_CODE").distinct()
     matched = REL.semi(occ, tasks.select("OCC_CODE"), "OCC_CODE")
     m = matched.agg(F.count(F.lit(1)).alias("_m")).crossJoin(occ.agg(F.count(F.lit(1)).alias("_t")))
     r.append(Q.run_rules(m, [Q.Rule(3, "occupations with tasks", "pct",
-                                    F.max(exact_ratio(F.col("_m") * 100, F.col("_t"), 1)),
-                                    Q.pass_at_least(80.0))]))
+                                    F.max(exact_ratio(F.col("_m") * 100, F.col("_t"), 1)), Q.pass_at_least(80.0),
+                                    tested=F.max(F.try_divide(F.col("_m") * 100.0, F.col("_t").cast("double"))))]))
     for name, (df, keys) in dims.items():
         d = REL.duplicate_keys(df, keys)
         r.append(Q.run_rules(d, [Q.Rule(4, f"duplicate keys in {name}", "keys", F.count(F.lit(1)),
                                         Q.fail_if_positive)]))
-    r.append(Q.run_rules(national, [
+    r.append(Q.run_rules(fact, [
         Q.Rule(5, "invalid employment", "rows", F.count_if(F.col("TOT_EMP").isNull() | (F.col("TOT_EMP") <= 0)),
                Q.warn_if_positive),
         Q.Rule(6, "invalid wage", "rows", F.count_if(F.col("A_MEDIAN").isNull() | (F.col("A_MEDIAN") <= 0)),
@@ -180,7 +181,7 @@ def base_rules(national: DataFrame, statements: DataFrame, tasks: DataFrame, oew
     cnt = fact.agg(F.count(F.lit(1)).alias("_after")).crossJoin(national.agg(F.count(F.lit(1)).alias("_before")))
     r.append(Q.run_rules(cnt, [
         Q.Rule(8, "fact row retention", "pct", F.max(exact_ratio(F.col("_after") * 100, F.col("_before"), 1)),
-               Q.pass_at_least(90.0)),
+               Q.pass_at_least(90.0), tested=F.max(F.try_divide(F.col("_after") * 100.0, F.col("_before").cast("double")))),
         Q.Rule(8, "rows before", "rows", F.max("_before"), Q.info),
         Q.Rule(8, "rows after", "rows", F.max("_after"), Q.info)]))
     left_only, right_only = REL.key_diff(occ, tasks.select("OCC_CODE"), "OCC_CODE")
@@ -190,32 +191,32 @@ def base_rules(national: DataFrame, statements: DataFrame, tasks: DataFrame, oew
     return Q.union_results(*r)
 
 
-def index_rules(scores_all: DataFrame, fact: DataFrame, industry: DataFrame, region: DataFrame,
-                national: DataFrame, long: DataFrame) -> DataFrame:
-    """The index rule set (checks 20-28)."""
+def index_rules(scores: DataFrame, fact: DataFrame, industry: DataFrame, region: DataFrame,
+                long: DataFrame) -> DataFrame:
+    """The index rule set (checks 20-28) on the staged scores of the chosen run."""
     oor = None
     for m in ("AI_EXPOSURE_SCORE", "AUTOMATION_SCORE", "AUGMENTATION_SCORE"):
-        c = ~C.parse_number(m).between(0, 1)
+        c = ~F.col(m).between(0, 1)
         oor = c if oor is None else (oor | c)
-    r = [Q.run_rules(scores_all, [Q.Rule(20, "task scores out of range", "rows", F.count_if(oor),
+    r = [Q.run_rules(scores, [Q.Rule(20, "task scores out of range", "rows", F.count_if(oor),
                                          Q.fail_if_positive)])]
     scored = F.col("SCORE_STATUS") == "SCORED"
-    real = F.col("EXPOSURE_MODE") == ix.REAL
+    covered = F.sum(F.when(scored, units("IMPORTANCE_WEIGHT_COVERAGE", 4)))
     r.append(Q.run_rules(fact, [
-        Q.Rule(21, "scored occupations missing a sub-score", "rows",
-               F.count_if(scored & real & (F.col("AUTOMATION").isNull() | F.col("AUGMENTATION").isNull()
-                                           | F.col("EXPOSURE_CONFIDENCE").isNull())), Q.fail_if_positive),
-        Q.Rule(22, "real task scores in use", "flag", F.max(F.when(real, 1).otherwise(0)),
-               lambda m: F.when(m == 1, F.lit("INFO")).otherwise(F.lit("WARN"))),
+        Q.Rule(21, "scored rows missing a sub-score", "rows",
+               F.count_if(scored & (F.col("AI_EXPOSURE").isNull() | F.col("AUTOMATION").isNull()
+                                    | F.col("AUGMENTATION").isNull())), Q.fail_if_positive),
+        Q.Rule(22, "exposure mode", "occupations", F.count(F.lit(1)),
+               lambda m: F.when(m == 1, F.lit("INFO")).otherwise(F.lit("WARN")),
+               tested=F.max(F.when(F.col("EXPOSURE_MODE") == ix.REAL, 1).otherwise(0))),
         Q.Rule(23, "low coverage occupations", "rows", F.count_if(F.col("SCORE_STATUS") == "LOW_COVERAGE"), Q.info),
-        Q.Rule(24, "mean weight coverage of scored", "ratio",
-               exact_ratio(F.sum(F.when(scored, units("IMPORTANCE_WEIGHT_COVERAGE", 4))),
-                           F.count_if(scored) * 10000, 4),
-               lambda m: F.when(m.isNull() | (m >= 0.8), F.lit("PASS")).otherwise(F.lit("WARN")))]))
-    e = industry.agg(F.sum("TOTAL_EMP").alias("_i")).crossJoin(national.agg(F.sum("TOT_EMP").alias("_n")))
-    r.append(Q.run_rules(e, [Q.Rule(25, "industry employment within national", "pct",
-                                    F.max(exact_ratio(F.col("_i") * 100, F.col("_n"), 1)),
-                                    lambda m: F.when(m > 100, F.lit("FAIL")).otherwise(F.lit("PASS")))]))
+        Q.Rule(24, "mean weight coverage of scored", "pct", exact_ratio(covered * 100, F.count_if(scored) * 10000, 1),
+               lambda m: F.when(m.isNull() | (m >= 0.8), F.lit("PASS")).otherwise(F.lit("WARN")),
+               tested=F.try_divide(covered.cast("double"), F.count_if(scored) * 10000.0))]))
+    e = industry.agg(F.sum("TOTAL_EMP").alias("_i")).crossJoin(fact.agg(F.sum("TOT_EMP").alias("_n")))
+    r.append(Q.run_rules(e, [Q.Rule(25, "industry employment within the fact total", "pct",
+                                    F.max(exact_ratio(F.col("_i") * 100, F.col("_n"), 1, zero=0)), Q.fail_above(0.0),
+                                    tested=F.max(F.col("_i") - F.col("_n")))]))
     r.append(Q.run_rules(region, [
         Q.Rule(26, "granularities present", "count", F.count_distinct("GRANULARITY"),
                lambda m: F.when(m == 3, F.lit("PASS")).otherwise(F.lit("WARN"))),
@@ -243,6 +244,14 @@ class RawTables:
     extra: dict = field(default_factory=dict)
 
 
+class QualityFailure(RuntimeError):
+    """A rebuild whose quality rules FAIL; ``tables`` holds what was built."""
+
+    def __init__(self, fails: int, tables: dict):
+        super().__init__(f"{fails} quality rule(s) failed")
+        self.tables = tables
+
+
 def _materialise(df: DataFrame, out: str, name: str) -> DataFrame:
     path = os.path.join(out, name)
     df.write.mode("overwrite").parquet(path)
@@ -252,8 +261,11 @@ def _materialise(df: DataFrame, out: str, name: str) -> DataFrame:
 def rebuild(spark: SparkSession, raw: RawTables, out: str, min_coverage: float = ix.DEFAULT_MIN_COVERAGE,
             mode: str | None = None) -> dict[str, DataFrame]:
     """D28: staging -> star -> index -> axes -> quality -> log, in order.
-    Raises RuntimeError when a quality rule FAILs (after writing results)."""
-    oews = stg_oews(raw.oews)
+    ``QualityFailure`` is raised when a rule FAILs, after results and log are
+    written; it carries the tables built."""
+    # staged once, by year: ten later steps read it
+    stg_oews(raw.oews).write.mode("overwrite").partitionBy("DATA_YEAR").parquet(os.path.join(out, "stg_oews"))
+    oews = spark.read.parquet(os.path.join(out, "stg_oews"))
     national = _materialise(stg_national(oews), out, "stg_national")
     statements = stg_statements(raw.statements)
     importance = stg_importance(stg_ratings(raw.ratings))
@@ -298,22 +310,21 @@ def rebuild(spark: SparkSession, raw: RawTables, out: str, min_coverage: float =
             "dim_industry": (t["dim_industry"], ["NAICS"]),
             "dim_task": (t["dim_task"], ["TASK_ID", "ONET_SOC_CODE"])}
     dq = base_rules(national, statements, tasks, oews, fact, dims)
-    if raw.scores is not None:
-        dq = dq.unionByName(index_rules(raw.scores, fact, t["industry_exposure_fact"],
-                                        t["region_exposure_fact"], national, long))
+    # in placeholder mode too: the mode rule then warns
+    dq = dq.unionByName(index_rules(scores, fact, t["industry_exposure_fact"], t["region_exposure_fact"], long))
     dq = _materialise(dq.withColumn("CHECKED_AT", F.current_timestamp()), out, "dq_results")
     t["dq_results"] = dq
     v = Q.verdict(dq)
     log = (oews.agg(F.max("DATA_YEAR").alias("BLS_LATEST_YEAR"))
            .crossJoin(raw.oews.agg(F.count(F.lit(1)).alias("BLS_RAW_ROWS")))
            .crossJoin(raw.statements.agg(F.count(F.lit(1)).alias("ONET_TASK_ROWS")))
-           .crossJoin(fact.agg(F.count(F.lit(1)).alias("FACT_ROWS"),
-                               F.count_distinct("OCC_CODE").alias("OCCUPATIONS")))
+           .crossJoin(fact.agg(F.count(F.lit(1)).alias("FACT_ROWS")))
+           .crossJoin(t["dim_occupation"].agg(F.count_distinct("OCC_CODE").alias("OCCUPATIONS")))
            .crossJoin(v).withColumn("REFRESHED_AT", F.current_timestamp()))
     log.write.mode("append").parquet(os.path.join(out, "refresh_log"))
     t["refresh_log"] = spark.read.parquet(os.path.join(out, "refresh_log"))
     verdict_row = v.first()
     t["verdict"] = v
     if verdict_row["QUALITY_FAILS"] > 0:
-        t["failed"] = True
+        raise QualityFailure(verdict_row["QUALITY_FAILS"], t)
     return t

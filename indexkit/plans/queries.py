@@ -14,10 +14,11 @@ from indexkit.plans import standins as S
 from indexkit.plans.registry import query
 
 
-def occupation_index_df(spark: SparkSession, sf_dir: str, scaled_rank: bool | str = "auto") -> DataFrame:
-    return ix.build_index(S.base_occupations(spark, sf_dir), S.task_statements(spark, sf_dir),
-                          weight_scale=S.WEIGHT_SCALE, value_scale=S.VALUE_SCALE,
-                          norm_range=S.NORM_RANGE, scaled_rank=scaled_rank)
+def occupation_index_df(spark: SparkSession, sf_dir: str, scores: DataFrame | None = None) -> DataFrame:
+    scores = S.task_scores(spark, sf_dir) if scores is None else scores
+    tasks = ix.joined_tasks(S.statements(spark, sf_dir), S.importance(spark, sf_dir), scores, S.TASK_KEYS)
+    return ix.build_index(S.base_occupations(spark, sf_dir), tasks, mode=ix.exposure_mode(scores),
+                          weight_scale=S.WEIGHT_SCALE, value_scale=S.VALUE_SCALE, norm_range=S.NORM_RANGE)
 
 
 @query("occupation_index", O.occupation_index_sql(),
@@ -26,6 +27,13 @@ def q_occupation_index(spark, sf_dir):
     return occupation_index_df(spark, sf_dir)
 
 
+@query("occupation_index_placeholder", O.occupation_index_sql(scores="l_discount < 0"),
+       ids=("D17", "P17", "P18", "J10", "D10"))
+def q_occupation_index_placeholder(spark, sf_dir):
+    """The same index while the score table holds no score yet."""
+    return occupation_index_df(spark, sf_dir, S.task_scores(spark, sf_dir).filter("AI_EXPOSURE_SCORE < 0"))
+
+
 def _axes(spark, sf_dir):
     idx = occupation_index_df(spark, sf_dir)
     return idx, ix.axis_industry(S.industry_slice(spark, sf_dir), idx), \

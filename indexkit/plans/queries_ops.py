@@ -194,30 +194,17 @@ SELECT * EXCLUDE (rn) FROM (
                                ORDER BY {', '.join(c + ' NULLS FIRST' for c in LI_ORDER)}) AS rn
   FROM lineitem) WHERE rn = 1"""
 
-STATEMENTS_SQL = f"SELECT l_orderkey AS TASK_ID, l_linenumber AS TASK_LINE, l_partkey AS OCC_CODE FROM ({DEDUP_SQL}) d"
-IMPORTANCE_SQL = (f"SELECT l_orderkey AS TASK_ID, l_linenumber AS TASK_LINE, l_quantity AS IMPORTANCE_RAW, "
-                  f"(l_quantity - 1) / 49.0 AS IMPORTANCE_NORM FROM ({DEDUP_SQL}) d WHERE l_linestatus = 'F'")
-SCORES_SQL = (f"SELECT l_orderkey AS TASK_ID, l_linenumber AS TASK_LINE, l_discount * 10 AS AI_EXPOSURE_SCORE "
-              f"FROM ({DEDUP_SQL}) d WHERE {O.SCORED}")
-
-
 def _dedup(spark, sf_dir):
     li = S.read(spark, sf_dir, "lineitem")
     return REL.dedupe_one(li, ["l_orderkey", "l_linenumber"], LI_ORDER)
 
 
-def _task_parts(spark, sf_dir):
-    d = _dedup(spark, sf_dir)
-    st = d.select(F.col("l_orderkey").alias("TASK_ID"), F.col("l_linenumber").alias("TASK_LINE"),
-                  F.col("l_partkey").alias("OCC_CODE"))
-    im = d.filter(F.col("l_linestatus") == "F").select(
-        F.col("l_orderkey").alias("TASK_ID"), F.col("l_linenumber").alias("TASK_LINE"),
-        F.col("l_quantity").alias("IMPORTANCE_RAW"),
-        C.normalize("l_quantity", *S.NORM_RANGE).alias("IMPORTANCE_NORM"))
-    sc = d.filter(S.scored_flag()).select(
-        F.col("l_orderkey").alias("TASK_ID"), F.col("l_linenumber").alias("TASK_LINE"),
-        (F.col("l_discount") * 10).alias("AI_EXPOSURE_SCORE"))
-    return st, im, sc
+def _tasks(spark, sf_dir, how: str, scored: bool = False) -> DataFrame:
+    """Statements joined with their importance (and scores) on the task key."""
+    keys = list(S.TASK_KEYS)
+    im = S.importance(spark, sf_dir).withColumn("IMPORTANCE_NORM", C.normalize("IMPORTANCE_RAW", *S.NORM_RANGE))
+    out = S.statements(spark, sf_dir).join(im, keys, how)
+    return out.join(S.task_scores(spark, sf_dir), keys, "left") if scored else out
 
 
 @query("dedupe_one", f"""
@@ -227,31 +214,28 @@ def q_dedupe_one(spark, sf_dir):
 
 
 @query("tasks_left", f"""
-SELECT s.TASK_ID, s.TASK_LINE, s.OCC_CODE, i.IMPORTANCE_RAW, i.IMPORTANCE_NORM
-FROM ({STATEMENTS_SQL}) s LEFT JOIN ({IMPORTANCE_SQL}) i ON s.TASK_ID = i.TASK_ID AND s.TASK_LINE = i.TASK_LINE""",
-       ids=("J01", "P08", "D08"))
+SELECT l_orderkey AS TASK_ID, l_linenumber AS TASK_LINE, l_partkey AS OCC_CODE,
+       CASE WHEN {O.RATED} THEN l_quantity END AS IMPORTANCE_RAW,
+       CASE WHEN {O.RATED} THEN (l_quantity - 1) / 49.0 END AS IMPORTANCE_NORM
+FROM lineitem""", ids=("J01", "P08", "D08"))
 def q_tasks_left(spark, sf_dir):
-    st, im, _ = _task_parts(spark, sf_dir)
-    return st.join(im, ["TASK_ID", "TASK_LINE"], "left")
+    return _tasks(spark, sf_dir, "left").select("TASK_ID", "TASK_LINE", "OCC_CODE", "IMPORTANCE_RAW", "IMPORTANCE_NORM")
 
 
 @query("tasks_inner", f"""
-SELECT s.TASK_ID, s.TASK_LINE, s.OCC_CODE, i.IMPORTANCE_RAW
-FROM ({STATEMENTS_SQL}) s JOIN ({IMPORTANCE_SQL}) i ON s.TASK_ID = i.TASK_ID AND s.TASK_LINE = i.TASK_LINE""",
-       ids=("J02",))
+SELECT l_orderkey AS TASK_ID, l_linenumber AS TASK_LINE, l_partkey AS OCC_CODE, l_quantity AS IMPORTANCE_RAW
+FROM lineitem WHERE {O.RATED}""", ids=("J02",))
 def q_tasks_inner(spark, sf_dir):
-    st, im, _ = _task_parts(spark, sf_dir)
-    return st.join(im, ["TASK_ID", "TASK_LINE"], "inner").drop("IMPORTANCE_NORM")
+    return _tasks(spark, sf_dir, "inner").select("TASK_ID", "TASK_LINE", "OCC_CODE", "IMPORTANCE_RAW")
 
 
 @query("tasks_scored", f"""
-SELECT s.TASK_ID, s.TASK_LINE, s.OCC_CODE, i.IMPORTANCE_RAW, c.AI_EXPOSURE_SCORE
-FROM ({STATEMENTS_SQL}) s JOIN ({IMPORTANCE_SQL}) i ON s.TASK_ID = i.TASK_ID AND s.TASK_LINE = i.TASK_LINE
-LEFT JOIN ({SCORES_SQL}) c ON s.TASK_ID = c.TASK_ID AND s.TASK_LINE = c.TASK_LINE""", ids=("J03",))
+SELECT l_orderkey AS TASK_ID, l_linenumber AS TASK_LINE, l_partkey AS OCC_CODE, l_quantity AS IMPORTANCE_RAW,
+       CASE WHEN {O.SCORED} THEN l_discount * 10 END AS AI_EXPOSURE_SCORE
+FROM lineitem WHERE {O.RATED}""", ids=("J03",))
 def q_tasks_scored(spark, sf_dir):
-    st, im, sc = _task_parts(spark, sf_dir)
-    return (st.join(im, ["TASK_ID", "TASK_LINE"], "inner").drop("IMPORTANCE_NORM")
-              .join(sc, ["TASK_ID", "TASK_LINE"], "left"))
+    return _tasks(spark, sf_dir, "inner", scored=True).select(
+        "TASK_ID", "TASK_LINE", "OCC_CODE", "IMPORTANCE_RAW", "AI_EXPOSURE_SCORE")
 
 
 # ------------------------------------------------------------ key sets
@@ -266,25 +250,28 @@ def q_semi_match(spark, sf_dir):
 
 
 @query("anti_left", """
-SELECT DISTINCT c_custkey FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)""",
+SELECT DISTINCT c_custkey FROM customer
+WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",
        ids=("J09", "J17"))
 def q_anti_left(spark, sf_dir):
     c = S.read(spark, sf_dir, "customer").select("c_custkey")
-    o = S.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
+    o = S.read(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     return REL.anti(c, o, "c_custkey").distinct()
 
 
 @query("anti_right", """
-SELECT DISTINCT l_suppkey AS s_suppkey FROM lineitem
-WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = l_suppkey)
+SELECT 'rated' AS side, k FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag = 'R')
+WHERE k NOT IN (SELECT p_partkey FROM part WHERE p_size > 10)
 UNION ALL
-SELECT DISTINCT s_suppkey FROM supplier WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_suppkey = s_suppkey)""",
+SELECT 'part', p_partkey FROM part
+WHERE p_size > 10 AND p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_linestatus = 'F' AND l_returnflag = 'R')""",
        ids=("J09",))
 def q_anti_right(spark, sf_dir):
-    s = S.read(spark, sf_dir, "supplier").select("s_suppkey")
-    li = S.read(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("s_suppkey"))
-    only_l, only_s = REL.key_diff(li, s, "s_suppkey")
-    return only_l.unionByName(only_s)
+    """Keys on one side only, both ways: rated parts and large parts."""
+    p = S.read(spark, sf_dir, "part").filter("p_size > 10").select(F.col("p_partkey").alias("k"))
+    rated = S.importance(spark, sf_dir).select(F.col("OCC_CODE").alias("k"))
+    only_rated, only_part = REL.key_diff(rated, p, "k")
+    return only_rated.select(F.lit("rated").alias("side"), "k").unionByName(only_part.select(F.lit("part").alias("side"), "k"))
 
 
 @query("intersect_keys", """
@@ -296,11 +283,16 @@ def q_intersect_keys(spark, sf_dir):
 
 
 @query("except_keys", """
-SELECT c_custkey FROM customer EXCEPT SELECT o_custkey FROM orders""", ids=("U05",))
+SELECT 'left' AS side, k FROM (SELECT c_custkey AS k FROM customer
+                              EXCEPT SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')
+UNION ALL
+SELECT 'right', k FROM (SELECT o_custkey AS k FROM orders WHERE o_orderpriority = '1-URGENT'
+                        EXCEPT SELECT c_custkey FROM customer WHERE c_acctbal > 0)""", ids=("U05",))
 def q_except_keys(spark, sf_dir):
-    c = S.read(spark, sf_dir, "customer").select("c_custkey")
-    o = S.read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"))
-    return c.subtract(o)
+    c = S.read(spark, sf_dir, "customer").withColumnRenamed("c_custkey", "k")
+    o = S.read(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("k"))
+    left, right = c.select("k").subtract(o), o.subtract(c.filter("c_acctbal > 0").select("k"))
+    return left.select(F.lit("left").alias("side"), "k").unionByName(right.select(F.lit("right").alias("side"), "k"))
 
 
 # ------------------------------------------------------------ bands
@@ -473,9 +465,9 @@ def q_choose_run(spark, sf_dir):
 
 @query("rank_nulls", f"""
 SELECT TASK_ID, TASK_LINE, AI_EXPOSURE_SCORE,
-       CAST(RANK() OVER (ORDER BY AI_EXPOSURE_SCORE DESC NULLS FIRST) AS INTEGER) AS rank_nulls_first,
-       CAST(RANK() OVER (ORDER BY AI_EXPOSURE_SCORE DESC NULLS LAST) AS INTEGER) AS rank_nulls_last,
-       CAST(RANK() OVER (ORDER BY AI_EXPOSURE_SCORE ASC NULLS FIRST) AS INTEGER) AS rank_asc
+       RANK() OVER (ORDER BY AI_EXPOSURE_SCORE DESC NULLS FIRST) AS rank_nulls_first,
+       RANK() OVER (ORDER BY AI_EXPOSURE_SCORE DESC NULLS LAST) AS rank_nulls_last,
+       RANK() OVER (ORDER BY AI_EXPOSURE_SCORE ASC NULLS FIRST) AS rank_asc
 FROM ({O.TASKS}) t""", ids=("W02", "W03"))
 def q_rank_nulls(spark, sf_dir):
     t = S.task_statements(spark, sf_dir).select("TASK_ID", "TASK_LINE", "AI_EXPOSURE_SCORE")
@@ -522,7 +514,7 @@ SELECT OCC_CODE,
          {O.ratio("COUNT(CASE WHEN IMPORTANCE_RAW IS NOT NULL THEN AI_EXPOSURE_SCORE END)", "COUNT(IMPORTANCE_RAW)",
                   zero="0.0")} END AS TASK_COUNT_COVERAGE,
        CASE WHEN COUNT(IMPORTANCE_RAW) > 0 THEN
-         {O.ratio("SUM(CASE WHEN AI_EXPOSURE_SCORE IS NOT NULL THEN CAST(IMPORTANCE_RAW AS BIGINT) END)",
+         {O.ratio("SUM(CASE WHEN AI_EXPOSURE_SCORE IS NULL THEN 0 ELSE CAST(IMPORTANCE_RAW AS BIGINT) END)",
                   "SUM(CAST(IMPORTANCE_RAW AS BIGINT))", zero="0.0")} END AS IMPORTANCE_WEIGHT_COVERAGE
 FROM ({O.TASKS}) t GROUP BY OCC_CODE""", ids=("A03", "A11"))
 def q_coverage(spark, sf_dir):

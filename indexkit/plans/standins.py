@@ -7,8 +7,10 @@ whole tables and grows with them:
 * occupation (fact grain)  = ``part``: code p_partkey, title p_name, group
   p_brand, employment p_size, wage p_retailprice.
 * task statement           = one ``lineitem`` row of occupation l_partkey.
-  Rated (has an importance) when l_linestatus = 'F'; importance is
-  l_quantity (1..50, normalised with (x-1)/49).  Scored unless
+  Rated (has an importance) when l_linestatus = 'F' and l_returnflag = 'R',
+  so some parts have no rated task; importance is l_quantity (1..50,
+  normalised with (x-1)/49).  Statements, importance and scores are separate
+  relations on the task key.  Scored unless
   l_returnflag = 'R' and l_tax <= 0.03; scores are l_discount*10,
   l_tax*10, 1 - l_discount*10, confidence 1 - l_tax*10 (all in [0, 1]).
 * industry slice           = employment (Σ l_quantity) per customer market
@@ -50,22 +52,40 @@ def scored_flag():
     return ~((F.col("l_returnflag") == "R") & (F.col("l_tax") <= 0.03))
 
 
+TASK_KEYS = ("TASK_ID", "TASK_LINE", "TASK_SOURCE", "TASK_DATE", "OCC_CODE")
+
+
+def _task_key() -> list:
+    """Order, line, supplier, ship date and part name one line item (order and line
+    don't)."""
+    return [F.col(c).alias(k) for c, k in zip(("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_partkey"), TASK_KEYS)]
+
+
+def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All task statements: the task key with its occupation."""
+    return read(spark, sf_dir, "lineitem").select(*_task_key())
+
+
+def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importance of the rated statements: returned lines of closed orders."""
+    li = read(spark, sf_dir, "lineitem").filter((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R"))
+    return li.select(*_task_key(), F.col("l_quantity").alias("IMPORTANCE_RAW"))
+
+
+def task_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The score table: one row per scored statement."""
+    disc10, tax10 = F.col("l_discount") * 10, F.col("l_tax") * 10
+    return read(spark, sf_dir, "lineitem").filter(scored_flag()).select(
+        *_task_key(), disc10.alias("AI_EXPOSURE_SCORE"), tax10.alias("AUTOMATION_SCORE"),
+        (1 - disc10).alias("AUGMENTATION_SCORE"), (1 - tax10).alias("CONFIDENCE"))
+
+
 def task_statements(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """statements ⟕ importance ⟕ scores, co-located in one lineitem row."""
-    li = read(spark, sf_dir, "lineitem")
-    s = scored_flag()
-    disc10 = F.col("l_discount") * 10
-    tax10 = F.col("l_tax") * 10
-    return li.select(
-        F.col("l_partkey").alias("OCC_CODE"),
-        F.col("l_orderkey").alias("TASK_ID"),
-        F.col("l_linenumber").alias("TASK_LINE"),
-        F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).alias("IMPORTANCE_RAW"),
-        F.when(s, disc10).alias("AI_EXPOSURE_SCORE"),
-        F.when(s, tax10).alias("AUTOMATION_SCORE"),
-        F.when(s, 1 - disc10).alias("AUGMENTATION_SCORE"),
-        F.when(s, 1 - tax10).alias("CONFIDENCE"),
-    )
+    """statements ⟕ importance ⟕ scores."""
+    tasks = statements(spark, sf_dir)
+    for more in (importance(spark, sf_dir), task_scores(spark, sf_dir)):
+        tasks = tasks.join(more, list(TASK_KEYS), "left")
+    return tasks
 
 
 def enriched_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -46,30 +46,36 @@ def get_spark(app: str = "indexkit", master: str | None = None,
         spark.sparkContext.setLogLevel("ERROR")
     except Exception:  # noqa: BLE001
         pass
-    ensure_checkpoint_dir(spark)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
-    """Use ``spark.checkpoint.dir`` from the session (the shared folder a
-    cluster names); only when it is unset – local runs and tests – create a
-    private scratch folder."""
+    """``spark.checkpoint.dir`` of the session: the shared folder a cluster
+    names.  Only a session with a local master may do without; it gets a
+    private scratch folder.  On a cluster without the setting this raises: a
+    folder of one machine would be invisible to the others."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001  (no SparkContext in a Connect session)
         sc = None
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured and sc is not None:
-        configured = sc.getConf().get("spark.checkpoint.dir", None)
-    path = configured
+    path = spark.conf.get("spark.checkpoint.dir", None)
+    if not path and sc is not None:
+        path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
-        path = fallback or tempfile.mkdtemp(prefix="indexkit-ckpt-")
+        path = fallback or _scratch(sc.master if sc is not None else "")
         spark.conf.set("spark.checkpoint.dir", path)
     if sc is not None and sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
 
 
+def _scratch(master: str) -> str:
+    """A private folder, for a master that runs in this process only."""
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return tempfile.mkdtemp(prefix="indexkit-ckpt-")
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a
     local checkpoint: executors may be lost)."""

@@ -8,6 +8,7 @@ depending on which columns a query prunes).
 
 from __future__ import annotations
 
+import hashlib
 import os
 import uuid
 from collections.abc import Sequence
@@ -80,21 +81,26 @@ def land_to_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (),
 
 def land_delimited(spark: SparkSession, path, schema: StructType, out: str, quarantine: str | None = None,
                    partition_by: Sequence[str] = (), tag_year: bool = False, **read_opts) -> dict:
-    """One read of the text, one Parquet write including the corrupt column,
-    then good rows and quarantined rows split from the Parquet copy."""
+    """Land text as Parquet, bad rows apart.  The parsed rows are kept once
+    (``persist``) for both writes.  Quarantined rows go to a folder per set of
+    source paths that landing the same paths again replaces; the counts are
+    those of this landing."""
     df = read_delimited(spark, path, schema, **read_opts)
     if tag_year:
         df = tag_year_from_file(df)
-    staging = out.rstrip("/") + "__landing"
-    df.write.mode("overwrite").parquet(staging)
-    landed = spark.read.parquet(staging)
-    good, bad = split_quarantine(landed)
-    land_to_parquet(good, out, partition_by)
-    n_bad = 0
-    if quarantine:
-        bad.write.mode("append").parquet(quarantine)
-        n_bad = spark.read.parquet(quarantine).count()
-    return {"rows": spark.read.parquet(out).count(), "quarantined": n_bad}
+    df = df.persist()
+    try:
+        good, bad = split_quarantine(df)
+        n_good, n_bad = good.count(), 0
+        land_to_parquet(good, out, partition_by)
+        if quarantine:
+            paths = sorted([path] if isinstance(path, str) else path)
+            load = hashlib.sha256("\n".join(paths).encode("utf-8")).hexdigest()[:16]
+            bad.write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/load={load}")
+            n_bad = bad.count()
+    finally:
+        df.unpersist()
+    return {"rows": n_good, "quarantined": n_bad}
 
 
 def append_run(df: DataFrame, path: str, run_col: str = "SCORING_RUN_ID", stamp: bool = True) -> None:

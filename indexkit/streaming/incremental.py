@@ -4,10 +4,9 @@
   query with ``trigger(availableNow=True)``; the checkpoint remembers which
   files were processed, so a re-run is a no-op and an interrupted run resumes
   (exactly-once file tracking, survives executor loss).  Micro-batches are
-  written idempotently: with dynamic partition overwrite (a republished year
-  replaces its partition instead of appending duplicates) or, for append-only
-  tables, into one ``batch_epoch=<id>`` folder per micro-batch that a re-run
-  of the same epoch overwrites.
+  written idempotently: into one ``batch_epoch=<id>`` folder per micro-batch
+  that a re-run of the same epoch overwrites or, on request, by dynamic
+  partition overwrite (an explicit republish of years).
 * ``manifest_diff`` – new / changed / unchanged / missing per key between two
   snapshots of source metadata (full outer join, null-safe comparisons).
 * ``latest_version`` – highest (major, minor) of versioned file names,
@@ -64,9 +63,13 @@ def year_window(years: DataFrame, col: str = "DATA_YEAR", span: int = 4, ahead:
 
 def load_new_files(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: StructType,
                    fmt: str = "csv", options: dict | None = None, partition_by: Sequence[str] = (),
-                   transform=None, replace_partitions: bool = True) -> int:
+                   transform=None, replace_partitions: bool = False) -> int:
     """Land files not seen before from ``src`` into Parquet at ``dst``.
 
+    Files already loaded keep their rows: every micro-batch is added under its
+    own ``batch_epoch`` folder.  ``replace_partitions=True`` is the explicit
+    republish of whole partitions (a file then replaces its year).
+
     Returns the number of micro-batches run by this call (0 when nothing was
     new).  ``transform(df)`` may clean/tag each batch (runs on executors)."""
     reader = spark.readStream.format(fmt).schema(schema)

@@ -65,20 +65,27 @@ def test_scaled_plan_has_no_single_partition(data):
                for i, x in enumerate(blines[:-1]))
 
 
-def test_rank_auto_small_uses_window(data):
-    out = R.rank_auto(data, "v", "r")
-    assert out.columns[-1] == "r"
-    _cmp(out, R.rank_window(data, "v", "r"), "r")
+def test_null_partition_key_is_a_partition(spark):
+    rows = [(None, 3.0), (None, 1.0), ("a", 2.0), ("a", None), (None, 1.0), ("b", 5.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    for kind in ("rank", "percent_rank", "average"):
+        a = R.rank_scaled(df, "v", "r", kind=kind, partition_by=["g"], nulls_first=True)
+        b = R.rank_window(df, "v", "r", kind=kind, partition_by=["g"], nulls_first=True)
+        assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
 
 
-def test_index_scaled_equals_window(spark):
+def test_ranks_are_bigint_and_buckets_follow_shuffle_partitions(spark, data):
+    assert dict(R.rank_scaled(data, "v", "r").dtypes)["r"] == "bigint"
+    assert R.range_buckets(data) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_index_ranks_equal_window(spark):
     from indexkit.plans.queries import occupation_index_df
-    sf = "/root/testdata/sf0.001"
-    a = occupation_index_df(spark, sf, True).collect()
-    b = occupation_index_df(spark, sf, False).collect()
-    key = lambda r: r["OCC_CODE"]
-    assert sorted(map(tuple, a), key=lambda t: t[0]) == sorted(map(tuple, b), key=lambda t: t[0])
-    assert len(a) == len(b) == len({key(r) for r in a})
+    df = occupation_index_df(spark, "/root/testdata/sf0.001").select("OCC_CODE", "A_MEDIAN", "AI_EXPOSURE", "EXPOSURE_RANK", "WAGE_PERCENTILE")
+    df = R.rank_window(df, "AI_EXPOSURE", "r", descending=True, nulls_first=False)
+    df = R.rank_window(df, "A_MEDIAN", "p", kind="percent_rank", nulls_first=True)
+    rows = df.collect()
+    assert rows and all(r["r"] == r["EXPOSURE_RANK"] and r["p"] == r["WAGE_PERCENTILE"] for r in rows)
 
 
 def test_latest_per_key_hot_key(spark):
