@@ -150,31 +150,43 @@ def predictors(n0: np.ndarray, n1: np.ndarray, trust: float = 1.5) -> np.ndarray
     return np.stack([np.log((n1 + 0.3) / (n0 + 0.3)), (n0 + n1) / (n0 + n1 + trust)], axis=1).astype(np.float32)
 
 
-#: Slots that travel to the driver in one row.
-PACK = 1 << 13
-
-
-def collected(slots: DataFrame, bits: int, trust: float = 1.5) -> np.ndarray:
-    """The whole table [2^bits, 2] of (slot, n0, n1) rows: packed by tasks, so
-    the driver gets 2^bits / PACK rows of fixed size and nothing else."""
-    def pack(rows: pd.DataFrame) -> pd.DataFrame:
-        out = np.zeros((PACK, 2), dtype=np.float32)
-        out[rows["slot"].to_numpy() % PACK] = predictors(rows["n0"].to_numpy(), rows["n1"].to_numpy(), trust)
-        return pd.DataFrame({"block": [int(rows["slot"].iloc[0]) // PACK], "packed": [out.tobytes()]})
-    table = np.zeros((1 << bits, 2), dtype=np.float32)
-    blocks = slots.withColumn("block", F.expr(f"slot DIV {PACK}")).groupBy("block").applyInPandas(pack, "block long, packed binary")
-    for row in blocks.toLocalIterator():
-        table[row["block"] * PACK:(row["block"] + 1) * PACK] = np.frombuffer(row["packed"], dtype=np.float32).reshape(PACK, 2)
-    return table
+#: Slots of a table that travel in one row.
+PACK = 1 << 10
+_COUNT_ROWS = "block int, counts binary"
 
 
 def _emit(counts: np.ndarray) -> pa.RecordBatch:
-    used = np.flatnonzero(counts.any(axis=1))
-    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array(counts[used, 0], pa.int64()),
-                                       pa.array(counts[used, 1], pa.int64())], names=["slot", "n0", "n1"])
+    """The touched blocks of a task's table [slots, 2], packed."""
+    blocks = counts.reshape(-1, PACK * 2)
+    used = np.flatnonzero(blocks.any(axis=1))
+    return pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), pa.array([blocks[k].tobytes() for k in used], pa.binary())],
+                                      names=["block", "counts"])
 
 
-_SLOT_ROWS = "slot int, n0 long, n1 long"
+def collected(counts: DataFrame, bits: int, trust: float = 1.5) -> np.ndarray:
+    """Predictors [2^bits, 2] from the packed counts of all tasks.  Blocks are
+    dealt and sorted, then summed as a stream that holds one block at a time;
+    the driver gets 2^bits / PACK rows of fixed size and nothing else."""
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def row(block: int, total: np.ndarray) -> pa.RecordBatch:
+            packed = predictors(total[:, 0], total[:, 1], trust) * (total.sum(axis=1) > 0)[:, None].astype(np.float32)
+            return pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([packed.tobytes()], pa.binary())],
+                                              names=["block", "counts"])
+        now, total = None, None
+        for batch in batches:
+            for block, packed in zip(batch.column(0).to_pylist(), batch.column(1)):
+                if block != now:
+                    if now is not None:
+                        yield row(now, total)
+                    now, total = block, np.zeros((PACK, 2), dtype=np.int64)
+                total += np.frombuffer(packed.as_buffer(), dtype=np.int32).reshape(PACK, 2)
+        if now is not None:
+            yield row(now, total)
+    table = np.zeros((1 << bits, 2), dtype=np.float32)
+    summed = counts.repartition("block").sortWithinPartitions("block").mapInArrow(add, _COUNT_ROWS)
+    for r in summed.toLocalIterator():
+        table[r["block"] * PACK:(r["block"] + 1) * PACK] = np.frombuffer(r["counts"], dtype=np.float32).reshape(PACK, 2)
+    return table
 
 
 class Mixer:
@@ -357,7 +369,7 @@ def _laid(mixer: Mixer, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[
 
 
 def context_counts(docs: DataFrame, mixer: Mixer) -> DataFrame:
-    """(slot, n0, n1) summed over all texts; a task sends each slot once."""
+    """Packed counts of the slots that each task's texts touch."""
     shared = docs.sparkSession.sparkContext.broadcast(mixer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -368,7 +380,7 @@ def context_counts(docs: DataFrame, mixer: Mixer) -> DataFrame:
                 ids, lengths, _ = _laid(m, texts)
                 m.count(ids, lengths, counts)
         yield _emit(counts)
-    return docs.select("text").mapInArrow(run, _SLOT_ROWS).groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    return docs.select("text").mapInArrow(run, _COUNT_ROWS)
 
 
 def spelling(counts: DataFrame) -> np.ndarray:
@@ -381,8 +393,7 @@ def spelling(counts: DataFrame) -> np.ndarray:
                 spell_counts(words[at:at + 5000], counts)
         yield _emit(counts)
     once = counts.filter("c = 1 AND word IS NOT NULL").select("word")
-    rows = once.mapInArrow(run, _SLOT_ROWS).groupBy("slot").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    return collected(rows, SPELL_BITS, SPELL_TRUST)
+    return collected(once.mapInArrow(run, _COUNT_ROWS), SPELL_BITS, SPELL_TRUST)
 
 
 def _least_count(counts: DataFrame) -> int:

@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -207,6 +208,19 @@ def test_lm_base_equals_brute_force(spark, odd, none, clash, monkeypatch):
     assert all(r.train_tokens == 0 and r.n_known == 0 and r.score < 0 for r in untrained)
 
 
+def test_gathered_table_equals_one_pass_over_all_texts(spark):
+    texts = [f"alpha beta w{k % 17} gamma alpha" for k in range(200)]
+    words, weights = [b"alpha", b"beta", b"gamma"], np.array([400, 200, 200, 200, 200])
+    mixer = context_mixing.Mixer(words, np.array([400, 200, 200]), weights, None)
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(7)
+    got = context_mixing.collected(context_mixing.context_counts(docs, mixer), context_mixing.TABLE_BITS)
+    ids, lengths, _ = context_mixing._laid(mixer.ready(), texts)
+    counts = np.zeros((1 << context_mixing.TABLE_BITS, 2), dtype=np.int32)
+    mixer.count(ids, lengths, counts)
+    want = context_mixing.predictors(counts[:, 0], counts[:, 1])
+    assert (got == want).all() and (got[:, 1] > 0).sum() > 20
+
+
 # ---- language id
 def test_language_id_on_held_out_documents(spark, none, clash):
     sf = "/root/testdata/sf0.01"
