@@ -199,4 +199,5 @@ def encode_documents(docs: DataFrame, path: str, with_ids: bool = False) -> Data
                 column.append(value)
         return out
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return with_columns_from_text(docs, lambda: fn, added).drop("text")
+    # the bounded chunk table stays with the worker for its next task
+    return with_columns_from_text(docs, lambda: (fn, lambda: None), added).drop("text")

@@ -40,11 +40,13 @@ def parts(n_rows: int, per_part: int) -> int:
     return max(1, math.ceil(n_rows / per_part))
 
 
-def with_columns_from_text(docs: DataFrame, make: Callable[[], Callable[[list[str]], list]], added: list[tuple[str, str]],
+def with_columns_from_text(docs: DataFrame, make: Callable[[], tuple[Callable[[list[str]], list], Callable[[], None]]],
+                           added: list[tuple[str, str]],
                            text: str = "text") -> DataFrame:
     """``docs`` plus columns computed from one text column by a Python function
     over batches; nulls reach it as empty strings.  ``make`` runs once per
-    task.  All other columns pass as Arrow, untouched; a column of the name of
+    task and gives the function and one that frees what it holds (Python
+    workers outlive tasks).  All other columns pass as Arrow, untouched; a column of the name of
     an added one is replaced."""
     names = {n for n, _ in added}
     kept = docs.select([c for c in docs.columns if c not in names])
@@ -54,11 +56,15 @@ def with_columns_from_text(docs: DataFrame, make: Callable[[], Callable[[list[st
     at = kept.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        fn = make()
-        for batch in batches:
-            made = fn([t or "" for t in batch.column(at).to_pylist()])
-            arrays = [pa.array(m, type=t) for m, t in zip(made, types)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *(n for n, _ in added)])
+        fn, free = make()
+        try:
+            for batch in batches:
+                made = fn([t or "" for t in batch.column(at).to_pylist()])
+                arrays = [pa.array(m, type=t) for m, t in zip(made, types)]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *arrays],
+                                                 names=[*batch.schema.names, *(n for n, _ in added)])
+        finally:
+            free()
     return kept.mapInArrow(run, schema)
 
 

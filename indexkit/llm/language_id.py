@@ -54,6 +54,9 @@ class Model:
     def __setstate__(self, state: tuple) -> None:
         self.__init__(*state)
 
+    def forget(self) -> None:
+        self._row, self._table = {}, self._table[:0].copy()
+
     def emissions(self, words: list[str]) -> np.ndarray:
         new = list(set(words).difference(self._row))
         if len(self._row) + len(new) > MEMO:
@@ -143,5 +146,5 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             some = mean.sum(1) > 0
             return [[m.langs[k] if ok else "und" for k, ok in zip(mean.argmax(1), some)],
                     np.where(some, np.clip(mean.max(1), 0, 1), 0.0)]
-        return fn
+        return fn, m.forget
     return with_columns_from_text(docs, make, [("lang_pred", "string"), ("lang_score", "double")])
