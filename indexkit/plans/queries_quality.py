@@ -368,7 +368,7 @@ bands AS (SELECT * FROM (VALUES ('Low', 1), ('Middle', 2), ('High', 3)) b(WAGE_B
 SELECT d.NAICS, d.INDUSTRY_TITLE, d.OCC_CODE, o.OCC_TITLE, o.O_GROUP, i.WAGE_BAND, b.BAND_ORDER,
        d.SECTOR_OCC_EMP, d.AI_EXPOSURE
 FROM drill d LEFT JOIN dim_occ o ON d.OCC_CODE = o.OCC_CODE LEFT JOIN idx i ON d.OCC_CODE = i.OCC_CODE
-     LEFT JOIN bands b ON i.WAGE_BAND = b.WAGE_BAND""", ids=("J18", "D11", "D15", "D18", "D26"))
+     LEFT JOIN bands b ON i.WAGE_BAND = b.WAGE_BAND""", ids=("J18", "D11", "D15", "D18"))
 def q_star_join(spark, sf_dir):
     idx = occupation_index_df(spark, sf_dir)
     drill = ix.drill_fact(S.industry_slice(spark, sf_dir), idx, "SECTOR_OCC_EMP", ["NAICS", "INDUSTRY_TITLE"])

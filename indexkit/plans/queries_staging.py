@@ -200,14 +200,43 @@ def q_vw_occupation_national(spark, sf_dir):
 
 
 @query("vw_region_occupation", f"""
-SELECT GRANULARITY, AREA, AREA_TITLE, STATE, OCC_CODE, AREA_OCC_EMP, AI_EXPOSURE, AUTOMATION, AUGMENTATION,
-       SCORE_STATUS, EXPOSURE_MODE
-FROM ({O.region_drill_sql()}) d""", ids=("D25", "D20", "J05"))
+SELECT GRANULARITY, AREA, AREA_TITLE, STATE, OCC_CODE, p_name AS OCC_TITLE, AREA_OCC_EMP, AI_EXPOSURE, AUTOMATION,
+       AUGMENTATION, SCORE_STATUS, EXPOSURE_MODE
+FROM ({O.region_drill_sql()}) d JOIN part ON p_partkey = OCC_CODE""", ids=("D25", "D20", "J05"))
 def q_vw_region_occupation(spark, sf_dir):
-    d = ix.drill_fact(S.region_slice(spark, sf_dir), occupation_index_df(spark, sf_dir), "AREA_OCC_EMP",
-                      ["GRANULARITY", "AREA", "AREA_TITLE", "STATE"])
-    return d.select("GRANULARITY", "AREA", "AREA_TITLE", "STATE", "OCC_CODE", "AREA_OCC_EMP", "AI_EXPOSURE",
-                    "AUTOMATION", "AUGMENTATION", "SCORE_STATUS", "EXPOSURE_MODE")
+    idx = occupation_index_df(spark, sf_dir)
+    d = ix.drill_fact(S.region_slice(spark, sf_dir), idx, "AREA_OCC_EMP", ["GRANULARITY", "AREA", "AREA_TITLE", "STATE"])
+    titles = S.base_occupations(spark, sf_dir).select("OCC_CODE", "OCC_TITLE")
+    return d.join(titles, "OCC_CODE").select(
+        "GRANULARITY", "AREA", "AREA_TITLE", "STATE", "OCC_CODE", "OCC_TITLE", "AREA_OCC_EMP", "AI_EXPOSURE",
+        "AUTOMATION", "AUGMENTATION", "SCORE_STATUS", "EXPOSURE_MODE")
+
+
+@query("vw_industry_occupation", f"""
+SELECT NAICS, INDUSTRY_TITLE, OCC_CODE, p_name AS OCC_TITLE, SECTOR_OCC_EMP, AI_EXPOSURE, AUTOMATION, AUGMENTATION,
+       SCORE_STATUS, EXPOSURE_MODE
+FROM ({O.industry_drill_sql()}) d JOIN part ON p_partkey = OCC_CODE""", ids=("D26", "D18", "J05"))
+def q_vw_industry_occupation(spark, sf_dir):
+    idx = occupation_index_df(spark, sf_dir)
+    d = ix.drill_fact(S.industry_slice(spark, sf_dir), idx, "SECTOR_OCC_EMP", ["NAICS", "INDUSTRY_TITLE"])
+    titles = S.base_occupations(spark, sf_dir).select("OCC_CODE", "OCC_TITLE")
+    return d.join(titles, "OCC_CODE").select("NAICS", "INDUSTRY_TITLE", "OCC_CODE", "OCC_TITLE", "SECTOR_OCC_EMP",
+                                             "AI_EXPOSURE", "AUTOMATION", "AUGMENTATION", "SCORE_STATUS", "EXPOSURE_MODE")
+
+
+@query("dim_industry", """
+SELECT NAICS, arg_max(INDUSTRY_TITLE, y) AS INDUSTRY_TITLE FROM (
+  SELECT DISTINCT year(o_orderdate) AS y, c_mktsegment AS NAICS,
+         lower(c_mktsegment) || ' (' || year(o_orderdate) || ')' AS INDUSTRY_TITLE
+  FROM orders JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment IS NOT NULL)
+GROUP BY NAICS""", ids=("D14", "W05"))
+def q_dim_industry(spark, sf_dir):
+    """One row per industry, titled as in its newest year."""
+    o = S.read(spark, sf_dir, "orders").select("o_custkey", F.year("o_orderdate").alias("DATA_YEAR"))
+    c = S.read(spark, sf_dir, "customer").filter("c_mktsegment IS NOT NULL").select("c_custkey", F.col("c_mktsegment").alias("NAICS"))
+    seen = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select(
+        "DATA_YEAR", "NAICS", F.format_string("%s (%d)", F.lower("NAICS"), F.col("DATA_YEAR")).alias("INDUSTRY_TITLE")).distinct()
+    return REL.latest_per_key(seen, ["NAICS"], [F.col("DATA_YEAR").desc(), F.col("INDUSTRY_TITLE")], ["INDUSTRY_TITLE"])
 
 
 def _land_oews(spark, sf_dir):

@@ -13,7 +13,9 @@ from indexkit.plans.standins import TABLES
 SF = "/root/testdata/sf0.001"
 FAST = ["occupation_index", "axis_industry", "axis_region", "axis_wage_band", "clean_parse", "tasks_scored",
         "band_join", "weighted_mean", "rank_nulls", "agreement", "stratified_sample", "response_parse",
-        "histogram", "funnel", "swap_flags", "latest_slice", "manifest_diff", "dim_region", "landing_roundtrip", "quarantine"]
+        "histogram", "funnel", "swap_flags", "latest_slice", "manifest_diff", "dim_region", "landing_roundtrip", "quarantine",
+        "occupation_index_placeholder", "anti_left", "anti_right", "except_keys", "tasks_left", "coverage", "dim_industry",
+        "vw_industry_occupation"]
 
 
 @pytest.fixture(scope="module")
