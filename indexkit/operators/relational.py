@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from indexkit.functions.bands import WAGE_BANDS, bands_frame
+from indexkit.operators.ranking import range_buckets
 
 
 def _col(c) -> Column:
@@ -43,7 +44,7 @@ def slice_where(df: DataFrame, **predicates) -> DataFrame:
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column],
-                   columns: Sequence[str], salt_buckets: int = 16) -> DataFrame:
+                   columns: Sequence[str], salt_buckets: int | None = None) -> DataFrame:
     """One row per key: the row that sorts first by ``order_by`` (Columns,
     with direction), ties broken by ``columns`` ascending (NULLs first), so
     the choice is total and deterministic.
@@ -54,7 +55,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     tasks; the second pass ranks at most ``salt_buckets`` survivors per key.
     """
     order = list(order_by) + [F.col(c).asc_nulls_first() for c in columns]
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in dict.fromkeys([*keys, *columns])]), F.lit(salt_buckets))
+    salts = salt_buckets or range_buckets(df)
+    salt = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in dict.fromkeys([*keys, *columns])]), F.lit(salts))
     d = df.withColumn("_salt", salt)
     d = d.withColumn("_r", F.row_number().over(Window.partitionBy(*keys, "_salt").orderBy(*order)))
     d = d.filter(F.col("_r") == 1)

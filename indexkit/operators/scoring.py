@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from indexkit.functions.hashing import sha8, sha_hex
+from indexkit.operators.ranking import range_buckets
 
 RESPONSE_FIELDS = ("ai_exposure_score", "automation_score", "augmentation_score", "confidence")
 RESPONSE_SCHEMA = StructType([StructField(f, DoubleType()) for f in RESPONSE_FIELDS]
@@ -117,7 +118,7 @@ def score_worklist(df: DataFrame, scorer: Callable, out_schema: StructType) -> D
 
 
 def stratified_sample(df: DataFrame, strata: Column, key: str, n: int, seed: int,
-                      salt_buckets: int = 64) -> DataFrame:
+                      salt_buckets: int | None = None) -> DataFrame:
     """Proportional allocation k = max(1, round_half_even(n * size / total))
     per stratum, rows ordered by sha256('seed:key') inside the stratum; the
     union is trimmed to n by the same order (not padded).
@@ -128,6 +129,7 @@ def stratified_sample(df: DataFrame, strata: Column, key: str, n: int, seed: int
     Stratum sizes are the sums of the group sizes, so the second window sees
     at most ``salt_buckets * n`` rows per stratum and no task holds a whole
     stratum."""
+    salt_buckets = salt_buckets or range_buckets(df)
     d = (df.withColumn("_stratum", strata).withColumn("_h", sha_hex(F.lit(seed), F.col(key)))
            .withColumn("_salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salt_buckets))))
     w1 = Window.partitionBy("_stratum", "_salt")
