@@ -2,7 +2,8 @@
 conditional random field (see ``crf``).
 
 The model is trained here, on a bounded sample of labelled documents: at most
-``TRAIN_DOCS`` per language, of each at most ``TRAIN_CHARS`` characters.  What
+``TRAIN_DOCS`` of each of at most ``LANGUAGES`` languages, of each document at
+most ``TRAIN_CHARS`` characters.  What
 it predicts from is the text alone.  Documents are scored whole: a document's
 language is the one with the largest mean marginal over all its words, and that
 mean is its score.
@@ -29,6 +30,8 @@ from indexkit.llm.common import takes, with_columns_from_text
 
 TRAIN_DOCS = 250
 TRAIN_CHARS = 3000
+#: Languages learned at most (those with most sampled documents); bounds the model.
+LANGUAGES = 256
 #: Characters of text taken up at a time by a task, and words it remembers.
 TAKE_CHARS = 1_500_000
 MEMO = 300_000
@@ -111,7 +114,8 @@ def fit(docs: DataFrame, usable: Column) -> Model:
     mark = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
     pick = Window.partitionBy("lang").orderBy("mark")
     last = known.select("lang", mark.alias("mark")).withColumn("n", F.row_number().over(pick)) \
-        .filter(F.col("n") <= TRAIN_DOCS).groupBy("lang").agg(F.max("mark").alias("last"))
+        .filter(F.col("n") <= TRAIN_DOCS).groupBy("lang").agg(F.max("mark").alias("last"), F.count("*").alias("docs")) \
+        .orderBy(F.desc("docs"), "lang").limit(LANGUAGES)
     rows = known.withColumn("mark", mark).join(F.broadcast(last), "lang").filter(F.col("mark") <= F.col("last")) \
         .select("lang", "mark", F.substring("text", 1, TRAIN_CHARS).alias("text"))
 
