@@ -287,11 +287,10 @@ def verified(groups: DataFrame) -> DataFrame:
         .mapInPandas(run, "cls binary, texts long, docs long, root binary")
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, class_id (least id of its near-duplicate
-    class), text_id (least id of the texts with the same shingles), n_links
-    (other documents of similarity >= THRESHOLD, copies included) and
-    n_text_links (other text classes among them)."""
+def _joined(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, mark, head and first (no_id, doc_id, mark of
+    the first document of its near-duplicate class and of its text class),
+    n_links and n_text_links."""
     rows = text_classes(docs)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "mark"))
     classes = stored(rows.groupBy("cls").agg(first.alias("first"), F.count("*").alias("copies"), F.max("n").alias("n"),
@@ -312,10 +311,19 @@ def join(docs: DataFrame) -> DataFrame:
     by_class = members.join(heads, "root").select("cls", "head", "texts", "docs")
 
     every = classes.select("cls", "first", "copies").join(by_class, "cls", "left").select(
-        "cls", F.coalesce("head", "first")["doc_id"].alias("class_id"), F.col("first.doc_id").alias("text_id"),
+        "cls", F.coalesce("head", "first").alias("head"), "first",
         (F.coalesce("docs", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("texts", F.lit(0)).alias("n_text_links"))
-    return rows.select("doc_id", "cls").join(every, "cls").select("doc_id", "class_id", "text_id", "n_links", "n_text_links")
+    return rows.select("doc_id", "mark", "cls").join(every, "cls").drop("cls")
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """One row per document: doc_id, class_id (least id of its near-duplicate
+    class), text_id (least id of the texts with the same shingles), n_links
+    (other documents of similarity >= THRESHOLD, copies included) and
+    n_text_links (other text classes among them)."""
+    return _joined(docs).select("doc_id", F.col("head.doc_id").alias("class_id"), F.col("first.doc_id").alias("text_id"),
+                                "n_links", "n_text_links")
 
 
 def with_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -338,8 +346,19 @@ def with_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     """All columns of one document of each near-duplicate class: the one with
-    the least id."""
-    found = join(docs).select(F.col("doc_id").alias("__id"), "class_id")
-    gone = stored(found.filter(~F.col("__id").eqNullSafe(F.col("class_id"))).select("__id"), "nj-gone")
-    safe, restored = shielded(docs, ["doc_id"])
-    return restored(without_keys(safe.withColumn("__id", F.col("doc_id").cast("long")), gone, ["__id"]))
+    the least id.  Rows are told apart by id and text, so neither an id on
+    several texts nor a null id takes other rows along; of rows that repeat
+    both, one stays."""
+    key = ["__id", "__mark"]
+    stays = F.col("doc_id").eqNullSafe(F.col("head.doc_id")) & (F.col("mark") == F.col("head.mark"))
+    found = _joined(docs).select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"), stays.alias("stays"))
+    gone = stored(found.groupBy(*key).agg(F.max("stays").alias("stays"), F.count("*").alias("n"))
+                  .filter("NOT stays OR n > 1"), "nj-gone")
+    again = gone.filter("stays").select(*key)
+    safe, restored = shielded(docs, ["doc_id", "text"])
+    marked = safe.withColumn("__id", F.col("doc_id").cast("long")) \
+        .withColumn("__mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+    names = again.select(*[F.col(c).alias(f"{c}2") for c in key])
+    twice = may_match(marked, again, key).join(
+        names, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__mark") == F.col("__mark2")), "left_semi")
+    return restored(without_keys(marked, gone.select(*key), key).unionByName(twice.dropDuplicates(key)))

@@ -326,6 +326,22 @@ def test_near_duplicate_stage_keeps_the_least_id(spark, none, clash):
     assert ngram_join.drop_near_duplicates(clash).columns == clash.columns
 
 
+def test_near_duplicate_stage_tells_rows_apart_by_id_and_text(spark):
+    def text(seed):
+        return " ".join(random.Random(seed).choices([f"w{i}" for i in range(500)], k=60))
+
+    data = [(1, text(1)), (None, text(1) + " x"),  # a null id in another head's class
+            (None, text(2)), (None, text(3)), (None, text(3) + " x"),  # unique; a class without an id
+            (5, text(5)), (6, text(5) + " x"), (6, text(6)),  # an id on a dropped and on a unique text
+            (7, text(7)), (7, text(7) + " x"), (8, text(8)), (8, text(8)),  # near copies and a repeated row of one id
+            (9, text(9)), (10, text(9) + " x"), (9, text(10)), (3, text(10) + " x")]  # an id that is head and dropped
+    got = rows(ngram_join.drop_near_duplicates(spark.createDataFrame(data, "doc_id long, text string")))
+    for whole in ([(1, text(1))], [(None, text(2))], [(5, text(5))], [(6, text(6))], [(8, text(8))], [(9, text(9))], [(3, text(10) + " x")]):
+        assert [r for r in got if r in whole] == whole
+    assert len([r for r in got if r[1].startswith(text(3))]) == len([r for r in got if r[0] == 7]) == 1
+    assert len(got) == 9
+
+
 def test_components_of_paths_stars_and_cycles(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 202), (202, 200), (7, 7)]
     df = spark.createDataFrame([(str(a), str(b)) for a, b in edges], "a string, b string")
