@@ -75,30 +75,23 @@ def forward_backward(e: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.n
         marginal[t] = m / m.sum(1, keepdims=True)
         out = f[t] * beta
         if t:
-            joint = alpha[t - 1][:, :, None] * a[None] * out[:, None, :]
-            pairs += (joint / joint.sum((1, 2), keepdims=True)).sum(0)
+            total = (alpha[t - 1] @ a * out).sum(1, keepdims=True)
+            pairs += a * ((alpha[t - 1] / total).T @ out)
         beta = out @ a.T
         beta /= beta.sum(1, keepdims=True)
     return marginal, pairs
 
 
-def train(texts: list[list[str]], labels: list[int], n_labels: int, seed: int = 7, sequences: int = 1500,
-          length: int = 48, rounds: int = 40, rate: float = 0.15, decay: float = 1e-4) -> tuple[np.ndarray, np.ndarray]:
-    """Feature and transition weights by gradient ascent on the conditional
-    likelihood of code-switched sequences spliced from labelled texts."""
-    rng = np.random.default_rng(seed)
-    weights = np.zeros((1 << BITS, n_labels), dtype=np.float32)
-    trans = np.zeros((n_labels, n_labels))
-    by_label = [[t for t, l in zip(texts, labels) if l == k and t] for k in range(n_labels)]
-    if n_labels < 2 or not all(by_label):
-        return weights, trans
+def _spliced(by_label: list[list[list[str]]], rng: np.random.Generator, sequences: int, length: int) -> tuple:
+    """Code-switched sequences: word numbers and labels [length, sequences], the
+    features of the numbered words, where each word's begin and how many it has."""
     number: dict[str, int] = {}
     word = np.empty((length, sequences), dtype=np.int64)
     gold = np.empty((length, sequences), dtype=np.int64)
     for s in range(sequences):
         t = 0
         while t < length:
-            k = int(rng.integers(n_labels))
+            k = int(rng.integers(len(by_label)))
             text = by_label[k][int(rng.integers(len(by_label[k])))]
             take = min(length - t, int(rng.geometric(1 / 16)))
             at = int(rng.integers(max(1, len(text) - take + 1)))
@@ -107,27 +100,41 @@ def train(texts: list[list[str]], labels: list[int], n_labels: int, seed: int =
                 gold[t, s] = k
                 t += 1
     found, start = features(list(number))
-    per_word = np.diff(np.append(start, len(found)))
-    hot = np.eye(n_labels)[gold]
-    seen = np.zeros((n_labels, n_labels))
-    np.add.at(seen, (gold[:-1].ravel(), gold[1:].ravel()), 1)
+    return word, gold, found, start, np.diff(np.append(start, len(found)))
+
+
+def train(texts: list[list[str]], labels: list[int], n_labels: int, seed: int = 7, sequences: int = 1500,
+          length: int = 48, rounds: int = 40, rate: float = 0.15, decay: float = 1e-4, batches: int = 1) -> tuple[np.ndarray, np.ndarray]:
+    """Feature and transition weights by gradient ascent on the conditional
+    likelihood of code-switched sequences spliced from labelled texts: in every
+    round a step for each of ``batches`` batches of ``sequences``."""
+    rng = np.random.default_rng(seed)
+    weights = np.zeros((1 << BITS, n_labels), dtype=np.float32)
+    trans = np.zeros((n_labels, n_labels))
+    by_label = [[t for t, l in zip(texts, labels) if l == k and t] for k in range(n_labels)]
+    if n_labels < 2 or not all(by_label):
+        return weights, trans
+    drawn = [_spliced(by_label, rng, sequences, length) for _ in range(batches)]
     speed = np.full_like(weights, 1e-6)
     trans_speed = np.full_like(trans, 1e-6)
     for _ in range(rounds):
-        e = np.add.reduceat(weights[found], start, axis=0)[word].astype(np.float64)
-        marginal, pairs = forward_backward(e, trans)
-        miss = (hot - marginal).reshape(-1, n_labels)
-        grad = np.empty_like(weights)
-        flat = word.ravel()
-        for k in range(n_labels):
-            by_word = np.bincount(flat, weights=miss[:, k], minlength=len(number))
-            grad[:, k] = np.bincount(found, weights=np.repeat(by_word, per_word), minlength=1 << BITS)
-        grad = grad / sequences - decay * weights
-        speed += grad * grad
-        weights += rate * grad / np.sqrt(speed)
-        tg = (seen - pairs) / sequences - decay * trans
-        trans_speed += tg * tg
-        trans += rate * tg / np.sqrt(trans_speed)
+        for word, gold, found, start, per_word in drawn:
+            e = np.add.reduceat(weights[found], start, axis=0)[word].astype(np.float64)
+            marginal, pairs = forward_backward(e, trans)
+            miss = (np.eye(n_labels)[gold] - marginal).reshape(-1, n_labels)
+            grad = np.empty_like(weights)
+            flat = word.ravel()
+            for k in range(n_labels):
+                by_word = np.bincount(flat, weights=miss[:, k], minlength=len(per_word))
+                grad[:, k] = np.bincount(found, weights=np.repeat(by_word, per_word), minlength=1 << BITS)
+            grad = grad / sequences - decay * weights
+            speed += grad * grad
+            weights += rate * grad / np.sqrt(speed)
+            seen = np.zeros((n_labels, n_labels))
+            np.add.at(seen, (gold[:-1].ravel(), gold[1:].ravel()), 1)
+            tg = (seen - pairs) / sequences - decay * trans
+            trans_speed += tg * tg
+            trans += rate * tg / np.sqrt(trans_speed)
     return weights, trans
 
 

@@ -239,6 +239,39 @@ def test_language_id_on_held_out_documents(spark, none, clash):
 
 
 # ---- Kneser-Ney
+def test_every_language_has_a_place_in_the_tree():
+    langs = [f"l{k:04}" for k in range(1500)]
+    tree = language_id.fields(langs)
+    assert sorted(s[0] for states in tree for s in states if len(s) == 1) == langs
+    assert [l for s in tree[0] for l in s] == langs and max(map(len, tree)) <= language_id.FAN
+    inner = [s for states in tree for s in states if len(s) > 1]
+    assert sorted(inner) == sorted([l for s in states for l in s] for states in tree[1:])
+    assert language_id.fields([]) == [[]] and language_id.fields(["a"]) == [[["a"]]]
+
+
+def test_language_sample_breaks_ties_and_reaches_late_passages(spark):
+    data = [(None, f"gleich wort{k}", "de") for k in range(400)] + [(1, "same row", "en")] * 400
+    data += [(k, "early " * 2000 + "late " * 2000, "fr") for k in range(3)]
+    got = rows(language_id.sample(spark.createDataFrame(data, "doc_id long, text string, lang string"), F.lit(True)))
+    assert Counter(r[0] for r in got) == {"de": language_id.TRAIN_DOCS, "en": 1, "fr": 3}
+    for _, _, _, parts in (r for r in got if r[0] == "fr"):
+        assert sum(map(len, parts)) == language_id.TRAIN_CHARS
+        assert {"early", "late"} <= {w for part in language_id._span_words(parts) for w in part} <= {"early", "late"}
+
+
+def test_a_tree_of_fields_tells_all_languages_apart(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "FAN", 2)
+    letters = ["abcd", "efgh", "ijkl", "mnop", "qrst"]
+    def text(k, seed):
+        rng = random.Random(seed)
+        return " ".join("".join(rng.choices(letters[k], k=4)) for _ in range(40))
+    docs = spark.createDataFrame([(k * 20 + i, text(k, k * 20 + i), f"lang{k}") for k in range(5) for i in range(20)],
+                                 "doc_id long, text string, lang string")
+    tree = language_id.fit(docs, F.lit(True))
+    assert len(tree.shared) > 1
+    assert language_id.predict(docs, tree).filter("lang = lang_pred AND lang_score > 0.5").count() == 100
+
+
 def test_kneser_ney_tables_sum_to_one(spark):
     text = spark.createDataFrame([("the cat sat on the mat",), ("the dog sat",), ("",), (None,)], "text string").withColumn("fold", F.lit(0))
     chars = kneser_ney.alphabet(text)
