@@ -196,7 +196,7 @@ FROM r GROUP BY {g}"""
 
 
 @query("agreement", agreement_sql(PAIRS_SQL, ["comparison", "metric"]),
-       ids=("A21", "A22", "A23", "A24", "A25", "J14", "C09"))
+       ids=("A21", "A22", "A23", "A24", "A25"))
 def q_agreement(spark, sf_dir):
     return AG.agreement_report(_pairs_df(spark, sf_dir), ["comparison", "metric"])
 
