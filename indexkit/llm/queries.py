@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexkit.llm import bpe, chat_format, context_mixing, exact_dedup, kneser_ney, language_id, m_tree, ngram_join, packing, url_rules
+from indexkit.llm import (bpe, chat_format, context_mixing, exact_dedup, fill_middle, kneser_ney, language_id, m_tree,
+                          ngram_join, packing, token_alignment, url_rules)
 from indexkit.llm.common import crc_mod, read
 from indexkit.llm.registry import query
 
@@ -113,3 +114,41 @@ FROM keyed WINDOW w AS (PARTITION BY text_sha256 ORDER BY n_cp DESC, doc_id)""")
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_dedup.deduplicate(docs, exact_dedup.stable_half(F.col("doc_id")))
+
+
+@query("op13_fill_in_middle", r"""
+WITH hashed AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (
+  SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units,
+         ('0x' || h[1:8])::BIGINT AS h1, ('0x' || h[9:16])::BIGINT AS h2,
+         ('0x' || h[17:24])::BIGINT AS h3, ('0x' || h[25:32])::BIGINT AS h4
+  FROM hashed),
+cut AS (
+  SELECT *, len(units)::BIGINT AS n, least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS lo,
+         greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS hi,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100
+              THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1:lo], '') AS p, array_to_string(units[lo + 1:hi], '') AS m,
+         array_to_string(units[hi + 1:n], '') AS s
+  FROM cut)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(CASE form WHEN 'plain' THEN t ELSE p || m || s END) AS restored_sha256
+FROM parts""")
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fill_middle.transform(fill_middle.plan(fill_middle.store(docs)))
+    return fill_middle.digests(made).select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                                            "output_sha256", "restored_sha256")
+
+
+@query("op11_token_alignment")
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
+                                 public_tokenizers.path("piece_bpe_32k.model"))
