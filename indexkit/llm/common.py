@@ -68,6 +68,37 @@ def with_columns_from_text(docs: DataFrame, make: Callable[[], tuple[Callable[[l
     return kept.mapInArrow(run, schema)
 
 
+#: Size of results that ``mapped_rows`` hands on at a time.
+_SLICE = 8 << 20
+
+
+def mapped_rows(df: DataFrame, drop: list[str], reads: list[str], added: list[tuple[str, str]],
+                row: Callable[..., tuple], weight: Callable[[tuple], int]) -> DataFrame:
+    """``df`` without ``drop`` plus columns computed row by row from ``reads``,
+    handed on in slices of bounded size."""
+    names = [n for n, _ in added]
+    keep = [c for c in df.columns if c not in names and c not in drop]
+    extra = StructType.fromDDL(", ".join(f"{n} {t}" for n, t in added))
+    schema = StructType([df.schema[c] for c in keep] + extra.fields)
+    types = [f.type for f in to_arrow_schema(extra)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kept = batch.select(keep)
+            inputs = [batch.column(batch.schema.get_field_index(c)) for c in reads]
+            made: list[tuple] = []
+            size, start = 0, 0
+            for i in range(batch.num_rows):
+                made.append(row(*(c[i].as_py() for c in inputs)))
+                size += weight(made[-1])
+                if size >= _SLICE or len(made) == 2048 or i + 1 == batch.num_rows:
+                    arrays = [pa.array(c, type=t) for c, t in zip(zip(*made), types)]
+                    yield pa.RecordBatch.from_arrays([*kept.slice(start, len(made)).columns, *arrays],
+                                                     names=[*kept.schema.names, *names])
+                    start, size, made = i + 1, 0, []
+    return df.select([*keep, *[c for c in reads if c not in keep]]).mapInArrow(run, schema)
+
+
 def takes(texts: list[str], chars: int) -> Iterator[list[str]]:
     """Texts in order, in lists of about ``chars`` characters."""
     held: list[str] = []

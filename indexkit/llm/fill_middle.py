@@ -18,52 +18,20 @@ column that has the name of an added one is replaced.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
 
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import StructType
 
+from indexkit.llm.common import mapped_rows
 from indexkit.llm.frames import FRAME_CHARS, Frames
 
 PREFIX, SUFFIX, MIDDLE = MARKS = ("<P>", "<S>", "<M>")
 #: Percent of documents transformed, and of those in suffix-first order.
 RATE, SPM_RATE, SEED = 100, 50, 7
-#: Compressed bytes handed on at a time.
-_SLICE = 8 << 20
 
 _STORED = [("frames", "array<binary>"), ("frame_chars", "array<long>"), ("frame_ends", "array<long>")]
 
 
-def _mapped(df: DataFrame, drop: list[str], reads: list[str], added: list[tuple[str, str]],
-            row: Callable[..., tuple], weight: Callable[[tuple], int]) -> DataFrame:
-    """``df`` without ``drop`` plus columns computed row by row from ``reads``,
-    handed on in slices of bounded size."""
-    names = [n for n, _ in added]
-    keep = [c for c in df.columns if c not in names and c not in drop]
-    extra = StructType.fromDDL(", ".join(f"{n} {t}" for n, t in added))
-    schema = StructType([df.schema[c] for c in keep] + extra.fields)
-    types = [f.type for f in to_arrow_schema(extra)]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            kept = batch.select(keep)
-            inputs = [batch.column(batch.schema.get_field_index(c)) for c in reads]
-            made: list[tuple] = []
-            size, start = 0, 0
-            for i in range(batch.num_rows):
-                made.append(row(*(c[i].as_py() for c in inputs)))
-                size += weight(made[-1])
-                if size >= _SLICE or len(made) == 2048 or i + 1 == batch.num_rows:
-                    arrays = [pa.array(c, type=t) for c, t in zip(zip(*made), types)]
-                    yield pa.RecordBatch.from_arrays([*kept.slice(start, len(made)).columns, *arrays],
-                                                     names=[*kept.schema.names, *names])
-                    start, size, made = i + 1, 0, []
-    return df.select([*keep, *[c for c in reads if c not in keep]]).mapInArrow(run, schema)
-
-
 def store(docs: DataFrame, text: str = "text", frame_chars: int = FRAME_CHARS) -> DataFrame:
     """Texts as frames: ``frames``, the running counts ``frame_chars`` and
     ``frame_ends``, ``n`` (lines, the last one with or without its end) and
@@ -74,7 +42,7 @@ def store(docs: DataFrame, text: str = "text", frame_chars: int = FRAME_CHARS) -
         f = Frames.of(value, frame_chars)
         return (f.data, f.chars, f.ends, f.n_ends + bool(value and not value.endswith("\n")),
                 any(m in value for m in MARKS))
-    return _mapped(docs, [text], [text], [*_STORED, ("n", "long"), ("marked", "boolean")], row,
+    return mapped_rows(docs, [text], [text], [*_STORED, ("n", "long"), ("marked", "boolean")], row,
                    lambda r: sum(map(len, r[0])) + 200)
 
 
@@ -130,7 +98,7 @@ def transform(planned: DataFrame) -> DataFrame:
             return text.data, text.chars, text.ends, None, None
         out, p, m = splice(text, form, low, high)
         return out.data, out.chars, out.ends, p, m
-    return _mapped(planned, [], [n for n, _ in _STORED] + ["form", "cut_low", "cut_high"],
+    return mapped_rows(planned, [], [n for n, _ in _STORED] + ["form", "cut_low", "cut_high"],
                    [*_STORED, ("prefix_chars", "long"), ("middle_chars", "long")], row,
                    lambda r: sum(map(len, r[0])) + 200)
 
@@ -148,7 +116,7 @@ def digests(transformed: DataFrame) -> DataFrame:
         out = Frames(data, chars, ends)
         whole = sha256(out)
         return whole, whole if form == "plain" else sha256(restore(out, form))
-    return _mapped(transformed, [n for n, _ in _STORED], [n for n, _ in _STORED] + ["form"],
+    return mapped_rows(transformed, [n for n, _ in _STORED], [n for n, _ in _STORED] + ["form"],
                    [("output_sha256", "string"), ("restored_sha256", "string")], row, lambda r: 300)
 
 
@@ -156,4 +124,4 @@ def texts(transformed: DataFrame, name: str = "output") -> DataFrame:
     """The outputs as plain strings, for those who want them so."""
     def row(data: list) -> tuple:
         return (b"".join(Frames(data).stream()).decode("utf-8"),)
-    return _mapped(transformed, [n for n, _ in _STORED], ["frames"], [(name, "string")], row, lambda r: len(r[0]) + 100)
+    return mapped_rows(transformed, [n for n, _ in _STORED], ["frames"], [(name, "string")], row, lambda r: len(r[0]) + 100)

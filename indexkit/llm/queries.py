@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from indexkit.llm import (bpe, chat_format, context_mixing, exact_dedup, fill_middle, kneser_ney, language_id, m_tree,
-                          ngram_join, packing, token_alignment, url_rules)
+from indexkit.llm import (bpe, chat_format, context_mixing, exact_dedup, fill_middle, html_extract, kneser_ney,
+                          language_id, m_tree, ngram_join, packing, token_alignment, url_rules)
 from indexkit.llm.common import crc_mod, read
 from indexkit.llm.registry import query
 
@@ -152,3 +152,9 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_alignment.align(read(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"),
                                  public_tokenizers.path("piece_bpe_32k.model"))
+
+
+@query("op12_html_wrappers")
+def op12_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract(pages).select("page_id", "url", "text", "n_chars")
