@@ -62,6 +62,29 @@ def div0(num, den, digits: int = 4) -> Column:
     return exact_ratio(num, den, digits, zero=0)
 
 
+def quotient_key(num: Column, den: Column) -> Column:
+    """A text that orders and compares like the exact quotient of two whole
+    numbers (den > 0; NULL otherwise), by long division to 32 decimals.
+
+    Different quotients of denominators below 9e15 differ by more than 1e-32,
+    so they get different keys, and equal ones the same."""
+    n, d = num.cast(WHOLE), F.when(den > 0, den.cast(DecimalType(16, 0)))
+    shift = F.lit(Decimal(10) ** 16).cast(DecimalType(17, 0))
+
+    def div(a: Column) -> Column:
+        return F.call_function("div", a, d)
+    # floored, so the remainder is never negative
+    rest = F.pmod(n, d)
+    whole = div(n - rest)
+    digits = []
+    for _ in range(2):
+        scaled = (rest.cast(DecimalType(16, 0)) * shift).cast(WHOLE)
+        digits.append(div(scaled))
+        rest = F.pmod(scaled, d)
+    high = (whole.cast(DecimalType(20, 0)) + F.lit(Decimal(10) ** 18).cast(DecimalType(19, 0))).cast(DecimalType(20, 0))
+    return F.concat(F.lpad(high.cast("string"), 20, "0"), *[F.lpad(x.cast("string"), 16, "0") for x in digits])
+
+
 def to_dec(c, precision: int = 18, scale: int = 4) -> Column:
     """Exact decimal view of a double that carries at most ``scale`` digits."""
     return _col(c).cast(DecimalType(precision, scale))

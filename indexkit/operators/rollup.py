@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indexkit.functions.numeric import WHOLE, div0, exact_ratio, split_sums, split_total
+from indexkit.functions.numeric import WHOLE, div0, exact_ratio, quotient_key, split_sums, split_total
 
 
 def _col(c) -> Column:
@@ -61,7 +61,8 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
     and the few resulting rows are reduced to the least label per key, so no
     buffer holds a set.  ``coverage_metric`` (default: the first metric)
     decides which rows count as scored.  ``unrounded`` names one metric whose
-    mean is also given as ``_unrounded`` (what ranks are taken on).
+    mean is also given as ``_unrounded``, a text that sorts and compares like
+    the exact quotient (what ranks are taken on).
     """
     cov_m = coverage_metric or metrics[0]
     weight_scale = default_scale(df, weight, weight_scale)
@@ -87,9 +88,7 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
     for m in metrics:
         out.append(exact_ratio(split_total(f"_n_{m}"), F.col(f"_d_{m}").cast(WHOLE) * scale, digits).alias(m))
     if unrounded:
-        # numerator and denominator are whole numbers, so equal means stay equal
-        out.append(F.try_divide(split_total(f"_n_{unrounded}").cast("double"), F.col(f"_d_{unrounded}").cast("double"))
-                   .alias("_unrounded"))
+        out.append(quotient_key(split_total(f"_n_{unrounded}"), F.col(f"_d_{unrounded}")).alias("_unrounded"))
     return g.select(*out)
 
 

@@ -4,8 +4,10 @@
 rolled up per occupation (one partial+final hash aggregate), joined to the
 national occupation slice, gated by coverage, ranked globally and banded.
 Statements, importance and scores are three tables joined on the task key and
-the occupation code.  All ranks are the distributed rank of
-``operators.ranking``; axis ranks are taken on unrounded means.
+the occupation code.  All ranks are the one-exchange rank of
+``operators.ranking``; axis ranks are taken on unrounded means.  The ranked
+relation, one row per occupation, is written once, so the joins above it run
+once and every axis reads the finished index.
 ``axis_*`` re-weight the national index by the employment of each industry /
 area / wage band.
 """
@@ -102,7 +104,8 @@ def build_index(base: DataFrame, tasks: DataFrame, min_coverage: float = DEFAULT
     )
     r = a.filter(F.col("A_MEDIAN").isNotNull())
     r = rank_scaled(r, "A_MEDIAN", "WAGE_PERCENTILE", kind="percent_rank")
-    r = rank_scaled(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=False)
+    # what a rank gives back reads written rows, so the second one samples them directly
+    r = rank_scaled(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=False, scan=True)
     r = r.withColumn("WEIGHTED_EXPOSURE", F.col("AI_EXPOSURE") * F.col("TOT_EMP"))
     r = r.withColumn("WAGE_BAND", band_case("WAGE_PERCENTILE", bands))
     return r.select(*INDEX_COLUMNS)
@@ -117,7 +120,7 @@ def build_placeholder_fact(base: DataFrame, placeholder: DataFrame, bands: Seque
     e = base.join(placeholder.select("OCC_CODE", "AI_EXPOSURE", "SCORE_SOURCE"), "OCC_CODE", "left")
     r = e.filter(F.col("A_MEDIAN").isNotNull())
     r = rank_scaled(r, "A_MEDIAN", "WAGE_PERCENTILE", kind="percent_rank")
-    r = rank_scaled(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True)
+    r = rank_scaled(r, "AI_EXPOSURE", "EXPOSURE_RANK", descending=True, nulls_first=True, scan=True)
     r = (r.withColumn("WEIGHTED_EXPOSURE", F.col("AI_EXPOSURE") * F.col("TOT_EMP"))
           .withColumn("WAGE_BAND", band_case("WAGE_PERCENTILE", bands)))
     return r.select("OCC_CODE", "OCC_TITLE", "O_GROUP", "TOT_EMP", "A_MEAN", "A_MEDIAN",
@@ -142,8 +145,8 @@ def axis_rollup(drill: DataFrame, keys: Sequence[str], emp: str, labels: Sequenc
                 rank_partition: Sequence[str] | None = (), rank: bool = True) -> DataFrame:
     """Employment-weighted rollup of the index along one axis + exposure rank.
 
-    The rank is taken on the unrounded mean: means that agree in four decimals
-    only are not ties."""
+    The rank is taken on the unrounded mean, exactly: means that agree in four
+    decimals only are not ties, equal quotients always are."""
     g = weighted_rollup(drill, keys, emp, AXIS_METRICS, labels=(*labels, "EXPOSURE_MODE"),
                         coverage_metric="AI_EXPOSURE", unrounded="AI_EXPOSURE")
     if rank:

@@ -12,6 +12,7 @@ from indexkit.plans import index as ix
 from indexkit.plans import oracle as O
 from indexkit.plans import standins as S
 from indexkit.plans.registry import query
+from indexkit.session import written
 
 
 def occupation_index_df(spark: SparkSession, sf_dir: str, scores: DataFrame | None = None) -> DataFrame:
@@ -35,9 +36,12 @@ def q_occupation_index_placeholder(spark, sf_dir):
 
 
 def _axes(spark, sf_dir):
-    idx = occupation_index_df(spark, sf_dir)
-    return idx, ix.axis_industry(S.industry_slice(spark, sf_dir), idx), \
-        ix.axis_region(S.region_slice(spark, sf_dir), idx)
+    """The index and both ranked axes.  Index and joined lines are written once
+    and read by both."""
+    idx = written(occupation_index_df(spark, sf_dir), "index")
+    lines = written(S.enriched_lines(spark, sf_dir), "lines")
+    return idx, ix.axis_industry(S.industry_slice(spark, sf_dir, lines), idx), \
+        ix.axis_region(S.region_slice(spark, sf_dir, lines), idx)
 
 
 @query("axis_industry", O.axis_industry_sql(), ids=("A05", "A10", "A11", "J05", "W03", "D18", "D19"))

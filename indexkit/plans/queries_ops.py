@@ -311,7 +311,7 @@ LEFT JOIN (VALUES ('Low', 0.00, 0.3333), ('Middle', 0.3333, 0.6667), ('High', 0.
   ON p.pct >= b.lo AND p.pct < b.hi""", ids=("J06", "S13", "D15"))
 def q_band_join(spark, sf_dir):
     p = S.read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    p = R.rank_scaled(p, "p_retailprice", "pct", kind="percent_rank")
+    p = R.rank_scaled(p, "p_retailprice", "pct", kind="percent_rank", scan=True)
     return REL.band_join(p, "pct", WAGE_BANDS).select("p_partkey", "pct", "WAGE_BAND")
 
 
@@ -326,10 +326,7 @@ SELECT p_partkey,
 FROM ({PART_PCT_SQL}) p""", ids=("P15", "P16"))
 def q_band_case(spark, sf_dir):
     p = S.read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    p = R.rank_scaled(p, "p_retailprice", "pct", kind="percent_rank")
-    p = R.rank_scaled(p, "p_retailprice", "_avg", kind="average")
-    n = p.agg(F.count(F.lit(1)).alias("_n"))
-    p = p.crossJoin(F.broadcast(n)).withColumn("avg_pct", F.col("_avg") / F.col("_n"))
+    p = R.rank_many(p, "p_retailprice", {"pct": {"kind": "percent_rank"}, "avg_pct": {"kind": "average_share"}}, scan=True)
     return p.select("p_partkey", band_case("pct").alias("WAGE_BAND"),
                     cut_band("pct").alias("SCORE_BAND"),
                     cut_band("avg_pct", (1.0 / 3, 2.0 / 3), ("Low", "Middle", "High")).alias("THIRDS_BAND"))
@@ -471,9 +468,10 @@ SELECT TASK_ID, TASK_LINE, AI_EXPOSURE_SCORE,
 FROM ({O.TASKS}) t""", ids=("W02", "W03"))
 def q_rank_nulls(spark, sf_dir):
     t = S.task_statements(spark, sf_dir).select("TASK_ID", "TASK_LINE", "AI_EXPOSURE_SCORE")
-    t = R.rank_scaled(t, "AI_EXPOSURE_SCORE", "rank_nulls_first", descending=True, nulls_first=True)
-    t = R.rank_scaled(t, "AI_EXPOSURE_SCORE", "rank_nulls_last", descending=True, nulls_first=False)
-    return R.rank_scaled(t, "AI_EXPOSURE_SCORE", "rank_asc", descending=False, nulls_first=True)
+    return R.rank_many(t, "AI_EXPOSURE_SCORE", {
+        "rank_nulls_first": {"descending": True, "nulls_first": True},
+        "rank_nulls_last": {"descending": True, "nulls_first": False},
+        "rank_asc": {"nulls_first": True}})
 
 
 @query("percent_rank_scaled", """
@@ -482,7 +480,7 @@ SELECT l_orderkey, l_linenumber, l_extendedprice,
 FROM lineitem""", ids=("W01",))
 def q_percent_rank_scaled(spark, sf_dir):
     li = S.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
-    return R.percent_rank_scaled(li, "l_extendedprice", "pct")
+    return R.percent_rank_scaled(li, "l_extendedprice", "pct", scan=True)
 
 
 @query("average_rank", """
@@ -491,7 +489,7 @@ SELECT l_orderkey, l_linenumber, l_quantity,
 FROM lineitem""", ids=("W07",))
 def q_average_rank(spark, sf_dir):
     li = S.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
-    return R.average_rank_scaled(li, "l_quantity", "avg_rank")
+    return R.average_rank_scaled(li, "l_quantity", "avg_rank", scan=True)
 
 
 @query("pct_rank_average", """
@@ -500,9 +498,7 @@ SELECT p_partkey, (RANK() OVER (ORDER BY p_size) + (COUNT(*) OVER (PARTITION BY
 FROM part""", ids=("W08",))
 def q_pct_rank_average(spark, sf_dir):
     p = S.read(spark, sf_dir, "part").select("p_partkey", "p_size")
-    p = R.average_rank_scaled(p, "p_size", "_avg")
-    n = p.agg(F.count(F.lit(1)).alias("_n"))
-    return p.crossJoin(F.broadcast(n)).select("p_partkey", (F.col("_avg") / F.col("_n")).alias("pct_avg"))
+    return R.rank_scaled(p, "p_size", "pct_avg", kind="average_share", scan=True).select("p_partkey", "pct_avg")
 
 
 @query("coverage", f"""

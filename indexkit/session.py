@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,9 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+#: Folders made by ``written``, by application.
+_WRITTEN: dict[str, list[str]] = {}
+
 
 def get_spark(app: str = "indexkit", master: str | None = None,
               shuffle_partitions: int | None = None,
@@ -83,5 +87,30 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Cut lineage: write ``df`` once as Parquet under the shared folder of
+    ``spark.checkpoint.dir`` and read it back with its schema.  A lost executor
+    then costs a re-read.  ``discard_written`` removes the folders."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/indexkit-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def discard_written(spark: SparkSession) -> int:
+    """Remove every folder that ``written`` has made in this application; call
+    it when the results that read them are stored.  Returns how many there were."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        remove(spark, path)
+    return len(paths)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def table_path(root: str, name: str) -> str:
     return os.path.join(root, f"{name}.parquet")

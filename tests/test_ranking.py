@@ -101,3 +101,46 @@ def test_latest_per_key_hot_key(spark):
         if k not in want or cand < want[k][0]:
             want[k] = (cand, (a, b))
     assert got == {k: v[1] for k, v in want.items()}
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 40])
+@pytest.mark.parametrize("kind", ["rank", "percent_rank", "average"])
+def test_runs_and_partitions_that_cross_ranges(spark, buckets, kind):
+    """One value and one partition key with most rows, NaN, NULL keys and
+    values: every count crosses range borders."""
+    rnd = random.Random(buckets)
+    rows = [(i, rnd.choice(["hot"] * 6 + ["b", None]), rnd.choice([5.0] * 8 + [None, float("nan"), -1.0, 0.0, 9.5])) for i in range(700)]
+    df = spark.createDataFrame(rows, "id long, g string, v double").repartition(6)
+    for parts in ([], ["g"]):
+        for descending in (False, True):
+            for nulls_first in (False, True):
+                if kind != "rank" and (descending or not nulls_first):
+                    continue
+                a = R.rank_scaled(df, "v", "r", descending, nulls_first, kind, buckets, parts)
+                b = R.rank_window(df, "v", "r", descending, nulls_first, parts, kind)
+                _cmp(a, b, "r")
+
+
+def test_text_and_decimal_values_and_an_empty_table(spark):
+    rnd = random.Random(2)
+    rows = [(i, rnd.choice(["ä", "b", "", None, "bb"]), rnd.choice([1, 2, None, 10])) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, s string, n int").withColumn("d", F.col("n").cast("decimal(30,4)"))
+    for c in ("s", "d"):
+        _cmp(R.rank_scaled(df, c, "r", buckets=9), R.rank_window(df, c, "r"), "r")
+    assert R.rank_scaled(df.limit(0), "s", "r").count() == 0
+    assert R.rank_scaled(df.limit(0), "s", "r", partition_by=["n"]).count() == 0
+
+
+def test_rank_plan_has_one_range_exchange_and_no_join_on_values(spark, data):
+    """Reading the written rows back: one lookup by range number, no shuffle of rows."""
+    plan = R.rank_scaled(data, "v", "r")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in plan and "hashpartitioning" not in plan
+
+
+def test_written_folders_are_removed(spark, data):
+    import os
+
+    from indexkit.session import _WRITTEN, discard_written
+    R.rank_scaled(data, "v", "r").count()
+    paths = list(_WRITTEN[spark.sparkContext.applicationId])
+    assert discard_written(spark) == len(paths) and not any(os.path.exists(p) for p in paths)
