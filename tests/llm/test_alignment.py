@@ -89,15 +89,37 @@ def test_query_equals_plain(spark):
 def test_memo_is_emptied_between_blocks(spark, monkeypatch):
     aligner = token_alignment.Aligner(A, B)
     block = token_alignment._Block(aligner)
-    for d, t in ODD:
-        block.add(d, t)
+    block.add(*zip(*ODD))
     first = block.row(0)
     aligner.clear()
+    aligner.learn(["other", "words", "cat"])
     again = token_alignment._Block(aligner)
-    for d, t in ODD:
-        again.add(d, t)
-    assert [list(x) if hasattr(x, "__len__") else x for x in first] == \
-        [list(x) if hasattr(x, "__len__") else x for x in again.row(0)]
+    again.add(*zip(*ODD))
+    second = again.row(0)
+    assert [list(x) for x in first[1:9]] == [list(x) for x in second[1:9]]
+
+
+def test_fast_library_gives_the_named_files_ids():
+    import random
+    aligner = token_alignment.Aligner(A, B)
+    assert aligner.fast is not None
+    rng = random.Random(4)
+    for _ in range(2000):
+        text = "".join(chr(rng.choice([32, 32, 10, 9, 39, rng.randint(0, 127), rng.randint(128, 255), rng.randint(97, 122)])) for _ in range(60))
+        assert aligner.fast.encode_ordinary(" " + text) == aligner.a.encode(" " + text, add_special_tokens=False).ids
+
+
+def test_chunks_aligned_together_or_alone():
+    words = ["alpha", "naïve", "x▁y", "don't", "日本語", "\ttab", "end\n", "🎉", "1234,5"]
+    one, many = token_alignment.Aligner(A, B), token_alignment.Aligner(A, B)
+    many.learn(words)
+    for w in words:
+        one.learn([w])
+    for w in words:
+        i, j = one.known[w], many.known[w]
+        assert one.groups[i] == many.groups[j] and one.sizes[4 * i:4 * i + 4] == many.sizes[4 * j:4 * j + 4]
+        n = one.sizes[4 * i + 3]
+        assert one.links[one.ends[i] - n:one.ends[i]] == many.links[many.ends[j] - n:many.ends[j]]
 
 
 def test_empty_table_and_clashing_columns(spark):
