@@ -6,8 +6,10 @@
 catalogue as tab files (``task_statements*.txt``, ``task_ratings*.txt``) and
 optionally ``task_ai_scores_*.csv`` runs.  Landing is incremental for the
 OEWS years (a republished year replaces its partition); score runs are
-appended; malformed rows go to ``<out>/quarantine``.  Exit code 1 when a
-quality rule FAILs, like the warehouse refresh.
+appended; malformed rows go to ``<out>/quarantine``.  Tables are published as
+one version (``indexkit.sources.publish``); those whose inputs are unchanged are
+not written again.  Exit code 1 when a quality rule FAILs, like the warehouse
+refresh; the version published before then stays.
 """
 
 from __future__ import annotations
@@ -21,7 +23,7 @@ from pyspark.sql import functions as F
 from indexkit.functions.clean import OEWS_NULL_TOKENS, ONET_NULL_TOKENS, null_tokens
 from indexkit.plans import pipeline as P
 from indexkit.schemas import OEWS_SCHEMA, SCORE_SCHEMA, TASK_RATING_SCHEMA, TASK_STATEMENT_SCHEMA
-from indexkit.session import get_spark
+from indexkit.session import build_time, discard_written, get_spark
 from indexkit.sources import ingest as I
 from indexkit.streaming import incremental as INC
 
@@ -54,7 +56,7 @@ def land_raw(spark, raw: str, out: str) -> P.RawTables:
 
         def stamp(df):
             return df.select(*[null_tokens(c).alias(c) for c in SCORE_SCHEMA.names],
-                             F.current_timestamp().alias("LOADED_AT"))
+                             build_time(spark).alias("LOADED_AT"))
         INC.load_new_files(spark, os.path.join(raw, "task_ai_scores_*.csv"), runs_dir,
                            os.path.join(out, "_ledger", "scores"), SCORE_SCHEMA, fmt="csv",
                            options={"header": True, "multiLine": True, "quote": '"', "escape": '"'},
@@ -77,6 +79,7 @@ def main(argv=None) -> int:
     r.add_argument("--out", required=True)
     r.add_argument("--min-coverage", type=float, default=0.80)
     r.add_argument("--mode", choices=["REAL_TASK_SCORE", "PLACEHOLDER"], default=None)
+    r.add_argument("--publish-failed", action="store_true", help="publish a build whose quality rules FAIL")
     p = sub.add_parser("promote", help="approve a scoring run")
     p.add_argument("--out", required=True)
     p.add_argument("--run", required=True)
@@ -88,10 +91,11 @@ def main(argv=None) -> int:
         return 0
     raw = land_raw(spark, args.raw, args.out)
     try:
-        t = P.rebuild(spark, raw, args.out, args.min_coverage, args.mode)
+        t = P.rebuild(spark, raw, args.out, args.min_coverage, args.mode, publish_failed=args.publish_failed)
     except P.QualityFailure as e:
         t = e.tables
     v = t["verdict"].first()
+    discard_written(spark)
     print(f"{v['VERDICT']}: {v['QUALITY_FAILS']} FAIL, {v['QUALITY_WARNS']} WARN")
     return 1 if v["QUALITY_FAILS"] else 0
 

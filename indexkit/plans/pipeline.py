@@ -2,9 +2,10 @@
 axes -> quality -> refresh log (D01-D28).
 
 Staging functions are lazy DataFrame definitions (the warehouse's views);
-``rebuild`` materialises every analytics table as Parquet (which also cuts
-lineage) and always rebuilds all layers, so a refresh never leaves the fact
-in the placeholder shape while the axes expect the index shape.
+``rebuild`` runs them as steps that write Parquet (which also cuts lineage):
+only descendants of a changed input are written, and a build is published as a
+whole, so a refresh never leaves the fact in the placeholder shape while the
+axes expect the index shape.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from indexkit.operators import quality as Q
 from indexkit.operators import relational as REL
 from indexkit.operators.rollup import placeholder_index, units
 from indexkit.plans import index as ix
+from indexkit.session import build_time
+from indexkit.sources.publish import Publication, Step, append_once, content_digest, run_steps
 
 # ------------------------------------------------------------------ staging
 
@@ -252,79 +255,127 @@ class QualityFailure(RuntimeError):
         self.tables = tables
 
 
-def _materialise(df: DataFrame, out: str, name: str) -> DataFrame:
-    path = os.path.join(out, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
+#: Changes when a table's definition does, so tables of older code are rebuilt.
+VERSION = "3"
+
+NO_SCORES = ("TASK_ID bigint, ONET_SOC_CODE string, AI_EXPOSURE_SCORE double, AUTOMATION_SCORE double, "
+             "AUGMENTATION_SCORE double, CONFIDENCE double")
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for f in frames[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def sources_of(spark: SparkSession, raw: RawTables) -> tuple[dict, list[int]]:
+    """Raw inputs with the digests of their rows, OEWS year by year, and the years."""
+    years = content_digest(raw.oews, "DATA_YEAR")
+    out = {f"raw_oews@{y}": (raw.oews.filter(F.col("DATA_YEAR") == y), d) for y, d in years.items() if y is not None}
+    for name, df in (("raw_statements", raw.statements), ("raw_ratings", raw.ratings), ("raw_scores", raw.scores),
+                     ("approved", raw.approved)):
+        out[name] = (df, "none" if df is None else content_digest(df).get(None, "empty"))
+    return out, sorted(y for y in years if y is not None)
+
+
+def steps_of(spark: SparkSession, years: list[int], min_coverage: float, mode: str | None) -> list[Step]:
+    """D01-D28 as steps.  OEWS is staged year by year; the slices read the
+    newest year's table only, the dimensions all of them."""
+    staged = tuple(f"stg_oews@{y}" for y in years)
+    newest = staged[-1:]
+
+    def scores(f):
+        return spark.createDataFrame([], NO_SCORES) if f["raw_scores"] is None else stg_scores(f["raw_scores"], f["approved"])
+
+    def newest_slice(pick):
+        return lambda f: pick(f[newest[0]])
+
+    def fact(f):
+        now = mode or (ix.PLACEHOLDER if f["stg_scores"].isEmpty() else ix.REAL)
+        base = f["stg_national"].select("OCC_CODE", "OCC_TITLE", "O_GROUP", "TOT_EMP", "A_MEAN", "A_MEDIAN")
+        return ix.build_index(base, index_tasks(f["stg_tasks"], f["stg_scores"]), min_coverage, now)
+
+    def long(f):
+        return ix.axis_long(f["industry_exposure_fact"], f["region_exposure_fact"], f["wage_band_exposure_fact"])
+
+    def quality(f):
+        dims = {"dim_occupation": (f["dim_occupation"], ["OCC_CODE"]), "dim_region": (f["dim_region"], ["AREA"]),
+                "dim_industry": (f["dim_industry"], ["NAICS"]), "dim_task": (f["dim_task"], ["TASK_ID", "ONET_SOC_CODE"])}
+        dq = base_rules(f["stg_national"], stg_statements(f["raw_statements"]), f["stg_tasks"],
+                        _union([f[s] for s in staged]), f["occupation_exposure_fact"], dims)
+        # in placeholder mode too: the mode rule then warns
+        dq = dq.unionByName(index_rules(f["stg_scores"], f["occupation_exposure_fact"], f["industry_exposure_fact"],
+                                        f["region_exposure_fact"], f["vw_exposure_axis"]))
+        return dq.withColumn("CHECKED_AT", build_time(spark))
+    tasks = ("raw_statements", "raw_ratings")
+    axes = ("industry_exposure_fact", "region_exposure_fact", "wage_band_exposure_fact")
+    out = [Step(f"stg_oews@{y}", (f"raw_oews@{y}",), lambda f, y=y: stg_oews(f[f"raw_oews@{y}"])) for y in years]
+    out += [
+        Step("stg_national", newest, newest_slice(stg_national)),
+        Step("stg_tasks", tasks, lambda f: stg_tasks(stg_statements(f["raw_statements"]), stg_importance(stg_ratings(f["raw_ratings"])))),
+        Step("stg_scores", ("raw_scores", "approved"), scores),
+        Step("dim_occupation", ("stg_national",), lambda f: dim_occupation(f["stg_national"])),
+        Step("dim_task", ("stg_tasks",), lambda f: dim_task(f["stg_tasks"])),
+        Step("dim_region", staged, lambda f: dim_region(_union([f[s] for s in staged]))),
+        Step("dim_industry", staged, lambda f: dim_industry(_union([f[s] for s in staged]))),
+        Step("dim_wage_band", (), lambda f: bands_frame(spark, WAGE_BANDS), str(WAGE_BANDS)),
+        Step("ai_exposure_placeholder", ("stg_tasks",), lambda f: placeholder_index(f["stg_tasks"], weight_scale=2)),
+        Step("occupation_exposure_fact", ("stg_national", "stg_tasks", "stg_scores"), fact, f"{min_coverage} {mode}"),
+        Step("industry_occupation_exposure_fact", (*newest, "occupation_exposure_fact"), lambda f: ix.drill_fact(
+            stg_industry(f[newest[0]]), f["occupation_exposure_fact"], "SECTOR_OCC_EMP", ["NAICS", "INDUSTRY_TITLE", "OCC_TITLE"])),
+        Step("region_occupation_exposure_fact", (*newest, "occupation_exposure_fact"), lambda f: ix.drill_fact(
+            stg_region(f[newest[0]]), f["occupation_exposure_fact"], "AREA_OCC_EMP",
+            ["GRANULARITY", "AREA", "AREA_TITLE", "STATE", "OCC_TITLE"])),
+        Step("industry_exposure_fact", ("industry_occupation_exposure_fact",), lambda f: ix.axis_rollup(
+            f["industry_occupation_exposure_fact"], ["NAICS"], "SECTOR_OCC_EMP", ["INDUSTRY_TITLE"])),
+        Step("region_exposure_fact", ("region_occupation_exposure_fact",), lambda f: ix.axis_rollup(
+            f["region_occupation_exposure_fact"], ["GRANULARITY", "AREA"], "AREA_OCC_EMP", ["AREA_TITLE", "STATE"],
+            rank_partition=["GRANULARITY"])),
+        Step("wage_band_exposure_fact", ("occupation_exposure_fact",), lambda f: ix.axis_wage_band(f["occupation_exposure_fact"])),
+        Step("vw_exposure_axis", axes, long),
+        Step("dq_results", ("stg_national", "raw_statements", "stg_tasks", "stg_scores", *staged, "occupation_exposure_fact", *axes,
+                            "dim_occupation", "dim_task", "dim_region", "dim_industry"), quality),
+    ]
+    return [Step(s.name, s.inputs, s.make, f"{VERSION} {s.params}") for s in out]
 
 
 def rebuild(spark: SparkSession, raw: RawTables, out: str, min_coverage: float = ix.DEFAULT_MIN_COVERAGE,
-            mode: str | None = None) -> dict[str, DataFrame]:
+            mode: str | None = None, build: str | None = None, publish_failed: bool = False) -> dict[str, DataFrame]:
     """D28: staging -> star -> index -> axes -> quality -> log, in order.
-    ``QualityFailure`` is raised when a rule FAILs, after results and log are
-    written; it carries the tables built."""
-    # staged once, by year: ten later steps read it
-    stg_oews(raw.oews).write.mode("overwrite").partitionBy("DATA_YEAR").parquet(os.path.join(out, "stg_oews"))
-    oews = spark.read.parquet(os.path.join(out, "stg_oews"))
-    national = _materialise(stg_national(oews), out, "stg_national")
-    statements = stg_statements(raw.statements)
-    importance = stg_importance(stg_ratings(raw.ratings))
-    tasks = _materialise(stg_tasks(statements, importance), out, "stg_tasks")
-    if raw.scores is not None:
-        scores = _materialise(stg_scores(raw.scores, raw.approved), out, "stg_scores")
-    else:
-        scores = spark.createDataFrame([], "TASK_ID bigint, ONET_SOC_CODE string, AI_EXPOSURE_SCORE double, "
-                                           "AUTOMATION_SCORE double, AUGMENTATION_SCORE double, CONFIDENCE double")
-    if mode is None:
-        mode = ix.PLACEHOLDER if scores.isEmpty() else ix.REAL
-
-    t = {}
-    t["dim_occupation"] = _materialise(dim_occupation(national), out, "dim_occupation")
-    t["dim_task"] = _materialise(dim_task(tasks), out, "dim_task")
-    t["dim_region"] = _materialise(dim_region(oews), out, "dim_region")
-    t["dim_industry"] = _materialise(dim_industry(oews), out, "dim_industry")
-    t["dim_wage_band"] = _materialise(bands_frame(spark, WAGE_BANDS), out, "dim_wage_band")
-    t["placeholder"] = _materialise(placeholder_index(tasks, weight_scale=2), out, "ai_exposure_placeholder")
-    base = national.select("OCC_CODE", "OCC_TITLE", "O_GROUP", "TOT_EMP", "A_MEAN", "A_MEDIAN")
-    fact = _materialise(ix.build_index(base, index_tasks(tasks, scores), min_coverage, mode), out,
-                        "occupation_exposure_fact")
-    t["occupation_exposure_fact"] = fact
-    ind_drill = _materialise(ix.drill_fact(stg_industry(oews), fact, "SECTOR_OCC_EMP",
-                                           ["NAICS", "INDUSTRY_TITLE", "OCC_TITLE"]), out,
-                             "industry_occupation_exposure_fact")
-    reg_drill = _materialise(ix.drill_fact(stg_region(oews), fact, "AREA_OCC_EMP",
-                                           ["GRANULARITY", "AREA", "AREA_TITLE", "STATE", "OCC_TITLE"]), out,
-                             "region_occupation_exposure_fact")
-    t["industry_occupation_exposure_fact"], t["region_occupation_exposure_fact"] = ind_drill, reg_drill
-    ind = ix.axis_rollup(ind_drill, ["NAICS"], "SECTOR_OCC_EMP", ["INDUSTRY_TITLE"])
-    reg = ix.axis_rollup(reg_drill, ["GRANULARITY", "AREA"], "AREA_OCC_EMP", ["AREA_TITLE", "STATE"],
-                         rank_partition=["GRANULARITY"])
-    t["industry_exposure_fact"] = _materialise(ind, out, "industry_exposure_fact")
-    t["region_exposure_fact"] = _materialise(reg, out, "region_exposure_fact")
-    t["wage_band_exposure_fact"] = _materialise(ix.axis_wage_band(fact), out, "wage_band_exposure_fact")
-    long = ix.axis_long(t["industry_exposure_fact"], t["region_exposure_fact"], t["wage_band_exposure_fact"])
-    t["vw_exposure_axis"] = long
-
-    dims = {"dim_occupation": (t["dim_occupation"], ["OCC_CODE"]),
-            "dim_region": (t["dim_region"], ["AREA"]),
-            "dim_industry": (t["dim_industry"], ["NAICS"]),
-            "dim_task": (t["dim_task"], ["TASK_ID", "ONET_SOC_CODE"])}
-    dq = base_rules(national, statements, tasks, oews, fact, dims)
-    # in placeholder mode too: the mode rule then warns
-    dq = dq.unionByName(index_rules(scores, fact, t["industry_exposure_fact"], t["region_exposure_fact"], long))
-    dq = _materialise(dq.withColumn("CHECKED_AT", F.current_timestamp()), out, "dq_results")
-    t["dq_results"] = dq
-    v = Q.verdict(dq)
-    log = (oews.agg(F.max("DATA_YEAR").alias("BLS_LATEST_YEAR"))
-           .crossJoin(raw.oews.agg(F.count(F.lit(1)).alias("BLS_RAW_ROWS")))
-           .crossJoin(raw.statements.agg(F.count(F.lit(1)).alias("ONET_TASK_ROWS")))
-           .crossJoin(fact.agg(F.count(F.lit(1)).alias("FACT_ROWS")))
-           .crossJoin(t["dim_occupation"].agg(F.count_distinct("OCC_CODE").alias("OCCUPATIONS")))
-           .crossJoin(v).withColumn("REFRESHED_AT", F.current_timestamp()))
-    log.write.mode("append").parquet(os.path.join(out, "refresh_log"))
+
+    Only tables whose inputs changed since the published build are written, and
+    all become visible at once (``Publication(spark, out).table(name)``).  When
+    a rule FAILs, results and log are kept, the old version stays published
+    (unless ``publish_failed``) and ``QualityFailure`` carries the tables built.
+    ``written`` among the returned names lists what this build wrote."""
+    home = Publication(spark, out)
+    b = home.begin(build)
+    sources, years = sources_of(spark, raw)
+    if not years:
+        raise ValueError("no OEWS rows with a year")
+    try:
+        t = run_steps(b, sources, steps_of(spark, years, min_coverage, mode))
+        t["placeholder"] = t["ai_exposure_placeholder"]
+        t["verdict"] = v = Q.verdict(t["dq_results"])
+        verdict_row = v.first()
+        append_once(spark, os.path.join(out, "quality_history"), t["dq_results"], b.id)
+        log = (spark.range(1).select(F.lit(years[-1]).alias("BLS_LATEST_YEAR"))
+               .crossJoin(raw.oews.agg(F.count(F.lit(1)).alias("BLS_RAW_ROWS")))
+               .crossJoin(raw.statements.agg(F.count(F.lit(1)).alias("ONET_TASK_ROWS")))
+               .crossJoin(t["occupation_exposure_fact"].agg(F.count(F.lit(1)).alias("FACT_ROWS")))
+               .crossJoin(t["dim_occupation"].agg(F.count_distinct("OCC_CODE").alias("OCCUPATIONS")))
+               .crossJoin(v).withColumn("REFRESHED_AT", build_time(spark)))
+        append_once(spark, os.path.join(out, "refresh_log"), log, b.id)
+    except Exception:
+        b.abandon()
+        raise
     t["refresh_log"] = spark.read.parquet(os.path.join(out, "refresh_log"))
-    verdict_row = v.first()
-    t["verdict"] = v
+    t["written"] = spark.createDataFrame([(n,) for n in b.wrote], "TABLE_NAME string")
+    if verdict_row["QUALITY_FAILS"] > 0 and not publish_failed:
+        raise QualityFailure(verdict_row["QUALITY_FAILS"], t)
+    if b.wrote:
+        b.publish()
     if verdict_row["QUALITY_FAILS"] > 0:
         raise QualityFailure(verdict_row["QUALITY_FAILS"], t)
     return t

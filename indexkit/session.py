@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Defaults that matter for every job in the package.  AQE re-plans joins from
 # runtime sizes (a shuffle stage that turns out small becomes a broadcast) and
@@ -87,6 +89,19 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     return df.checkpoint(eager=eager)
 
 
+#: Session setting that fixes the time of a build (ISO text, UTC).
+BUILD_TIME = "indexkit.build.time"
+
+
+def build_time(spark: SparkSession) -> Column:
+    """The build's clock as a literal: the session's ``indexkit.build.time`` or
+    else now, fetched once, so all stamps of a build agree."""
+    text = spark.conf.get(BUILD_TIME, None)
+    at = datetime.fromisoformat(text) if text else datetime.now(timezone.utc)
+    at = at if at.tzinfo else at.replace(tzinfo=timezone.utc)
+    return F.timestamp_micros(F.lit(int(at.timestamp()) * 1_000_000 + at.microsecond))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Cut lineage: write ``df`` once as Parquet under the shared folder of
     ``spark.checkpoint.dir`` and read it back with its schema.  A lost executor

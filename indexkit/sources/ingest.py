@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from indexkit.functions.clean import null_tokens
-from indexkit.session import ensure_checkpoint_dir
+from indexkit.session import build_time, ensure_checkpoint_dir
 
 CORRUPT = "_corrupt_record"
 
@@ -106,14 +106,14 @@ def land_delimited(spark: SparkSession, path, schema: StructType, out: str, quar
 def append_run(df: DataFrame, path: str, run_col: str = "SCORING_RUN_ID", stamp: bool = True) -> None:
     """Append-only provenance table partitioned by run; LOADED_AT stamped."""
     if stamp:
-        df = df.withColumn("LOADED_AT", F.current_timestamp())
+        df = df.withColumn("LOADED_AT", build_time(df.sparkSession))
     df.write.mode("append").partitionBy(run_col).parquet(path)
 
 
 def promote_run(spark: SparkSession, path: str, run_id: str, note: str = "") -> DataFrame:
     """Replace the one-row approved-run table."""
     one = spark.createDataFrame([(run_id, note)], "SCORING_RUN_ID string, NOTE string").select(
-        "SCORING_RUN_ID", F.current_timestamp().alias("APPROVED_AT"), "NOTE")
+        "SCORING_RUN_ID", build_time(spark).alias("APPROVED_AT"), "NOTE")
     one.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 

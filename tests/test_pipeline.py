@@ -3,9 +3,11 @@
 import os
 
 import pytest
+from pyspark.sql import functions as F
 
 from domain_fixture import write_domain_files
 from indexkit.plans import pipeline as P
+from indexkit.sources.publish import Publication
 from indexkit.schemas import OEWS_SCHEMA, SCORE_SCHEMA, TASK_RATING_SCHEMA, TASK_STATEMENT_SCHEMA
 from indexkit.sources import ingest as I
 from indexkit.functions.clean import OEWS_NULL_TOKENS, ONET_NULL_TOKENS
@@ -125,7 +127,7 @@ def test_one_command_refresh(spark, tmp_path):
     write_domain_files(raw)
     code = cli.main(["refresh", "--raw", raw, "--out", out])
     assert code == 0                                   # staging drops the 1.2 score, so no rule fails
-    fact = spark.read.parquet(os.path.join(out, "occupation_exposure_fact"))
+    fact = Publication(spark, out).table("occupation_exposure_fact")
     assert fact.count() == 5
     assert spark.read.parquet(os.path.join(out, "quarantine", "oews")).count() >= 1
     # a second refresh of the same files neither duplicates OEWS rows nor the log's fact
@@ -134,3 +136,63 @@ def test_one_command_refresh(spark, tmp_path):
     assert spark.read.parquet(os.path.join(out, "raw_oews")).count() == before
     assert spark.read.parquet(os.path.join(out, "raw_scores")).count() == 11   # each run file loaded once
     assert spark.read.parquet(os.path.join(out, "refresh_log")).count() == 2
+    # and writes no table: the published version is still the first one
+    published = Publication(spark, out).current()
+    assert published["parent"] is None and len({e["path"].split("/")[1] for e in published["tables"].values()}) == 1
+
+
+def test_changed_year_rewrites_its_descendants_only(spark, tmp_path):
+    d, out = str(tmp_path / "d"), str(tmp_path / "o")
+    good, _bad, st, ra, scores = _land(spark, d, out)
+    names = lambda t: {r[0] for r in t["written"].collect()}
+    first = P.rebuild(spark, P.RawTables(good, st, ra, scores, None), out, build="b1")
+    assert "occupation_exposure_fact" in names(first) and len(names(first)) == 19
+    assert names(P.rebuild(spark, P.RawTables(good, st, ra, scores, None), out, build="b2")) == set()
+    # one more row of the older year: its staged table and what reads all years
+    older = good.filter("DATA_YEAR = 2023 AND OCC_CODE <> '00-0000'").limit(1).withColumn("AREA", F.lit("98"))
+    third = P.rebuild(spark, P.RawTables(good.unionByName(older), st, ra, scores, None), out, build="b3")
+    assert names(third) == {"stg_oews@2023", "dim_region", "dim_industry", "dq_results"}
+    assert Publication(spark, out).table("dim_region").filter("AREA = '98'").count() == 1
+    # a promoted run changes the scores and what descends from them
+    approved = spark.createDataFrame([("run_a", "2024-01-01")], "SCORING_RUN_ID string, APPROVED_AT string") \
+        .withColumn("APPROVED_AT", F.col("APPROVED_AT").cast("timestamp"))
+    try:
+        fourth = P.rebuild(spark, P.RawTables(good.unionByName(older), st, ra, scores, approved), out, build="b4")
+    except P.QualityFailure as e:
+        fourth = e.tables
+    assert "stg_scores" in names(fourth) and not {"stg_national", "dim_task", "stg_oews@2024"} & names(fourth)
+
+
+def test_failed_rebuild_leaves_the_old_version(spark, tmp_path, monkeypatch):
+    d, out = str(tmp_path / "d"), str(tmp_path / "o")
+    good, _bad, st, ra, scores = _land(spark, d, out)
+    P.rebuild(spark, P.RawTables(good, st, ra, scores, None), out, build="b1")
+    before = sorted(map(str, Publication(spark, out).table("occupation_exposure_fact").collect()))
+    # a build that breaks half way
+    monkeypatch.setattr(P.ix, "axis_wage_band", lambda f: f.select(F.raise_error(F.lit("lost")).alias("x")))
+    more = good.unionByName(good.filter("DATA_YEAR = 2024").limit(1))
+    with pytest.raises(Exception, match="lost"):
+        P.rebuild(spark, P.RawTables(more, st, ra, scores, None), out, build="b2")
+    monkeypatch.undo()
+    assert not os.path.exists(os.path.join(out, "versions", "b2"))
+    # and one whose rules FAIL: its results are kept, its tables are not published
+    with pytest.raises(P.QualityFailure):
+        P.rebuild(spark, P.RawTables(good, st, ra, None, None), out, build="b3")
+    assert Publication(spark, out).current()["build"] == "b1"
+    assert sorted(map(str, Publication(spark, out).table("occupation_exposure_fact").collect())) == before
+    history = spark.read.parquet(os.path.join(out, "quality_history"))
+    assert {r[0] for r in history.select("BUILD_ID").distinct().collect()} == {"b1", "b3"}
+
+
+def test_build_clock(spark, tmp_path):
+    from indexkit.session import BUILD_TIME
+    d, out = str(tmp_path / "d"), str(tmp_path / "o")
+    good, _bad, st, ra, scores = _land(spark, d, out)
+    spark.conf.set(BUILD_TIME, "2024-05-06T07:08:09.000010")
+    try:
+        t = P.rebuild(spark, P.RawTables(good, st, ra, scores, None), out)
+        stamps = {str(r[0]) for n, c in (("dq_results", "CHECKED_AT"), ("refresh_log", "REFRESHED_AT"))
+                  for r in t[n].select(F.col(c).cast("string")).collect()}
+    finally:
+        spark.conf.unset(BUILD_TIME)
+    assert stamps == {"2024-05-06 07:08:09.00001"}
