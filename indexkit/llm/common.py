@@ -6,8 +6,10 @@ import math
 import uuid
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -40,11 +42,30 @@ def parts(n_rows: int, per_part: int) -> int:
     return max(1, math.ceil(n_rows / per_part))
 
 
+#: Bytes of text that are Python strings at a time (one longer text alone).
+_TEXT_BYTES = 4 << 20
+
+
+def text_slices(batches: Iterable[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Batches cut so that column ``at`` holds some ``_TEXT_BYTES``, each with that
+    column's texts (null: empty).  Arrow batches can be far larger than what a
+    task should hold as strings and results at once."""
+    for batch in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy(zero_copy_only=False).astype(np.int64) + 1)
+        lo = 0
+        while lo < batch.num_rows:
+            before = int(ends[lo - 1]) if lo else 0
+            hi = max(lo + 1, int(np.searchsorted(ends, before + _TEXT_BYTES, "right")))
+            part = batch.slice(lo, hi - lo)
+            yield part, [t or "" for t in part.column(at).to_pylist()]
+            lo = hi
+
+
 def with_columns_from_text(docs: DataFrame, make: Callable[[], tuple[Callable[[list[str]], list], Callable[[], None]]],
                            added: list[tuple[str, str]],
                            text: str = "text") -> DataFrame:
     """``docs`` plus columns computed from one text column by a Python function
-    over batches; nulls reach it as empty strings.  ``make`` runs once per
+    over slices of bounded size; nulls reach it as empty strings.  ``make`` runs once per
     task and gives the function and one that frees what it holds (Python
     workers outlive tasks).  All other columns pass as Arrow, untouched; a column of the name of
     an added one is replaced."""
@@ -58,8 +79,8 @@ def with_columns_from_text(docs: DataFrame, make: Callable[[], tuple[Callable[[l
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn, free = make()
         try:
-            for batch in batches:
-                made = fn([t or "" for t in batch.column(at).to_pylist()])
+            for batch, texts in text_slices(batches, at):
+                made = fn(texts)
                 arrays = [pa.array(m, type=t) for m, t in zip(made, types)]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *arrays],
                                                  names=[*batch.schema.names, *(n for n, _ in added)])

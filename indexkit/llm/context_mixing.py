@@ -62,13 +62,17 @@ LOG10_2 = float(np.log10(2.0))
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
+#: What ends a word (bytes.split knows the same six).
+_WHITE = frozenset(b" \t\n\x0b\x0c\r")
+
+
 def pieces(text: str) -> Iterator[list[bytes]]:
     """Words of a text, a bounded list at a time."""
     data = text.encode("utf-8").lower()
     at, size = 0, 4_000_000
     while at < len(data):
         end = at + size
-        while end < len(data) and data[end] > 32:
+        while end < len(data) and data[end] not in _WHITE:
             end += 1
         yield data[at:end].split()
         at = end
@@ -434,6 +438,7 @@ def symbol_scores(docs: DataFrame, mixer: Mixer) -> DataFrame:
         m = shared.value.ready()
         for batch in batches:
             rid, all_texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            ids_of, held = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for at, texts in _takes(all_texts):
                 ids, lengths, others = _laid(m, texts)
                 score = m.score(ids, lengths)
@@ -443,20 +448,20 @@ def symbol_scores(docs: DataFrame, mixer: Mixer) -> DataFrame:
                 rows = []
                 for k, text in enumerate(texts):
                     words = list(others[k].items())
-                    first = [rid[at + k], score[k], base[k], int(lengths[k]), int(known[k]), len(text.encode("utf-8"))]
+                    first = [rid[at + k], ids_of[at + k], held[at + k], score[k], base[k], int(lengths[k]), int(known[k]), len(text.encode("utf-8"))]
                     rows.append((*first, [w for w, _ in words[:HOLD_WORDS]], [n for _, n in words[:HOLD_WORDS]]))
                     for more in range(HOLD_WORDS, len(words), HOLD_WORDS):
                         part = words[more:more + HOLD_WORDS]
-                        rows.append((rid[at + k], 0.0, 0.0, 0, 0, 0, [w for w, _ in part], [n for _, n in part]))
+                        rows.append((rid[at + k], None, None, 0.0, 0.0, 0, 0, 0, [w for w, _ in part], [n for _, n in part]))
                 columns = list(zip(*rows))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(columns, _SCORE_TYPES)], names=_SCORE_NAMES)
-    return docs.select("rid", "text").mapInArrow(
-        run, "rid long, symbols double, base double, n_tokens long, n_known long, n_bytes long, words array<binary>, times array<int>")
+    return docs.select("rid", "text", "doc_id", "held_out").mapInArrow(
+        run, "rid long, doc_id long, held_out boolean, symbols double, base double, n_tokens long, n_known long, n_bytes long, words array<binary>, times array<int>")
 
 
-_SCORE_NAMES = ["rid", "symbols", "base", "n_tokens", "n_known", "n_bytes", "words", "times"]
-_SCORE_TYPES = [pa.int64(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
+_SCORE_NAMES = ["rid", "doc_id", "held_out", "symbols", "base", "n_tokens", "n_known", "n_bytes", "words", "times"]
+_SCORE_TYPES = [pa.int64(), pa.int64(), pa.bool_(), pa.float64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32())]
 
 
 def score(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -469,7 +474,9 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
     mixer, total = fit(training, counts)
     spell = spark.sparkContext.broadcast(spelling(counts))
 
-    numbered = docs.withColumn("rid", F.monotonically_increasing_id())
+    # numbered, with id and mark, in the one job that writes the scores: numbers of another job may differ
+    numbered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out.alias("held_out"),
+                           F.monotonically_increasing_id().alias("rid"))
     symbols = stored(symbol_scores(numbered, mixer), "cm-symbols")
     words = symbols.select("rid", F.explode(F.arrays_zip("words", "times")).alias("w")).select("rid", "w.words", "w.times")
 
@@ -492,9 +499,9 @@ def score(docs: DataFrame, held_out: Column) -> DataFrame:
         "rid", (F.col("times") * (share + F.col("spelled"))).alias("symbols"),
         (F.col("times") * F.log10(F.coalesce("c", F.lit(0)) + 1)).alias("base"), zero.alias("n_tokens"),
         F.when(F.col("c").isNotNull(), F.col("times")).otherwise(0).cast("long").alias("n_known"), zero.alias("n_bytes"))
-    by_doc = symbols.drop("words", "times").unionByName(tail).groupBy("rid").agg(
+    by_doc = symbols.drop("doc_id", "held_out", "words", "times").unionByName(tail).groupBy("rid").agg(
         *[F.sum(c).alias(c) for c in ("symbols", "base", "n_tokens", "n_known", "n_bytes")])
-    names = numbered.select("rid", F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"))
+    names = symbols.filter("n_tokens > 0").select("rid", "doc_id", "held_out")  # a document's first row
     ends = total["ends"]
     end_base = float(np.log10(ends + 1))
     room = float(np.log10(total["n"] + total["v"] + 1))

@@ -30,8 +30,13 @@ SHARD_KEYS = 16_384
 
 
 def _rank() -> Column:
-    """Order of members: most code points, then smallest id, then first row."""
-    return F.struct((-F.col("n_cp")).alias("neg_cp"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_id")
+    """Order of members: most code points, then smallest id, then the text's
+    hash, then first row: only rows of one id and text depend on the row order."""
+    return F.struct((-F.col("n_cp")).alias("neg_cp"), F.col("doc_id").isNull().alias("no_id"), "doc_id", "raw", "row_id")
+
+
+def _raw() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
 def normalised(text: Column) -> Column:
@@ -44,7 +49,7 @@ def keyed(docs: DataFrame, fresh: Column) -> DataFrame:
     return stored(docs.select(
         F.monotonically_increasing_id().alias("row_id"),
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.char_length(F.coalesce("text", F.lit(""))).alias("n_cp"),
+        F.char_length(F.coalesce("text", F.lit(""))).alias("n_cp"), _raw().alias("raw"),
         F.unhex(F.sha2(normalised(F.col("text")), 256)).alias("digest"),
         fresh.alias("fresh")), "dedup-keys")
 
@@ -94,6 +99,10 @@ def deduplicate(docs: DataFrame, fresh: Column, shard_keys: int = SHARD_KEYS) ->
     """Groups of equal normalised text over snapshot (``fresh`` false) and new
     batch (``fresh`` true).  One row per input row: doc_id, keep_id,
     group_size, kept, text_sha256."""
+    return _members(docs, fresh, shard_keys).drop("raw")
+
+
+def _members(docs: DataFrame, fresh: Column, shard_keys: int = SHARD_KEYS) -> DataFrame:
     rows = keyed(docs, fresh)
     groups = stored(
         _groups(rows.filter(~F.col("fresh"))).withColumn("fresh", F.lit(False))
@@ -112,11 +121,11 @@ def deduplicate(docs: DataFrame, fresh: Column, shard_keys: int = SHARD_KEYS) ->
     bad = stored(unequal_buckets(docs, final.select("digest")), "dedup-unequal")
     single = F.struct(F.lit(1).cast("long").alias("n"), _rank().alias("best"))
     out = rows.join(final, "digest", "left").select(
-        "row_id", "doc_id", "digest", "n_cp",
+        "row_id", "doc_id", "digest", "n_cp", "raw",
         F.when(F.col("n").isNull(), single).otherwise(F.struct("n", "best")).alias("g"))
     result = out.select("doc_id", F.col("g.best.doc_id").alias("keep_id"), F.col("g.n").alias("group_size"),
                         (F.col("g.best.row_id") == F.col("row_id")).alias("kept"),
-                        F.lower(F.hex("digest")).alias("text_sha256"), "row_id")
+                        F.lower(F.hex("digest")).alias("text_sha256"), "raw", "row_id")
     if not bad.isEmpty():
         result = _split(docs, bad, result)
     return result.drop("row_id")
@@ -125,15 +134,15 @@ def deduplicate(docs: DataFrame, fresh: Column, shard_keys: int = SHARD_KEYS) ->
 def _split(docs: DataFrame, bad: DataFrame, result: DataFrame) -> DataFrame:
     """Replace the rows of colliding digests by groups of the text itself."""
     rows = docs.select(F.monotonically_increasing_id().alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"),
-                       F.char_length(F.coalesce("text", F.lit(""))).alias("n_cp"),
+                       F.char_length(F.coalesce("text", F.lit(""))).alias("n_cp"), _raw().alias("raw"),
                        normalised(F.col("text")).alias("norm"))
     rows = rows.withColumn("digest", F.unhex(F.sha2("norm", 256))).join(bad, "digest")
     best = rows.groupBy("norm").agg(F.count("*").alias("n"), F.min(_rank()).alias("best"))
     redone = rows.join(best, "norm").select(
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
-        (F.col("best.row_id") == F.col("row_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "row_id")
+        (F.col("best.row_id") == F.col("row_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "raw", "row_id")
     marked = bad.select(F.lower(F.hex("digest")).alias("text_sha256"))
-    return result.join(marked, "text_sha256", "left_anti").select(redone.columns).unionByName(redone)
+    return result.join(marked, "text_sha256", "left_anti").unionByName(redone.select(result.columns))
 
 
 def stable_half(doc_id: Column) -> Column:
@@ -142,14 +151,15 @@ def stable_half(doc_id: Column) -> Column:
 
 
 def deduplicate_rows(docs: DataFrame) -> DataFrame:
-    """All columns of the rows that stay.  Of repeated rows (same id and same
-    normalised text) one stays."""
-    rows = stored(deduplicate(docs, stable_half(F.col("doc_id"))).select(
-        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), "kept"), "dedup-result")
-    key = ["__id", "__sha"]
+    """All columns of the rows that stay: of each group the row that
+    ``deduplicate`` keeps.  Rows are told apart by id and whole text; of rows
+    that repeat both, one stays."""
+    rows = stored(_members(docs, stable_half(F.col("doc_id"))).select(
+        F.col("doc_id").alias("__id"), F.col("text_sha256").alias("__sha"), F.col("raw").alias("__raw"), "kept"), "dedup-result")
+    key = ["__id", "__sha", "__raw"]
     safe, restored = shielded(docs, ["doc_id", "text"])
     marked = safe.withColumn("__id", F.col("doc_id").cast("long")) \
-        .withColumn("__sha", F.sha2(normalised(F.col("text")), 256))
+        .withColumn("__sha", F.sha2(normalised(F.col("text")), 256)).withColumn("__raw", _raw())
     # rows whose key is only dropped go; a key with a kept and a dropped row is a repeated row
     keys = rows.groupBy(*key).agg(F.max("kept").alias("stays"), F.count("*").alias("n"))
     again = stored(keys.filter("stays AND n > 1").select(*key), "dedup-again")
@@ -157,5 +167,5 @@ def deduplicate_rows(docs: DataFrame) -> DataFrame:
     kept = without_keys(marked, stored(gone, "dedup-gone"), key)
     twice = may_match(marked, again, key)
     names = again.select(*[F.col(c).alias(f"{c}2") for c in key])
-    twice = twice.join(names, F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__sha") == F.col("__sha2")), "left_semi")
-    return restored(kept.unionByName(twice.dropDuplicates(key)))
+    same = F.col("__id").eqNullSafe(F.col("__id2")) & (F.col("__sha") == F.col("__sha2")) & (F.col("__raw") == F.col("__raw2"))
+    return restored(kept.unionByName(twice.join(names, same, "left_semi").dropDuplicates(key)))

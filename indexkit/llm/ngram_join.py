@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexkit.llm.common import may_match, shielded, stored, whole_groups, without_keys
+from indexkit.llm.common import may_match, shielded, stored, text_slices, whole_groups, without_keys
 from indexkit.llm.components import components, local_roots
 
 WORDS = 5
@@ -177,8 +177,8 @@ def text_classes(docs: DataFrame) -> DataFrame:
     set), n (its size) and the MinHash values; written once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
-        for batch in batches:
-            sets = [shingles(t or "") for t in batch.column("text").to_pylist()]
+        for batch, texts in text_slices(batches, 2):
+            sets = [shingles(t) for t in texts]
             yield pa.RecordBatch.from_arrays([
                 batch.column("doc_id"), batch.column("mark"),
                 pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary()),
@@ -301,7 +301,8 @@ def _joined(docs: DataFrame) -> DataFrame:
     wanted = stored(near.join(classes.drop("sig"), "cls").select(
         "root", "cls", "copies", "n", F.col("first.doc_id").alias("doc_id"), F.col("first.mark").alias("mark")), "nj-wanted")
     size = wanted.groupBy("root").agg(F.count("*").alias("size"), F.sum("n").alias("total"))
-    groups = with_shingles(docs, wanted).join(size, "root")
+    twice = rows.groupBy("doc_id", "mark").agg(F.count("*").alias("times")).filter("times > 1")
+    groups = with_shingles(docs, wanted, twice).join(size, "root")
     found = stored(verified(groups), "nj-found")
     links = found.groupBy("cls").agg(F.sum("texts").alias("texts"), F.sum("docs").alias("docs"))
     linked = components(found.select(F.col("cls").alias("a"), F.col("root").alias("b"))) \
@@ -326,19 +327,29 @@ def join(docs: DataFrame) -> DataFrame:
                                 "n_links", "n_text_links")
 
 
-def with_shingles(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def with_shingles(docs: DataFrame, wanted: DataFrame, twice: DataFrame) -> DataFrame:
     """``wanted`` plus the shingle set of each class, made anew from the text of
-    its first document: storing all sets would cost more than the input."""
+    its first document: storing all sets would cost more than the input.  Only
+    classes whose first document is a repeated row (``twice``: doc_id, mark) need
+    their texts sorted to pick one."""
     key = ["doc_id", "mark"]
-    names = wanted.select(*[F.col(c).alias(f"{c}2") for c in key], "root", "cls", "copies")
-    texts = may_match(_marked_docs(docs), wanted, key).join(
-        names, F.col("doc_id").eqNullSafe(F.col("doc_id2")) & (F.col("mark") == F.col("mark2"))) \
-        .select("root", "cls", "copies", "text").dropDuplicates(["cls"])
+    again = twice.select(*[F.col(c).alias(f"{c}3") for c in key])
+    marked = wanted.join(again, F.col("doc_id").eqNullSafe(F.col("doc_id3")) & (F.col("mark") == F.col("mark3")), "left") \
+        .withColumn("repeated", F.col("mark3").isNotNull()).drop("doc_id3", "mark3")
+    marked = stored(marked, "nj-wanted-marked")
+
+    def texts_of(some: DataFrame) -> DataFrame:
+        names = some.select(*[F.col(c).alias(f"{c}2") for c in key], "root", "cls", "copies")
+        return may_match(_marked_docs(docs), some, key).join(
+            names, F.col("doc_id").eqNullSafe(F.col("doc_id2")) & (F.col("mark") == F.col("mark2"))) \
+            .select("root", "cls", "copies", "text")
+    texts = texts_of(marked.filter("NOT repeated")).unionByName(
+        texts_of(marked.filter("repeated")).dropDuplicates(["cls"]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingles = Shingler()
-        for batch in batches:
-            sets = [shingles(t or "").tobytes() for t in batch.column("text").to_pylist()]
+        for batch, found in text_slices(batches, 3):
+            sets = [shingles(t).tobytes() for t in found]
             yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("cls"), batch.column("copies"),
                                               pa.array(sets, pa.binary())], names=["root", "cls", "copies", "shingles"])
     return stored(texts.mapInArrow(run, "root binary, cls binary, copies long, shingles binary"), "nj-sets")

@@ -388,3 +388,34 @@ def test_crc_split_matches_zlib(spark):
     from indexkit.llm.common import crc_mod
     df = spark.createDataFrame([(k,) for k in range(50)], "doc_id long").select("doc_id", crc_mod(F.col("doc_id"), 7).alias("m"))
     assert all(m == zlib.crc32(str(i).encode()) % 7 for i, m in rows(df))
+
+
+# ---- rows that differ only in white space, and slices
+def test_dedup_stage_keeps_the_ranked_row_in_any_order(spark):
+    data = [(1, "ab", "en", "x", 2), (1, "a b   ", "en", "y", 6), (1, "a  b  ", "en", "z", 6), (2, "a b   ", "en", "w", 6)]
+    found = set()
+    for order in ([0, 1, 2, 3], [3, 2, 1, 0], [1, 0, 3, 2], [2, 3, 0, 1]):
+        for n in (1, 4):
+            df = spark.createDataFrame([data[k] for k in order], DOCS).repartition(n)
+            found.add(tuple(rows(exact_dedup.deduplicate_rows(df))))
+    assert len(found) == 1
+    (kept,), = found
+    assert kept[0] == 1 and len(kept[1]) == 6
+
+
+def test_words_are_cut_only_at_white_space():
+    for gap in ("\x01", "\x1f", "\x00"):
+        text = "b" * 4_000_000 + gap + "c d"
+        assert [w for part in context_mixing.pieces(text) for w in part] == text.encode().split()
+
+
+def test_text_slices_hold_every_row(spark, monkeypatch):
+    import pyarrow as pa
+
+    from indexkit.llm import common
+    monkeypatch.setattr(common, "_TEXT_BYTES", 10)
+    texts = ["a" * 4, None, "", "b" * 30, "é" * 5, "c", "d"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], names=["i", "t"])
+    parts = list(common.text_slices([batch, batch.slice(0, 0)], 1))
+    assert [t for _, ts in parts for t in ts] == [t or "" for t in texts]
+    assert [i for b, _ in parts for i in b.column(0).to_pylist()] == list(range(7)) and len(parts) > 3
