@@ -142,7 +142,7 @@ def _split(docs: DataFrame, bad: DataFrame, result: DataFrame) -> DataFrame:
         "doc_id", F.col("best.doc_id").alias("keep_id"), F.col("n").alias("group_size"),
         (F.col("best.row_id") == F.col("row_id")).alias("kept"), F.lower(F.hex("digest")).alias("text_sha256"), "raw", "row_id")
     marked = bad.select(F.lower(F.hex("digest")).alias("text_sha256"))
-    return result.join(marked, "text_sha256", "left_anti").unionByName(redone.select(result.columns))
+    return result.join(marked, "text_sha256", "left_anti").select(result.columns).unionByName(redone.select(result.columns))
 
 
 def stable_half(doc_id: Column) -> Column:
