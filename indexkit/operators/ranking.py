@@ -99,9 +99,11 @@ def _with_counts(batch: pa.RecordBatch, **counts) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([*batch.columns, *arrays], names=[*batch.schema.names, *_ADDED])
 
 
-def _count_range(number: int, batches: Iterator[pa.RecordBatch], parts: Sequence[str], col: str) -> Iterator[pa.RecordBatch]:
-    """Counts of one sorted range.  Only the rows of the last, still open run are held."""
-    n = seg = run = -1
+def _count_range(number: int, batches: Iterator[pa.RecordBatch], parts: Sequence[str], col: str,
+                 weight: str | None = None) -> Iterator[pa.RecordBatch]:
+    """Counts of one sorted range; with ``weight``, a row counts so many times.
+    Only the rows of the last, still open run are held."""
+    seg = run = -1
     n = 0
     seg_start = run_start = 0
     held: list[pa.RecordBatch] = []      # rows of the open run
@@ -118,28 +120,30 @@ def _count_range(number: int, batches: Iterator[pa.RecordBatch], parts: Sequence
         new_seg = _changes(batch, last, parts) if parts else np.zeros(batch.num_rows, dtype=bool)
         new_seg[0] |= last is None
         new_run = _changes(batch, last, [col]) | new_seg
-        at = n + np.arange(batch.num_rows)
+        each = np.ones(batch.num_rows, np.int64) if weight is None else \
+            batch.column(weight).to_numpy(zero_copy_only=False).astype(np.int64)
+        at = n + np.cumsum(each) - each          # rows before each row
         starts = np.flatnonzero(new_run)
         if len(starts):
             if first is None:
                 first = batch.slice(0, 1)
             elif run == 0 and first_ties is None:
-                first_ties = n + starts[0] - run_start
-            yield from closed(n + int(starts[0]) - run_start)
+                first_ties = int(at[starts[0]]) - run_start
+            yield from closed(int(at[starts[0]]) - run_start)
             if starts[0] and run >= 0:
                 yield _with_counts(batch.slice(0, int(starts[0])), _range=number, _seg=seg, _run=run,
-                                   _less=run_start - seg_start, _ties=n + int(starts[0]) - run_start)
+                                   _less=run_start - seg_start, _ties=int(at[starts[0]]) - run_start)
             segs = seg + np.cumsum(new_seg)
             runs = run + np.cumsum(new_run)
             seg_starts = np.maximum.accumulate(np.where(new_seg, at, seg_start))
             run_starts = np.maximum.accumulate(np.where(new_run, at, run_start))
             lo, hi = int(starts[0]), int(starts[-1])
             if hi > lo:
-                lengths = np.diff(starts)
+                lengths = np.diff(at[starts])
                 if runs[lo] == 0 and first_ties is None:
                     first_ties = int(lengths[0])
                 yield _with_counts(batch.slice(lo, hi - lo), _range=number, _seg=segs[lo:hi], _run=runs[lo:hi],
-                                   _less=(run_starts - seg_starts)[lo:hi], _ties=np.repeat(lengths, lengths))
+                                   _less=(run_starts - seg_starts)[lo:hi], _ties=np.repeat(lengths, np.diff(starts)))
             if first_seg_rows is None and segs[-1] > 0:
                 first_seg_rows = int(at[np.flatnonzero(segs > 0)[0]])
             seg, run = int(segs[-1]), int(runs[-1])
@@ -147,7 +151,7 @@ def _count_range(number: int, batches: Iterator[pa.RecordBatch], parts: Sequence
             held.append(batch.slice(hi))
         else:
             held.append(batch)
-        n += batch.num_rows
+        n += int(each.sum())
         last = batch.slice(batch.num_rows - 1)
     if last is None:
         return
@@ -191,10 +195,11 @@ def _lookup(edges: list, parts: Sequence[str], col: str) -> list[tuple]:
 
 
 def counted(df: DataFrame, col: str, partition_by: Sequence[str] = (), buckets: int | None = None,
-            scan: bool = False) -> DataFrame:
+            scan: bool = False, weight: str | None = None) -> DataFrame:
     """``df`` plus ``_before`` (rows of the partition with a smaller value, NULL
     the smallest), ``_ties`` (rows with the same value), ``_n`` and ``_nulls``
-    (rows and NULLs of the partition).
+    (rows and NULLs of the partition).  With ``weight``, a whole number above
+    zero, every row counts so many times.
 
     The range exchange reads its input twice (once to sample it), so ``df`` is
     written first unless it is a plain ``scan``.  Rows that are equal in all
@@ -211,7 +216,7 @@ def counted(df: DataFrame, col: str, partition_by: Sequence[str] = (), buckets:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
-        return _count_range(TaskContext.get().partitionId(), batches, parts, col)
+        return _count_range(TaskContext.get().partitionId(), batches, parts, col, weight)
     if kind in ("array", "map", "struct"):
         raise ValueError(f"{col} has no simple order")
     ranges = buckets or range_buckets(df)
@@ -227,9 +232,10 @@ def counted(df: DataFrame, col: str, partition_by: Sequence[str] = (), buckets:
     ties = (F.when(F.col("_run") == 0, F.col("_first_ties"))
             .when(F.col("_run") == F.col("_last_run"), F.col("_last_ties")).otherwise(F.col("_ties")))
     rows = rows.select(*names, less.alias("_before"), ties.alias("_ties"))
+    each = F.lit(1).cast("bigint") if weight is None else F.col(weight)
     if parts:
         totals = made.filter("_edge IS NULL").groupBy(*[F.col(p).alias(f"_t_{p}") for p in parts]).agg(
-            F.count(F.lit(1)).alias("_n"), F.count(F.when(F.col(col).isNull(), 1)).alias("_nulls"))
+            F.sum(each).alias("_n"), F.sum(F.when(F.col(col).isNull(), each).otherwise(F.lit(0))).alias("_nulls"))
         return rows.join(totals, same(rows, totals, parts, "_t_")).drop(*[f"_t_{p}" for p in parts])
     n = sum(e["_rows"] for e in edges if e["_edge"] == 0)
     nulls = [e for e in edges if e[col] is None and (e["_edge"] == 0 or e["_run"] > 0)]

@@ -71,6 +71,19 @@ def dedupe_one(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) ->
     return latest_per_key(df, keys, [], others)
 
 
+def least_per_group(df: DataFrame, group: Sequence[str], order: Sequence, n: int, salt_buckets: int | None = None) -> DataFrame:
+    """The ``n`` first rows of every group by ``order`` (a total order), with
+    their ``_place``.  Map-side limits per (group, salt), then at most
+    ``salt_buckets * n`` rows per group."""
+    salts = salt_buckets or range_buckets(df)
+    cols = [_col(c) for c in order]
+    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
+    d = df.withColumn("_salt", salt)
+    d = d.withColumn("_place", F.row_number().over(Window.partitionBy(*group, "_salt").orderBy(*cols))).filter(F.col("_place") <= n)
+    d = d.withColumn("_place", F.row_number().over(Window.partitionBy(*group).orderBy(*cols))).filter(F.col("_place") <= n)
+    return d.drop("_salt")
+
+
 def newest_row(df: DataFrame, order: Sequence[Column], n: int = 1) -> DataFrame:
     """ORDER BY ... LIMIT n (TakeOrderedAndProject)."""
     return df.orderBy(*order).limit(n)

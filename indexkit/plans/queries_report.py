@@ -268,11 +268,78 @@ SELECT comparison, metric, COUNT(*) AS n, {_pearson_sql('rx', 'ry')} AS spearman
 FROM r GROUP BY comparison, metric""", ids=("A23", "W07"))
 def q_spearman(spark, sf_dir):
     """Pearson over average ranks, ranks taken per (comparison, metric) after
-    incomplete pairs are dropped; the ranks are distributed (no single task
-    holds a comparison group)."""
-    from indexkit.operators.ranking import rank_scaled
-    d = _pairs_df(spark, sf_dir)
-    d = rank_scaled(d, "x", "_rx", kind="average", partition_by=["comparison", "metric"])
-    d = rank_scaled(d, "y", "_ry", kind="average", partition_by=["comparison", "metric"])
-    return d.groupBy("comparison", "metric").agg(F.count(F.lit(1)).alias("n"),
-                                                 AG.pearson_expr("_rx", "_ry").alias("spearman"))
+    incomplete pairs are dropped; ranks are weighted ones of the joint table."""
+    g = ["comparison", "metric"]
+    d = AG.rank_correlation(AG.joint_table(_pairs_df(spark, sf_dir), g), g)
+    return d.groupBy(*g).agg(F.sum("n").alias("n"), AG.spearman_expr().alias("spearman"))
+
+
+# ------------------------------------------------------------ calibration
+
+#: Two annotators of the closed lines, the second one on some; the model is the score table (errors on
+#: unscored lines), the re-test a second run that failed on other lines.
+HUMAN = {"ai_exposure_annot1": "l_discount * 10", "ai_exposure_annot2": "CASE WHEN l_tax <= 0.06 THEN l_tax * 12.5 END",
+         "automation_annot1": "l_tax * 10", "automation_annot2": "CASE WHEN l_tax <= 0.06 THEN l_discount * 10 END",
+         "augmentation_annot1": "1 - l_discount * 10"}
+AGAIN = {"AI_EXPOSURE_SCORE": "l_tax * 12.5", "AUTOMATION_SCORE": "l_tax * 10", "AUGMENTATION_SCORE": "1 - l_tax * 12.5"}
+CALIBRATED = {"ai_exposure": "AI_EXPOSURE_SCORE", "automation": "AUTOMATION_SCORE", "augmentation": "AUGMENTATION_SCORE"}
+SECOND_RUN = "NOT (l_returnflag = 'N' AND l_tax <= 0.01)"
+
+
+def _human(spark, sf_dir):
+    li = S.read(spark, sf_dir, "lineitem").filter("l_linestatus = 'F'")
+    return li.select(*S.task_key(), *[F.expr(v).alias(k) for k, v in HUMAN.items()])
+
+
+def _model(spark, sf_dir):
+    li = S.read(spark, sf_dir, "lineitem")
+    ok = S.scored_flag()
+    return li.select(*S.task_key(), F.when(ok, F.col("l_discount") * 10).alias("AI_EXPOSURE_SCORE"),
+                     F.when(ok, F.col("l_tax") * 10).alias("AUTOMATION_SCORE"),
+                     F.when(ok, 1 - F.col("l_discount") * 10).alias("AUGMENTATION_SCORE"),
+                     F.when(~ok, F.lit("timeout")).alias("ERROR_MESSAGE"))
+
+
+def _calibration_pairs_sql():
+    k = "l_orderkey, l_linenumber, l_suppkey, l_shipdate, l_partkey"
+    human = f"SELECT {k}, {', '.join(f'{v} AS {n}' for n, v in HUMAN.items())} FROM lineitem WHERE l_linestatus = 'F'"
+    model = (f"SELECT {k}, l_discount * 10 AS m_ai_exposure, l_tax * 10 AS m_automation, 1 - l_discount * 10 AS m_augmentation "
+             f"FROM lineitem WHERE {O.SCORED}")
+    again = (f"SELECT {k}, {', '.join(f'{v} AS r_{m}' for m, v in zip(CALIBRATED, AGAIN.values()))} "
+             f"FROM lineitem WHERE {SECOND_RUN}")
+    merged = f"SELECT * FROM ({human}) h JOIN ({model}) m USING ({k}) LEFT JOIN ({again}) a USING ({k})"
+    rows = []
+    for m in CALIBRATED:
+        raters = [n for n in HUMAN if n.startswith(m)]
+        mean = (f"CASE WHEN {' + '.join(f'({r} IS NOT NULL)::INT' for r in raters)} > 0 THEN "
+                + O.quotient(" + ".join(f"coalesce({U(r)}, 0)" for r in raters),
+                             f"({' + '.join(f'({r} IS NOT NULL)::INT' for r in raters)}) * 10000") + " END")
+        rows.append(f"SELECT 'human_model' AS comparison, '{m}' AS metric, {mean} AS x, m_{m} AS y FROM merged")
+        if len(raters) > 1:
+            rows.append(f"SELECT 'annotators', '{m}', {raters[0]}, {raters[1]} FROM merged")
+        rows.append(f"SELECT 'retest', '{m}', m_{m}, r_{m} FROM merged")
+    return f"WITH merged AS ({merged}) " + " UNION ALL ".join(rows)
+
+
+@query("calibration", agreement_sql(_calibration_pairs_sql(), ["comparison", "metric"]),
+       ids=("J14", "C09", "A21", "A22", "A23", "A24", "A25", "A26", "J15"))
+def q_calibration(spark, sf_dir):
+    """Rater x model, annotator x annotator and run x run, each side from its own relation."""
+    again = S.read(spark, sf_dir, "lineitem").filter(SECOND_RUN).select(
+        *S.task_key(), *[F.expr(v).alias(k) for k, v in AGAIN.items()])
+    return AG.calibration(_human(spark, sf_dir), _model(spark, sf_dir), again, S.TASK_KEYS, CALIBRATED)
+
+
+@query("swap_examples", f"""
+WITH d AS (SELECT l_returnflag AS comparison, l_orderkey AS TASK_ID, l_linenumber AS TASK_LINE, l_suppkey AS TASK_SOURCE,
+                  l_shipdate AS TASK_DATE, l_partkey AS OCC_CODE, {U('l_discount * 10')} - {U('l_tax * 12.5')} AS d1,
+                  {U('l_tax * 10')} - {U('l_discount * 10')} AS d2 FROM lineitem),
+f AS (SELECT *, row_number() OVER (PARTITION BY comparison ORDER BY TASK_ID, TASK_LINE, TASK_SOURCE, TASK_DATE, OCC_CODE) AS place
+      FROM d WHERE (d1 > 2500 AND d2 < -2500) OR (d1 < -2500 AND d2 > 2500))
+SELECT comparison, TASK_ID, TASK_LINE, TASK_SOURCE, TASK_DATE, OCC_CODE, d1 / 10000.0 AS difference_1,
+       d2 / 10000.0 AS difference_2, place::INTEGER AS place FROM f WHERE place <= 5""", ids=("A27",))
+def q_swap_examples(spark, sf_dir):
+    li = S.read(spark, sf_dir, "lineitem").select(
+        F.col("l_returnflag").alias("comparison"), *S.task_key(), (F.col("l_discount") * 10).alias("m1"),
+        (F.col("l_tax") * 12.5).alias("r1"), (F.col("l_tax") * 10).alias("m2"), (F.col("l_discount") * 10).alias("r2"))
+    return AG.swap_examples(li, ("m1", "r1"), ("m2", "r2"), S.TASK_KEYS, 5, 0.25, ["comparison"])

@@ -55,7 +55,7 @@ def scored_flag():
 TASK_KEYS = ("TASK_ID", "TASK_LINE", "TASK_SOURCE", "TASK_DATE", "OCC_CODE")
 
 
-def _task_key() -> list:
+def task_key() -> list:
     """Order, line, supplier, ship date and part name one line item (order and line
     don't)."""
     return [F.col(c).alias(k) for c, k in zip(("l_orderkey", "l_linenumber", "l_suppkey", "l_shipdate", "l_partkey"), TASK_KEYS)]
@@ -63,20 +63,20 @@ def _task_key() -> list:
 
 def statements(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All task statements: the task key with its occupation."""
-    return read(spark, sf_dir, "lineitem").select(*_task_key())
+    return read(spark, sf_dir, "lineitem").select(*task_key())
 
 
 def importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance of the rated statements: returned lines of closed orders."""
     li = read(spark, sf_dir, "lineitem").filter((F.col("l_linestatus") == "F") & (F.col("l_returnflag") == "R"))
-    return li.select(*_task_key(), F.col("l_quantity").alias("IMPORTANCE_RAW"))
+    return li.select(*task_key(), F.col("l_quantity").alias("IMPORTANCE_RAW"))
 
 
 def task_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The score table: one row per scored statement."""
     disc10, tax10 = F.col("l_discount") * 10, F.col("l_tax") * 10
     return read(spark, sf_dir, "lineitem").filter(scored_flag()).select(
-        *_task_key(), disc10.alias("AI_EXPOSURE_SCORE"), tax10.alias("AUTOMATION_SCORE"),
+        *task_key(), disc10.alias("AI_EXPOSURE_SCORE"), tax10.alias("AUTOMATION_SCORE"),
         (1 - disc10).alias("AUGMENTATION_SCORE"), (1 - tax10).alias("CONFIDENCE"))
 
 
