@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from indexkit.functions.bands import WAGE_BANDS, bands_frame
 from indexkit.operators.ranking import range_buckets
+from indexkit.sources.publish import folders
 
 
 def _col(c) -> Column:
@@ -35,6 +36,17 @@ def latest_slice(df: DataFrame, year_col: str = "DATA_YEAR", literal: bool = Tru
               .filter(F.col(year_col) == F.col("_max_year")).drop("_max_year"))
 
 
+def newest_partition(spark: SparkSession, path: str, col: str = "DATA_YEAR", columns: Sequence[str] | None = None) -> DataFrame:
+    """Rows of the newest ``col`` of a table partitioned by it on disk.  The value
+    comes from the folder names: no data and no footer is read for it, and the
+    scan is pruned to that one partition and to ``columns``."""
+    names = [f.split("=", 1)[1] for f in folders(spark, path) if f.startswith(f"{col}=")]
+    values = [int(n) for n in names if n.lstrip("-").isdigit()]
+    df = spark.read.parquet(path)
+    df = df.filter(F.col(col) == max(values)) if values else df.limit(0)
+    return df if columns is None else df.select(col, *columns)
+
+
 def slice_where(df: DataFrame, **predicates) -> DataFrame:
     """AND of equalities (scalar) and memberships (list/tuple/set)."""
     cond = F.lit(True)

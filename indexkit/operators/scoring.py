@@ -9,6 +9,7 @@ callable ``pandas.DataFrame -> pandas.DataFrame`` runs inside
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -17,6 +18,8 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from indexkit.functions.hashing import sha8, sha_hex
 from indexkit.operators.ranking import range_buckets
+from indexkit.session import written
+from indexkit.sources.publish import append_once, folders
 
 RESPONSE_FIELDS = ("ai_exposure_score", "automation_score", "augmentation_score", "confidence")
 RESPONSE_SCHEMA = StructType([StructField(f, DoubleType()) for f in RESPONSE_FIELDS]
@@ -117,6 +120,59 @@ def score_worklist(df: DataFrame, scorer: Callable, out_schema: StructType) -> D
     return df.mapInPandas(run, out_schema)
 
 
+class RunLedger:
+    """Scored batches of one run, each committed once.
+
+    A call to ``score`` is an attempt: the tasks without a success in earlier
+    attempts, dealt into batches by a hash of their key.  A batch is written
+    aside and committed by a rename to ``BATCH_ID=a<attempt>-b<batch>of<batches>``.
+    An attempt that broke off is resumed: its pending tasks depend on earlier
+    attempts only, so the missing batches are the same rows, and a batch that
+    was committed, even by a writer that is still running, can't be added again."""
+
+    def __init__(self, spark, path: str, run: str, keys: Sequence[str], error_col: str = "ERROR_MESSAGE"):
+        self.spark, self.keys, self.error_col = spark, list(keys), error_col
+        self.path = f"{path.rstrip('/')}/SCORING_RUN_ID={run}"
+
+    def committed(self) -> dict[tuple[int, int], set[int]]:
+        """(attempt, number of its batches) -> batches that are there."""
+        out: dict[tuple[int, int], set[int]] = {}
+        for name in folders(self.spark, self.path):
+            m = re.fullmatch(r"BATCH_ID=a(\d+)-b(\d+)of(\d+)", name)
+            if m:
+                out.setdefault((int(m[1]), int(m[3])), set()).add(int(m[2]))
+        return out
+
+    def rows(self, before: int | None = None) -> DataFrame | None:
+        """All committed rows (of attempts below ``before``); None if there are none."""
+        paths = [f"{self.path}/BATCH_ID=a{a}-b{k}of{n}" for (a, n), ks in sorted(self.committed().items())
+                 if before is None or a < before for k in sorted(ks)]
+        return self.spark.read.parquet(*paths) if paths else None
+
+    def score(self, worklist: DataFrame, scorer: Callable, out_schema: StructType, batches: int = 16) -> int:
+        """Score what is pending; returns the number of batches this call committed."""
+        seen = self.committed()
+        attempt, done = 0, set()
+        if seen:
+            (attempt, n), done = max(seen.items())
+            if len(done) == n:
+                attempt, done = attempt + 1, set()
+            else:
+                batches = n
+        earlier = self.rows(before=attempt)
+        todo = worklist if earlier is None else pending(worklist, earlier, self.keys, error_col=self.error_col)
+        todo = written(todo, "pending")
+        if not done and todo.isEmpty():
+            return 0
+        count = 0
+        for k in range(batches):
+            if k not in done:
+                part = todo.filter(F.pmod(F.xxhash64(*self.keys), F.lit(batches)) == k)
+                count += append_once(self.spark, self.path, score_worklist(part, scorer, out_schema),
+                                     f"a{attempt}-b{k}of{batches}", "BATCH_ID")
+        return count
+
+
 def stratified_sample(df: DataFrame, strata: Column, key: str, n: int, seed: int,
                       salt_buckets: int | None = None) -> DataFrame:
     """Proportional allocation k = max(1, round_half_even(n * size / total))
@@ -157,5 +213,5 @@ def annotation_sheet(sample: DataFrame, metrics: Sequence[str], annotators: int)
     return out.withColumn("annotator_notes", F.lit(""))
 
 
-__all__ = ["build_worklist", "render_prompt", "run_id", "with_run_metadata", "parse_score_response",
+__all__ = ["RunLedger", "build_worklist", "render_prompt", "run_id", "with_run_metadata", "parse_score_response",
            "pending", "score_worklist", "stratified_sample", "annotation_sheet", "sha8"]

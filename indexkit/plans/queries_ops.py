@@ -140,9 +140,9 @@ LATEST = f"(SELECT * FROM ({OEWS_SQL}) b WHERE DATA_YEAR = (SELECT max(DATA_YEAR
 
 @query("latest_slice", f"""
 SELECT DATA_YEAR, AREA_TYPE, COUNT(*) AS n, CAST(SUM(TOT_EMP) AS BIGINT) AS emp FROM {LATEST} l
-GROUP BY DATA_YEAR, AREA_TYPE""", ids=("P11", "J07"))
+GROUP BY DATA_YEAR, AREA_TYPE""", ids=("P11",))
 def q_latest_slice(spark, sf_dir):
-    d = REL.latest_slice(S.oews_like(spark, sf_dir), "DATA_YEAR")
+    d = S.newest_oews(spark, sf_dir)
     return d.groupBy("DATA_YEAR", "AREA_TYPE").agg(F.count(F.lit(1)).alias("n"),
                                                    F.sum("TOT_EMP").alias("emp"))
 
@@ -153,7 +153,7 @@ WHERE AREA_TYPE = '1' AND I_GROUP = 'cross-industry' AND OWN_CODE = '1235' AND O
   AND OCC_CODE IS NOT NULL
 GROUP BY OCC_CODE""", ids=("P12", "P09", "D02"))
 def q_slice_national(spark, sf_dir):
-    d = REL.latest_slice(S.oews_like(spark, sf_dir), "DATA_YEAR")
+    d = S.newest_oews(spark, sf_dir)
     d = REL.slice_where(d, AREA_TYPE="1", I_GROUP="cross-industry", OWN_CODE="1235", O_GROUP="detailed")
     return d.filter(F.col("OCC_CODE").isNotNull()).groupBy("OCC_CODE").agg(
         F.sum("TOT_EMP").alias("TOT_EMP"), F.max("A_MEDIAN").alias("A_MEDIAN"))
@@ -164,7 +164,7 @@ SELECT NAICS, OCC_CODE, CAST(SUM(TOT_EMP) AS BIGINT) AS TOT_EMP FROM {LATEST} l
 WHERE AREA_TYPE = '1' AND I_GROUP = 'sector' AND OWN_CODE = '5' AND O_GROUP = 'detailed'
 GROUP BY NAICS, OCC_CODE""", ids=("P12", "D03"))
 def q_slice_industry(spark, sf_dir):
-    d = REL.latest_slice(S.oews_like(spark, sf_dir), "DATA_YEAR")
+    d = S.newest_oews(spark, sf_dir)
     d = REL.slice_where(d, AREA_TYPE="1", I_GROUP="sector", OWN_CODE="5", O_GROUP="detailed")
     return d.groupBy("NAICS", "OCC_CODE").agg(F.sum("TOT_EMP").alias("TOT_EMP"))
 
@@ -176,7 +176,7 @@ WHERE AREA_TYPE IN ('2', '4', '6') AND I_GROUP = 'cross-industry' AND OWN_CODE =
   AND O_GROUP = 'detailed'
 GROUP BY 1, AREA, OCC_CODE""", ids=("P12", "P07", "D04"))
 def q_slice_region(spark, sf_dir):
-    d = REL.latest_slice(S.oews_like(spark, sf_dir), "DATA_YEAR")
+    d = S.newest_oews(spark, sf_dir)
     d = REL.slice_where(d, AREA_TYPE=["2", "4", "6"], I_GROUP="cross-industry", OWN_CODE="1235",
                         O_GROUP="detailed")
     d = d.withColumn("GRANULARITY", C.label_case("AREA_TYPE", C.GRANULARITY_LABELS))

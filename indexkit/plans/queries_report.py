@@ -77,7 +77,8 @@ FROM (
 @query("funnel", FUNNEL_SQL, ids=("A20", "D27"))
 def q_funnel(spark, sf_dir):
     o = S.oews_like(spark, sf_dir)
-    return PR.funnel(o, _funnel_steps(REL.max_value(o, "DATA_YEAR")))
+    years = S.newest_oews(spark, sf_dir).select("DATA_YEAR").limit(1).collect()
+    return PR.funnel(o, _funnel_steps(years[0][0] if years else None))
 
 
 @query("kpis", f"""

@@ -11,9 +11,9 @@ from indexkit.functions import clean as C
 from indexkit.functions.hashing import hash_score
 from indexkit.operators import scoring as SC
 from indexkit.plans import standins as S
-from indexkit.plans.queries_ops import DEDUP_SQL, LI_ORDER
-from indexkit.operators import relational as REL
 from indexkit.plans.registry import query
+from indexkit.session import written
+from indexkit.sources import ingest as I
 
 # Our own prompt template (placeholders are filled from columns).
 TEMPLATE = ("Task {{TASK_ID}} of occupation {{ONET_SOC_CODE}} "
@@ -23,47 +23,43 @@ FIELDS = ("TASK_ID", "ONET_SOC_CODE", "OCCUPATION_TITLE", "OCCUPATION_DESCRIPTIO
           "IMPORTANCE_RAW", "TASK_STATEMENT")
 
 
-def _worklist(spark, sf_dir):
-    """Statements with importance and occupation context.  In the stand-in a
-    statement and its importance rating are the same deduplicated line, so
-    the rating is taken from the row (the domain pipeline joins separate
-    tables with ``build_worklist``)."""
-    d = REL.dedupe_one(S.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LI_ORDER)
-    task_id = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-    st = d.select(task_id.alias("TASK_ID"), F.col("l_partkey").cast("string").alias("ONET_SOC_CODE"),
-                  F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit(" of order "),
-                           F.col("l_orderkey").cast("string")).alias("TASK_STATEMENT"),
-                  F.when(F.col("l_returnflag") == "A", F.lit("Core"))
-                   .when(F.col("l_returnflag") == "N", F.lit("Supplemental")).alias("TASK_TYPE"),
-                  F.when(F.col("l_linestatus") == "F", F.col("l_quantity")).alias("IMPORTANCE_RAW"))
-    # occupations without a context row exist in the domain (their prompt says
-    # "(not available)"); parts larger than 45 stand in for them
-    ctx = S.read(spark, sf_dir, "part").filter(F.col("p_size") <= 45).select(
+def task_id():
+    return F.concat_ws("-", *[F.col(c).cast("string") for c in ("l_orderkey", "l_linenumber", "l_suppkey")],
+                       F.date_format("l_shipdate", "yyyyMMdd"))
+
+
+def _worklist_tables(spark, sf_dir):
+    """Statements, importance and occupation context, each from its own scan;
+    order, line, supplier, ship date and part name a task."""
+    li = S.read(spark, sf_dir, "lineitem")
+    key = [task_id().alias("TASK_ID"), F.col("l_partkey").cast("string").alias("ONET_SOC_CODE")]
+    st = li.select(*key, F.concat(F.lit("line "), F.col("l_linenumber").cast("string"), F.lit(" of order "),
+                                  F.col("l_orderkey").cast("string")).alias("TASK_STATEMENT"),
+                   F.when(F.col("l_returnflag") == "A", F.lit("Core"))
+                    .when(F.col("l_returnflag") == "N", F.lit("Supplemental")).alias("TASK_TYPE"))
+    im = li.filter("l_linestatus = 'F'").select(*key, F.col("l_quantity").alias("IMPORTANCE_RAW"))
+    ctx = S.read(spark, sf_dir, "part").select(
         F.col("p_partkey").cast("string").alias("ONET_SOC_CODE"), F.col("p_name").alias("OCCUPATION_TITLE"),
         F.col("p_type").alias("OCCUPATION_DESCRIPTION"))
-    w = st.join(ctx, "ONET_SOC_CODE", "left")
-    return (w.withColumn("OCCUPATION_TITLE", F.coalesce("OCCUPATION_TITLE", F.lit("")))
-             .withColumn("OCCUPATION_DESCRIPTION", F.coalesce("OCCUPATION_DESCRIPTION", F.lit("")))
-             .withColumn("TASK_TYPE", F.coalesce(F.nullif(F.trim("TASK_TYPE"), F.lit("")), F.lit("n/a"))))
+    return st, im, ctx
+
+
+def _worklist(spark, sf_dir):
+    return SC.build_worklist(*_worklist_tables(spark, sf_dir))
 
 
+TASK_ID_SQL = ("CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-' || CAST(l_suppkey AS VARCHAR) "
+               "|| '-' || strftime(l_shipdate, '%Y%m%d')")
+
 WORKLIST_SQL = f"""
-WITH d AS ({DEDUP_SQL}),
-st AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS TASK_ID,
-              CAST(l_partkey AS VARCHAR) AS ONET_SOC_CODE,
+WITH st AS (SELECT {TASK_ID_SQL} AS TASK_ID, CAST(l_partkey AS VARCHAR) AS ONET_SOC_CODE,
               'line ' || CAST(l_linenumber AS VARCHAR) || ' of order ' || CAST(l_orderkey AS VARCHAR) AS TASK_STATEMENT,
-              CASE l_returnflag WHEN 'A' THEN 'Core' WHEN 'N' THEN 'Supplemental' END AS TASK_TYPE FROM d),
-im AS (SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS TASK_ID,
-              CAST(l_partkey AS VARCHAR) AS ONET_SOC_CODE, l_quantity AS IMPORTANCE_RAW
-       FROM d WHERE l_linestatus = 'F'),
-ctx AS (SELECT CAST(p_partkey AS VARCHAR) AS ONET_SOC_CODE, p_name AS OCCUPATION_TITLE,
-               p_type AS OCCUPATION_DESCRIPTION FROM part WHERE p_size <= 45)
+              CASE l_returnflag WHEN 'A' THEN 'Core' WHEN 'N' THEN 'Supplemental' END AS TASK_TYPE,
+              CASE WHEN l_linestatus = 'F' THEN l_quantity END AS IMPORTANCE_RAW FROM lineitem)
 SELECT st.TASK_ID, st.ONET_SOC_CODE, st.TASK_STATEMENT,
-       coalesce(nullif(trim(st.TASK_TYPE), ''), 'n/a') AS TASK_TYPE, im.IMPORTANCE_RAW,
-       coalesce(ctx.OCCUPATION_TITLE, '') AS OCCUPATION_TITLE,
-       coalesce(ctx.OCCUPATION_DESCRIPTION, '') AS OCCUPATION_DESCRIPTION
-FROM st LEFT JOIN im ON st.TASK_ID = im.TASK_ID AND st.ONET_SOC_CODE = im.ONET_SOC_CODE
-        LEFT JOIN ctx ON st.ONET_SOC_CODE = ctx.ONET_SOC_CODE"""
+       coalesce(nullif(trim(st.TASK_TYPE), ''), 'n/a') AS TASK_TYPE, st.IMPORTANCE_RAW,
+       coalesce(p_name, '') AS OCCUPATION_TITLE, coalesce(p_type, '') AS OCCUPATION_DESCRIPTION
+FROM st LEFT JOIN part ON st.ONET_SOC_CODE = CAST(p_partkey AS VARCHAR)"""
 
 
 @query("worklist", WORKLIST_SQL, ids=("C01", "J01"))
@@ -126,8 +122,15 @@ FROM r WHERE rn <= k ORDER BY h LIMIT 250"""
 
 
 def _sample(spark, sf_dir):
-    w = _worklist(spark, sf_dir).filter(F.col("IMPORTANCE_RAW").isNotNull())
-    s = SC.stratified_sample(w, C.major_group("ONET_SOC_CODE"), "TASK_ID", 250, 42)
+    """Only keys are sampled; the texts of the at most 250 chosen tasks are
+    fetched by a broadcast of those."""
+    st, im, ctx = _worklist_tables(spark, sf_dir)
+    keys = im.filter("IMPORTANCE_RAW IS NOT NULL").select("TASK_ID", "ONET_SOC_CODE")
+    chosen = written(SC.stratified_sample(keys, C.major_group("ONET_SOC_CODE"), "TASK_ID", 250, 42), "sample")
+    key = ["TASK_ID", "ONET_SOC_CODE"]
+    few = [d.join(F.broadcast(chosen.select(*key)), key, "left_semi") for d in (st, im)]
+    codes = ctx.join(F.broadcast(chosen.select("ONET_SOC_CODE").distinct()), "ONET_SOC_CODE", "left_semi")
+    s = SC.build_worklist(*few, codes).join(F.broadcast(chosen), key)
     return s.select("TASK_ID", "ONET_SOC_CODE", F.col("_stratum").alias("MAJOR_GROUP"), "OCCUPATION_TITLE",
                     "TASK_TYPE", F.format_string("%.2f", F.col("IMPORTANCE_RAW").cast("double")).alias("IMPORTANCE_RAW"),
                     "TASK_STATEMENT", "OCCUPATION_DESCRIPTION")
@@ -236,14 +239,32 @@ def offline_scorer(pdf: pd.DataFrame) -> pd.DataFrame:
     return out
 
 
-@query("score_worklist", None, ids=("C04", "C06", "J17", "S09"))
+def _scored_sql():
+    n = "length(PROMPT)"
+    base = f"(({n} % 97) / 96.0::DOUBLE)"
+    def four(x):
+        return f"CASE WHEN {n} % 17 <> 0 THEN round_even({x} * 10000.0::DOUBLE, 0) / 10000.0::DOUBLE END"
+    rid = SC.run_id("v2", "p1", TEMPLATE)
+    return f"""
+SELECT TASK_ID, ONET_SOC_CODE, {four(base)} AS AI_EXPOSURE_SCORE, {four(f"({base} * 0.5::DOUBLE)")} AS AUTOMATION_SCORE,
+       {four(f"(1.0::DOUBLE - {base})")} AS AUGMENTATION_SCORE, CASE WHEN {n} % 17 <> 0 THEN 0.8::DOUBLE END AS CONFIDENCE,
+       CASE WHEN {n} % 17 <> 0 THEN 'offline stand-in score' END AS RATIONALE,
+       CASE WHEN {n} % 17 = 0 THEN 'scorer error: empty response' END AS ERROR_MESSAGE, '{rid}' AS SCORING_RUN_ID,
+       'v2' AS RUBRIC_VERSION, '{rid.rsplit("_", 1)[1]}' AS RUBRIC_HASH, 'p1' AS PROMPT_VERSION, 'offline-stand-in' AS MODEL_ID
+FROM (SELECT *, {_prompt_sql()} AS PROMPT FROM ({WORKLIST_SQL}) w) p WHERE TASK_TYPE <> 'Core'"""
+
+
+@query("score_worklist", _scored_sql(), ids=("C04", "C06", "J17", "S09"))
 def q_score_worklist(spark, sf_dir):
     """Resume a run: tasks already scored without error (stand-in: return flag
-    'A') are skipped; the rest is scored batch-wise and tagged with the run."""
+    'A') are skipped; the rest is scored batch by batch into a run ledger, each
+    batch once, and tagged with the run."""
     w = SC.render_prompt(_worklist(spark, sf_dir), TEMPLATE, FIELDS)
     done = w.filter(F.col("TASK_TYPE") == "Core").select("TASK_ID", "ONET_SOC_CODE",
                                                          F.lit(None).cast("string").alias("ERROR_MESSAGE"))
-    todo = SC.pending(w, done, ["TASK_ID", "ONET_SOC_CODE"]).select("TASK_ID", "ONET_SOC_CODE", "PROMPT")
+    key = ["TASK_ID", "ONET_SOC_CODE"]
+    todo = SC.pending(w, done, key).select(*key, "PROMPT")
     rid = SC.run_id("v2", "p1", TEMPLATE)
-    scored = SC.score_worklist(todo, offline_scorer, SCORE_OUT)
-    return SC.with_run_metadata(scored, rid, "v2", rid.rsplit("_", 1)[1], "p1", "offline-stand-in")
+    ledger = SC.RunLedger(spark, I.work_dir(spark, "ledger"), rid, key)
+    ledger.score(todo, offline_scorer, SCORE_OUT, batches=4)
+    return SC.with_run_metadata(ledger.rows(), rid, "v2", rid.rsplit("_", 1)[1], "p1", "offline-stand-in")

@@ -17,20 +17,23 @@ from indexkit.plans import oracle as O
 from indexkit.plans import pipeline as P
 from indexkit.plans import standins as S
 from indexkit.plans.queries import occupation_index_df
-from indexkit.plans.queries_ops import DEDUP_SQL, LI_ORDER
+from indexkit.plans.queries_scoring import TASK_ID_SQL, task_id
 from indexkit.plans.registry import query
 from indexkit.schemas import (OCCUPATION_DATA_SCHEMA, SCORE_SCHEMA, TASK_RATING_SCHEMA,
                               TASK_STATEMENT_SCHEMA)
 from indexkit.sources import ingest as I
 
 
-def _soc(partkey, line):
-    """A detailed code like '0001616.06': the first 7 characters are the
-    occupation, the suffix varies by line (as 11-1011.00 / 11-1011.03)."""
-    return F.concat(F.lpad(partkey.cast("string"), 7, "0"), F.lit(".0"), line.cast("string"))
+def _soc():
+    """A detailed code like '0001616.06.12.19950301': the first 7 characters are
+    the occupation, the suffix (line, supplier, ship date) varies as in
+    11-1011.00 / 11-1011.03; with the order number it names one line item."""
+    return F.concat(F.lpad(F.col("l_partkey").cast("string"), 7, "0"), F.lit(".0"), F.col("l_linenumber").cast("string"), F.lit("."),
+                    F.col("l_suppkey").cast("string"), F.lit("."), F.date_format("l_shipdate", "yyyyMMdd"))
 
 
-SOC_SQL = "lpad(CAST(l_partkey AS VARCHAR), 7, '0') || '.0' || CAST(l_linenumber AS VARCHAR)"
+SOC_SQL = ("lpad(CAST(l_partkey AS VARCHAR), 7, '0') || '.0' || CAST(l_linenumber AS VARCHAR) || '.' "
+           "|| CAST(l_suppkey AS VARCHAR) || '.' || strftime(l_shipdate, '%Y%m%d')")
 
 
 def _write_tsv(df, path):
@@ -41,8 +44,8 @@ def _write_tsv(df, path):
 def _land_catalogue(spark, sf_dir):
     """Statements, ratings and occupation context as tab files, landed back."""
     root = I.work_dir(spark, "catalogue")
-    d = REL.dedupe_one(S.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LI_ORDER)
-    soc = _soc(F.col("l_partkey"), F.col("l_linenumber"))
+    d = S.read(spark, sf_dir, "lineitem")
+    soc = _soc()
     st = d.select(soc.alias("ONET_SOC_CODE"), F.col("l_orderkey").cast("string").alias("TASK_ID"),
                   F.concat(F.lit('Handle "line" '), F.col("l_linenumber").cast("string"), F.lit(", carefully"))
                    .alias("TASK"),
@@ -57,9 +60,11 @@ def _land_catalogue(spark, sf_dir):
                   *[F.lit("1").alias(c) for c in ("N", "STANDARD_ERROR", "LOWER_CI_BOUND", "UPPER_CI_BOUND")],
                   F.lit("N").alias("RECOMMEND_SUPPRESS"), F.lit("08/2023").alias("DATE_UPDATED"),
                   F.lit("Analyst").alias("DOMAIN_SOURCE"))
-    ctx = S.read(spark, sf_dir, "part").filter(F.col("p_size") <= 45).select(
-        F.concat(F.lpad(F.col("p_partkey").cast("string"), 7, "0"), F.lit(".01")).alias("ONET_SOC_CODE"),
-        F.col("p_name").alias("TITLE"), F.col("p_type").alias("DESCRIPTION"))
+    # detailed codes of first lines have a context row, the others none
+    p = S.read(spark, sf_dir, "part")
+    ctx = d.filter("l_linenumber = 1").select(soc.alias("ONET_SOC_CODE"), "l_partkey").distinct().join(
+        p, F.col("l_partkey") == F.col("p_partkey")).select(
+        "ONET_SOC_CODE", F.col("p_name").alias("TITLE"), F.col("p_type").alias("DESCRIPTION"))
     for name, df in (("statements", st), ("ratings", ra), ("occupations", ctx)):
         _write_tsv(df, os.path.join(root, name))
     rd = lambda n, s: I.read_delimited(spark, os.path.join(root, n), s, sep="\t", quote=None,
@@ -69,7 +74,6 @@ def _land_catalogue(spark, sf_dir):
 
 
 STG_TASKS_SQL = f"""
-WITH d AS ({DEDUP_SQL})
 SELECT CAST(l_orderkey AS BIGINT) AS TASK_ID, {SOC_SQL} AS ONET_SOC_CODE,
        lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS OCC_CODE,
        'Handle "line" ' || CAST(l_linenumber AS VARCHAR) || ', carefully' AS TASK_STATEMENT,
@@ -77,7 +81,7 @@ SELECT CAST(l_orderkey AS BIGINT) AS TASK_ID, {SOC_SQL} AS ONET_SOC_CODE,
        CASE WHEN l_linestatus = 'F' THEN CAST(printf('%.2f', l_quantity / 10) AS DOUBLE) END AS IMPORTANCE_RAW,
        CASE WHEN l_linestatus = 'F' THEN (CAST(printf('%.2f', l_quantity / 10) AS DOUBLE) - 1.0) / 4.0 END
          AS IMPORTANCE_NORM
-FROM d"""
+FROM lineitem"""
 
 
 @query("staging_tasks", STG_TASKS_SQL,
@@ -89,10 +93,9 @@ def q_staging_tasks(spark, sf_dir):
 
 
 @query("occupation_context", f"""
-WITH d AS ({DEDUP_SQL})
 SELECT {SOC_SQL} AS ONET_SOC_CODE, coalesce(p_name, '') AS OCCUPATION_TITLE,
        coalesce(p_type, '') AS OCCUPATION_DESCRIPTION
-FROM d LEFT JOIN part ON lpad(CAST(p_partkey AS VARCHAR), 7, '0') || '.01' = {SOC_SQL} AND p_size <= 45""",
+FROM lineitem LEFT JOIN part ON p_partkey = l_partkey AND l_linenumber = 1""",
        ids=("S15", "C01"))
 def q_occupation_context(spark, sf_dir):
     st, _ra, ctx = _land_catalogue(spark, sf_dir)
@@ -107,11 +110,11 @@ def _land_scores(spark, sf_dir):
     """Two scoring runs exported as CSV (quoted rationale with commas and
     quotes), appended to the run table one after the other."""
     root = I.work_dir(spark, "scores")
-    d = REL.dedupe_one(S.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LI_ORDER)
+    d = S.read(spark, sf_dir, "lineitem")
     err = (F.col("l_returnflag") == "R") & (F.col("l_tax") <= 0.03)
     base = d.select(
         F.concat(F.lit(" "), F.col("l_orderkey").cast("string")).alias("TASK_ID"),
-        _soc(F.col("l_partkey"), F.col("l_linenumber")).alias("ONET_SOC_CODE"),
+        _soc().alias("ONET_SOC_CODE"),
         F.when(~err, (F.col("l_discount") * 10).cast("string")).alias("AI_EXPOSURE_SCORE"),
         F.when(~err, (F.col("l_tax") * 10).cast("string")).alias("AUTOMATION_SCORE"),
         F.when(~err, (1 - F.col("l_discount") * 10).cast("string")).alias("AUGMENTATION_SCORE"),
@@ -121,6 +124,8 @@ def _land_scores(spark, sf_dir):
         F.lit("v2").alias("RUBRIC_VERSION"), F.lit("abcd1234").alias("RUBRIC_HASH"), F.lit("p1").alias("PROMPT_VERSION"),
         F.lit("model-x").alias("MODEL_ID"), F.lit("2024-05-01").alias("SCORED_AT"),
         F.when(err, F.lit("timeout")).alias("ERROR_MESSAGE"))
+    # the run wrote the closed lines twice, so staging has rows to drop
+    base = base.unionByName(base.filter("REVIEW_STATUS = 'reviewed'"))
     runs = os.path.join(root, "runs")
     for run in ("run_a", "run_b"):
         text = base.withColumn("SCORING_RUN_ID", F.lit(run)).select(*[c for c in SCORE_SCHEMA.names])
@@ -131,7 +136,6 @@ def _land_scores(spark, sf_dir):
 
 
 STG_SCORES_SQL = f"""
-WITH d AS ({DEDUP_SQL})
 SELECT CAST(l_orderkey AS BIGINT) AS TASK_ID, {SOC_SQL} AS ONET_SOC_CODE,
        lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS OCC_CODE,
        l_discount * 10 AS AI_EXPOSURE_SCORE, l_tax * 10 AS AUTOMATION_SCORE,
@@ -140,7 +144,7 @@ SELECT CAST(l_orderkey AS BIGINT) AS TASK_ID, {SOC_SQL} AS ONET_SOC_CODE,
        CASE WHEN l_linestatus = 'F' THEN 'reviewed' ELSE 'unreviewed' END AS REVIEW_STATUS,
        'run_b' AS SCORING_RUN_ID, 'v2' AS RUBRIC_VERSION, 'abcd1234' AS RUBRIC_HASH, 'p1' AS PROMPT_VERSION,
        'model-x' AS MODEL_ID
-FROM d WHERE NOT (l_returnflag = 'R' AND l_tax <= 0.03)"""
+FROM lineitem WHERE NOT (l_returnflag = 'R' AND l_tax <= 0.03)"""
 
 
 @query("staging_scores", STG_SCORES_SQL, ids=("S08", "S09", "D09", "J11", "P06", "P13", "P14", "W09"))
@@ -178,16 +182,13 @@ def q_group_triple(spark, sf_dir):
 
 
 @query("pilot", f"""
-SELECT CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS TASK_ID,
-       CAST(l_partkey AS VARCHAR) AS ONET_SOC_CODE
-FROM ({DEDUP_SQL}) d ORDER BY TASK_ID LIMIT 20""", ids=("T05",))
+SELECT TASK_ID, ONET_SOC_CODE FROM (SELECT {TASK_ID_SQL} AS TASK_ID, CAST(l_partkey AS VARCHAR) AS ONET_SOC_CODE FROM lineitem) w
+ORDER BY TASK_ID, ONET_SOC_CODE LIMIT 20""", ids=("T05",))
 def q_pilot(spark, sf_dir):
     """First-N pilot of the work-list: a total order on the task key (file
     order is not stable in Spark), then LIMIT."""
-    d = REL.dedupe_one(S.read(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"], LI_ORDER)
-    w = d.select(F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
-                 .alias("TASK_ID"), F.col("l_partkey").cast("string").alias("ONET_SOC_CODE"))
-    return w.orderBy("TASK_ID").limit(20)
+    w = S.read(spark, sf_dir, "lineitem").select(task_id().alias("TASK_ID"), F.col("l_partkey").cast("string").alias("ONET_SOC_CODE"))
+    return w.orderBy("TASK_ID", "ONET_SOC_CODE").limit(20)
 
 
 @query("vw_occupation_national", f"""
@@ -279,10 +280,32 @@ SELECT CAST(year(o_orderdate) AS INTEGER) AS DATA_YEAR, lpad(CAST(l_partkey AS V
        CASE WHEN l_linestatus = 'O' THEN 'broad' ELSE 'detailed' END AS O_GROUP,
        CAST(c_nationkey AS VARCHAR) AS AREA, c_mktsegment AS NAICS,
        CAST(l_quantity * 1000 AS BIGINT) AS TOT_EMP,
-       CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS A_MEDIAN, CAST(NULL AS DOUBLE) AS A_MEAN
+       CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS A_MEDIAN, 'title, with comma' AS OCC_TITLE,
+       'area' AS AREA_TITLE, 'XX' AS STATE, lower(c_mktsegment) AS INDUSTRY_TITLE,
+       """ + ", ".join(f"CAST(NULL AS DOUBLE) AS {c}" for c in ("A_MEAN", "H_MEAN", "H_MEDIAN", "A_PCT10", "A_PCT25", "A_PCT75", "A_PCT90")) + """
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 WHERE l_partkey <> 0""", ids=("D01", "S01", "S03", "S04", "P01", "P04", "P09", "U03"))
 def q_staging_oews(spark, sf_dir):
-    s = P.stg_oews(_land_oews(spark, sf_dir))
-    return s.select("DATA_YEAR", "OCC_CODE", "AREA_TYPE", "I_GROUP", "OWN_CODE", "O_GROUP", "AREA", "NAICS",
-                    "TOT_EMP", "A_MEDIAN", "A_MEAN")
+    return P.stg_oews(_land_oews(spark, sf_dir))
+
+
+SLICE_COLUMNS = ["OCC_CODE", "OCC_TITLE", "O_GROUP", "AREA", "AREA_TITLE", "AREA_TYPE", "STATE", "NAICS", "INDUSTRY_TITLE",
+                 "I_GROUP", "OWN_CODE", "TOT_EMP", "A_MEDIAN"]
+
+
+@query("newest_slice", f"""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS DATA_YEAR, lpad(CAST(l_partkey AS VARCHAR), 7, '0') AS OCC_CODE, 'title, with comma' AS OCC_TITLE,
+       CASE WHEN l_linestatus = 'O' THEN 'broad' ELSE 'detailed' END AS O_GROUP, CAST(c_nationkey AS VARCHAR) AS AREA,
+       'area' AS AREA_TITLE, left(o_orderpriority, 1) AS AREA_TYPE, 'XX' AS STATE, c_mktsegment AS NAICS,
+       lower(c_mktsegment) AS INDUSTRY_TITLE, CASE WHEN o_orderstatus = 'F' THEN 'cross-industry' ELSE 'sector' END AS I_GROUP,
+       CASE WHEN l_returnflag = 'N' THEN '1235' ELSE '5' END AS OWN_CODE, CAST(l_quantity * 1000 AS BIGINT) AS TOT_EMP,
+       CASE WHEN l_returnflag = 'R' THEN NULL ELSE l_extendedprice END AS A_MEDIAN
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+WHERE l_partkey <> 0 AND year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey WHERE l_partkey <> 0)""", ids=("S16", "P11"))
+def q_newest_slice(spark, sf_dir):
+    """13 columns of the newest year of the staged table, which is partitioned
+    by year on disk; the year comes from the folder listing."""
+    root = I.work_dir(spark, "staged")
+    P.stg_oews(_land_oews(spark, sf_dir)).write.partitionBy("DATA_YEAR").parquet(root)
+    return REL.newest_partition(spark, root, "DATA_YEAR", SLICE_COLUMNS)

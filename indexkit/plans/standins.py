@@ -145,7 +145,22 @@ def attach_area_titles(spark: SparkSession, sf_dir: str, df: DataFrame) -> DataF
     return j.withColumnRenamed("_t", "AREA_TITLE").withColumnRenamed("_s", "STATE").drop("_ty", "_k")
 
 
-def oews_like(spark: SparkSession, sf_dir: str) -> DataFrame:
+def newest_oews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``oews_like`` of its newest year.  The year is taken from ``orders`` alone
+    and becomes a date range on that scan; a year whose orders join nothing is
+    passed over."""
+    dates = read(spark, sf_dir, "orders").select("o_orderdate")
+    newest = dates.agg(F.max("o_orderdate")).first()[0]
+    while newest is not None:
+        year = newest.year
+        df = oews_like(spark, sf_dir, year)
+        if not df.isEmpty():
+            return df
+        newest = dates.filter(F.col("o_orderdate") < F.lit(f"{year}-01-01").cast("date")).agg(F.max("o_orderdate")).first()[0]
+    return oews_like(spark, sf_dir).limit(0)
+
+
+def oews_like(spark: SparkSession, sf_dir: str, year: int | None = None) -> DataFrame:
     """A typed OEWS-shaped relation (one row per line item) used by the slice
     and funnel operators: DATA_YEAR, AREA_TYPE, I_GROUP, OWN_CODE, O_GROUP,
     AREA, NAICS, OCC_CODE, TOT_EMP, A_MEDIAN.
@@ -158,6 +173,9 @@ def oews_like(spark: SparkSession, sf_dir: str) -> DataFrame:
                                                 "l_returnflag", "l_linestatus", "l_extendedprice")
     o = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate",
                                              "o_orderpriority", "o_orderstatus")
+    if year is not None:
+        o = o.filter((F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("date"))
+                     & (F.col("o_orderdate") < F.lit(f"{year + 1}-01-01").cast("date")))
     c = read(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     j = li.join(o, li.l_orderkey == o.o_orderkey).join(c, F.col("o_custkey") == c.c_custkey)
     return j.select(
