@@ -15,6 +15,15 @@ def value_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
     return df.groupBy(col).agg(F.count(F.lit(1)).alias(name))
 
 
+def ordered_counts(df: DataFrame, value: Column, order: Sequence[str], labels: dict[str, str]) -> DataFrame:
+    """Counts of the values named in ``order``, with their place there and their
+    label; values that do not occur are absent, as are those not named."""
+    places = F.create_map(*[F.lit(x) for k, v in enumerate(order, 1) for x in (v, k)])
+    names = F.create_map(*[F.lit(x) for v in order for x in (v, labels.get(v, v))])
+    counts = df.groupBy(value.alias("value")).agg(F.count(F.lit(1)).alias("n")).filter(F.col("value").isin(list(order)))
+    return counts.select(places[F.col("value")].alias("place"), "value", names[F.col("value")].alias("label"), "n").orderBy("place")
+
+
 def share_of_total(counts: DataFrame, value: str = "n", out: str = "pct", digits: int = 2) -> DataFrame:
     """Percent of the column total, on an already aggregated (small) frame:
     the total comes from a one-row aggregate cross-joined back."""

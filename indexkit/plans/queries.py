@@ -23,7 +23,7 @@ def occupation_index_df(spark: SparkSession, sf_dir: str, scores: DataFrame | No
 
 
 @query("occupation_index", O.occupation_index_sql(),
-       ids=("D17", "P17", "P18", "P19", "W01", "W03", "J04", "J06", "J10", "A01", "A02", "A03", "A04"))
+       ids=("D17", "P17", "P18", "P19", "W01", "W03", "J04", "J06", "J07", "J10", "A01", "A02", "A03", "A04"))
 def q_occupation_index(spark, sf_dir):
     return occupation_index_df(spark, sf_dir)
 

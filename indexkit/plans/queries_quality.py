@@ -394,10 +394,14 @@ SELECT OCC_CODE, OCC_TITLE, O_GROUP, TOT_EMP, A_MEAN, A_MEDIAN, WAGE_PERCENTILE,
        CASE WHEN WAGE_PERCENTILE >= 0.0 AND WAGE_PERCENTILE < 0.3333 THEN 'Low'
             WHEN WAGE_PERCENTILE >= 0.3333 AND WAGE_PERCENTILE < 0.6667 THEN 'Middle'
             WHEN WAGE_PERCENTILE >= 0.6667 AND WAGE_PERCENTILE < 1.01 THEN 'High' END AS WAGE_BAND,
-       AI_EXPOSURE, WEIGHTED_EXPOSURE, EXPOSURE_RANK,
+       AI_EXPOSURE, WEIGHTED_EXPOSURE, EXPOSURE_RANK, '99' AS AREA, 'US' AS STATE, p_type AS NAICS, lower(p_type) AS INDUSTRY_TITLE,
        CASE WHEN AI_EXPOSURE IS NOT NULL THEN 'PLACEHOLDER_ONET_IMPORTANCE_PROXY' END AS EXPOSURE_SOURCE
-FROM r""", ids=("D16", "W02", "J04", "J06"))
+FROM r JOIN part ON p_partkey = OCC_CODE""", ids=("D16", "W02", "J04", "J06"))
 def q_placeholder_fact(spark, sf_dir):
     from indexkit.operators.rollup import placeholder_index
     ph = placeholder_index(S.task_statements(spark, sf_dir), weight_scale=S.WEIGHT_SCALE, norm_range=S.NORM_RANGE)
-    return ix.build_placeholder_fact(S.base_occupations(spark, sf_dir), ph)
+    base = S.base_occupations(spark, sf_dir)
+    p = S.read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("OCC_CODE"), F.lit("99").alias("AREA"), F.lit("US").alias("STATE"),
+        F.col("p_type").alias("NAICS"), F.lower("p_type").alias("INDUSTRY_TITLE"))
+    return ix.build_placeholder_fact(base.join(p, "OCC_CODE"), ph, extra=("AREA", "STATE", "NAICS", "INDUSTRY_TITLE"))

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from indexkit.operators import agreement as AG
 from indexkit.operators import profile as PR
+from indexkit.operators import quality as Q
 from indexkit.operators import relational as REL
 from indexkit.plans import index as ix
 from indexkit.plans import oracle as O
 from indexkit.plans import standins as S
 from indexkit.plans.queries import occupation_index_df
 from indexkit.plans.queries_ops import OEWS_SQL
+from indexkit.plans.queries_quality import BASE_RULES_SQL, INDEX_RULES_SQL, base_rules, index_rules, published_tables
 from indexkit.plans.registry import query
 
 U = O.units
@@ -26,6 +28,23 @@ def q_value_counts(spark, sf_dir):
     return PR.value_counts(S.read(spark, sf_dir, "part"), "p_brand")
 
 
+_RULES_SQL = f"{BASE_RULES_SQL} UNION ALL {INDEX_RULES_SQL}"
+GROUP_ORDER = ("total", "major", "minor", "broad", "detailed")
+GROUP_LABELS = {"total": "All occupations", "major": "Major groups", "minor": "Minor groups", "broad": "Broad occupations",
+                "detailed": "Detailed occupations"}
+
+
+@query("ordered_counts", f"""
+SELECT CASE l_linestatus WHEN 'O' THEN 4 ELSE 5 END AS place, CASE l_linestatus WHEN 'O' THEN 'broad' ELSE 'detailed' END AS value,
+       CASE l_linestatus WHEN 'O' THEN 'Broad occupations' ELSE 'Detailed occupations' END AS label, COUNT(*) AS n
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+                           JOIN customer ON o_custkey = c_custkey) GROUP BY 1, 2, 3""", ids=("A17", "D27"))
+def q_ordered_counts(spark, sf_dir):
+    """Occupation levels of the newest year, in their fixed order and with labels."""
+    return PR.ordered_counts(S.newest_oews(spark, sf_dir), F.lower("O_GROUP"), GROUP_ORDER, GROUP_LABELS)
+
+
 @query("share", f"""
 SELECT p_type, COUNT(*) AS n, {O.ratio("COUNT(*) * 100", "SUM(COUNT(*)) OVER ()", 2)} AS pct
 FROM part GROUP BY p_type""", ids=("A19",))
@@ -89,12 +108,17 @@ SELECT (SELECT COUNT(DISTINCT OCC_CODE) FROM ({OEWS_SQL}) o
        (SELECT COUNT(*) FROM lineitem) AS task_statements,
        (SELECT {O.ratio("COUNT_IF(EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey)) * 100",
                         "COUNT(*)", 0)} FROM part) AS match_pct,
+       (SELECT COUNT_IF(STATUS = 'PASS') || '/' || COUNT(*) || ' pass' FROM ({_RULES_SQL}) r) AS quality_checks,
        (SELECT COUNT(DISTINCT year(o_orderdate)) FROM orders) AS data_years""", ids=("A29", "J12", "D27"))
 def q_kpis(spark, sf_dir):
     o = S.oews_like(spark, sf_dir)
     det = REL.slice_where(o, AREA_TYPE="1", I_GROUP="cross-industry", OWN_CODE="1235", O_GROUP="detailed")
     a = det.agg(F.count_distinct("OCC_CODE").alias("detailed_occupations"))
-    b = occupation_index_df(spark, sf_dir).agg(F.sum(F.col("TOT_EMP").cast("bigint")).alias("total_employment"))
+    tables = published_tables(spark, sf_dir)
+    b = tables["index"].agg(F.sum(F.col("TOT_EMP").cast("bigint")).alias("total_employment"))
+    rules = Q.union_results(base_rules(spark, sf_dir, tables), index_rules(spark, sf_dir, tables))
+    q = rules.agg(F.concat(F.count_if(F.col("STATUS") == "PASS").cast("string"), F.lit("/"),
+                           F.count(F.lit(1)).cast("string"), F.lit(" pass")).alias("quality_checks"))
     li = S.read(spark, sf_dir, "lineitem")
     c = li.agg(F.count(F.lit(1)).alias("task_statements"))
     p = S.read(spark, sf_dir, "part").select("p_partkey")
@@ -104,7 +128,7 @@ def q_kpis(spark, sf_dir):
          .otherwise(F.round(F.col("_m").cast("decimal(20,0)") * 100 / F.col("_t").cast("decimal(20,0)"), 0)
                     .cast("double")).alias("match_pct"))
     e = S.read(spark, sf_dir, "orders").agg(F.count_distinct(F.year("o_orderdate")).alias("data_years"))
-    return a.crossJoin(b).crossJoin(c).crossJoin(d).crossJoin(e)
+    return a.crossJoin(b).crossJoin(c).crossJoin(d).crossJoin(q).crossJoin(e)
 
 
 @query("load_summary", """
