@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import math
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -42,8 +44,19 @@ def parts(n_rows: int, per_part: int) -> int:
     return max(1, math.ceil(n_rows / per_part))
 
 
+def let_go() -> None:
+    """Give memory that a finished task has freed back to the machine: Python
+    workers stay for the next task, and allocators keep what they once had."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 #: Bytes of text that are Python strings at a time (one longer text alone).
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 2 << 20
 
 
 def text_slices(batches: Iterable[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
@@ -86,6 +99,7 @@ def with_columns_from_text(docs: DataFrame, make: Callable[[], tuple[Callable[[l
                                                  names=[*batch.schema.names, *(n for n, _ in added)])
         finally:
             free()
+            let_go()
     return kept.mapInArrow(run, schema)
 
 

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from indexkit.llm.common import may_match, shielded, stored, text_slices, whole_groups, without_keys
+from indexkit.llm.common import let_go, may_match, shielded, stored, text_slices, whole_groups, without_keys
 from indexkit.llm.components import components, local_roots
 
 WORDS = 5
@@ -185,6 +185,8 @@ def text_classes(docs: DataFrame) -> DataFrame:
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary())],
                 names=["doc_id", "mark", "cls", "n", "sig"])
+        del shingles
+        let_go()
     return stored(_marked_docs(docs).mapInArrow(run, "doc_id long, mark long, cls binary, n long, sig binary"), "nj-docs")
 
 
@@ -223,6 +225,7 @@ def candidate_edges(members: DataFrame, classes: DataFrame) -> DataFrame:
                 node = np.flatnonzero(root != np.arange(len(frame)))
                 cls = frame["cls"].to_numpy()
                 yield pd.DataFrame({"a": cls[node], "b": cls[root[node]]})
+        let_go()
     return dealt.select("bucket", "b1", "b2", "side", "cls", "sig").mapInPandas(run, "a binary, b binary")
 
 
@@ -283,6 +286,7 @@ def verified(groups: DataFrame) -> DataFrame:
                 roots[rows] = local + at
             keep = texts > 0
             yield pd.DataFrame({"cls": cls[keep], "texts": texts[keep], "docs": docs[keep], "root": cls[roots[keep]]})
+        let_go()
     return dealt.select("root", "b1", "b2", "side", "cls", "copies", "shingles") \
         .mapInPandas(run, "cls binary, texts long, docs long, root binary")
 
@@ -352,6 +356,8 @@ def with_shingles(docs: DataFrame, wanted: DataFrame, twice: DataFrame) -> DataF
             sets = [shingles(t).tobytes() for t in found]
             yield pa.RecordBatch.from_arrays([batch.column("root"), batch.column("cls"), batch.column("copies"),
                                               pa.array(sets, pa.binary())], names=["root", "cls", "copies", "shingles"])
+        del shingles
+        let_go()
     return stored(texts.mapInArrow(run, "root binary, cls binary, copies long, shingles binary"), "nj-sets")
 
 
