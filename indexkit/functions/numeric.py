@@ -22,6 +22,12 @@ WHOLE = DecimalType(38, 0)
 # value's part above and below SPLIT.  They stay fast and hold while the weights
 # of a group sum to less than 9e15; beyond that Spark raises, never wraps.
 SPLIT = 1000
+# Values with up to twelve decimals are split higher; weights may then sum to 9e12.
+FINE_SPLIT = 10 ** 6
+
+
+def split_of(value_scale: int) -> int:
+    return SPLIT if value_scale <= 6 else FINE_SPLIT
 
 
 def _col(c) -> Column:
@@ -47,14 +53,14 @@ def exact_ratio(num, den, digits: int = 4, zero=None) -> Column:
     return F.when(d == 0, F.lit(float(zero))).otherwise(q)
 
 
-def split_sums(weight: Column, value: Column, name: str) -> list[Column]:
+def split_sums(weight: Column, value: Column, name: str, split: int = SPLIT) -> list[Column]:
     """Aggregates of the exact sum of weight x value, in two parts."""
-    return [F.sum(weight * F.call_function("div", value, F.lit(SPLIT))).alias(f"{name}_hi"),
-            F.sum(weight * (value % F.lit(SPLIT))).alias(f"{name}_lo")]
+    return [F.sum(weight * F.call_function("div", value, F.lit(split))).alias(f"{name}_hi"),
+            F.sum(weight * (value % F.lit(split))).alias(f"{name}_lo")]
 
 
-def split_total(name: str) -> Column:
-    return F.col(f"{name}_hi").cast(WHOLE) * F.lit(SPLIT).cast("decimal(4,0)") + F.col(f"{name}_lo").cast(WHOLE)
+def split_total(name: str, split: int = SPLIT) -> Column:
+    return F.col(f"{name}_hi").cast(WHOLE) * F.lit(split).cast("decimal(7,0)") + F.col(f"{name}_lo").cast(WHOLE)
 
 
 def div0(num, den, digits: int = 4) -> Column:

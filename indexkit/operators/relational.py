@@ -114,6 +114,15 @@ def band_join(df: DataFrame, value_col: str, bands: DataFrame | Sequence = WAGE_
     return j.drop("_lo", "_hi")
 
 
+def membership(wanted: DataFrame, known: DataFrame, key: str) -> DataFrame:
+    """One row: distinct ids ``listed`` in ``wanted``, ``found`` among ``known`` and
+    ``missing`` there."""
+    ids = wanted.select(key).filter(F.col(key).isNotNull()).distinct()
+    there = known.select(F.col(key).alias("_k")).distinct()
+    j = ids.join(there, F.col(key) == F.col("_k"), "left")
+    return j.agg(F.count(F.lit(1)).alias("listed"), F.count("_k").alias("found"), F.count_if(F.col("_k").isNull()).alias("missing"))
+
+
 def semi(left: DataFrame, right: DataFrame, on) -> DataFrame:
     return left.join(right, on, "left_semi")
 

@@ -1,7 +1,8 @@
 """Weighted rollups with coverage.
 
 All sums run on scaled integers ("units"): a value with at most ``s``
-decimals becomes ``v * 10**s`` as BIGINT (more decimals are an error).  Integer
+decimals becomes ``v * 10**s`` as BIGINT (more decimals are an error; with twelve
+decimals every double from 0 to 1 passes, as its own precision ends there).  Integer
 sums are exact, order independent and stay in Spark's fast long-backed
 aggregation buffers; product sums are kept in two parts, so large weights
 don't overflow them (wide DECIMAL sums would fall back to BigDecimal objects).  Division happens once
@@ -19,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from indexkit.functions.numeric import WHOLE, div0, exact_ratio, quotient_key, split_sums, split_total
+from indexkit.functions.numeric import WHOLE, div0, exact_ratio, quotient_key, split_of, split_sums, split_total
 
 
 def _col(c) -> Column:
@@ -73,7 +74,7 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
             F.sum(F.when(F.col(f"_v_{cov_m}").isNotNull(), w).otherwise(F.lit(0))).alias("_ws")]
     for m in metrics:
         v = F.col(f"_v_{m}")
-        aggs += split_sums(w, v, f"_n_{m}")
+        aggs += split_sums(w, v, f"_n_{m}", split_of(value_scale))
         aggs.append(F.sum(F.when(v.isNotNull(), w).otherwise(F.lit(0))).alias(f"_d_{m}"))
     g = lean.groupBy(*keys, *labels).agg(*aggs)
     if labels:
@@ -86,9 +87,9 @@ def weighted_rollup(df: DataFrame, keys: Sequence[str], weight: str, metrics: Se
     out = [*keys, *labels, total.alias(total_name), F.col(count_name),
            div0("_ws", "_wt", digits if coverage_digits is None else coverage_digits).alias(coverage_name)]
     for m in metrics:
-        out.append(exact_ratio(split_total(f"_n_{m}"), F.col(f"_d_{m}").cast(WHOLE) * scale, digits).alias(m))
+        out.append(exact_ratio(split_total(f"_n_{m}", split_of(value_scale)), F.col(f"_d_{m}").cast(WHOLE) * scale, digits).alias(m))
     if unrounded:
-        out.append(quotient_key(split_total(f"_n_{unrounded}"), F.col(f"_d_{unrounded}")).alias("_unrounded"))
+        out.append(quotient_key(split_total(f"_n_{unrounded}", split_of(value_scale)), F.col(f"_d_{unrounded}")).alias("_unrounded"))
     return g.select(*out)
 
 
@@ -123,11 +124,11 @@ def task_rollup(tasks: DataFrame, key: str = "OCC_CODE", weight: str = "IMPORTAN
     ]
     for m in metrics:
         v = F.col(m)
-        aggs += split_sums(w, v, f"_n_{m}")
+        aggs += split_sums(w, v, f"_n_{m}", split_of(value_scale))
         aggs.append(F.sum(F.when(v.isNotNull(), w).otherwise(F.when(rated, F.lit(0)))).alias(f"_d_{m}"))
     if confidence:
         c = F.col("_c")
-        aggs.append(F.sum(F.when(rated, c)).alias("_conf_sum"))
+        aggs.append(F.sum(F.when(rated, c if value_scale <= 6 else c.cast("decimal(20,0)"))).alias("_conf_sum"))
         aggs.append(F.count(F.when(rated, c)).alias("_conf_cnt"))
     g = lean.groupBy(key).agg(*aggs)
     has_rated = F.col("_rated") > 0
@@ -150,7 +151,7 @@ def task_rollup(tasks: DataFrame, key: str = "OCC_CODE", weight: str = "IMPORTAN
         ph.alias("placeholder_exposure"),
     ]
     for m in metrics:
-        cols.append(exact_ratio(split_total(f"_n_{m}"), F.col(f"_d_{m}").cast(WHOLE) * F.lit(10 ** value_scale).cast(WHOLE), 4)
+        cols.append(exact_ratio(split_total(f"_n_{m}", split_of(value_scale)), F.col(f"_d_{m}").cast(WHOLE) * F.lit(10 ** value_scale).cast(WHOLE), 4)
                     .alias(f"occ_{m}"))
     if confidence:
         cols.append(exact_ratio(F.col("_conf_sum"), F.col("_conf_cnt") * F.lit(10 ** value_scale), 4)

@@ -256,7 +256,7 @@ class QualityFailure(RuntimeError):
 
 
 #: Changes when a table's definition does, so tables of older code are rebuilt.
-VERSION = "3"
+VERSION = "4"
 
 NO_SCORES = ("TASK_ID bigint, ONET_SOC_CODE string, AI_EXPOSURE_SCORE double, AUTOMATION_SCORE double, "
              "AUGMENTATION_SCORE double, CONFIDENCE double")
@@ -294,7 +294,8 @@ def steps_of(spark: SparkSession, years: list[int], min_coverage: float, mode: s
     def fact(f):
         now = mode or (ix.PLACEHOLDER if f["stg_scores"].isEmpty() else ix.REAL)
         base = f["stg_national"].select("OCC_CODE", "OCC_TITLE", "O_GROUP", "TOT_EMP", "A_MEAN", "A_MEDIAN")
-        return ix.build_index(base, index_tasks(f["stg_tasks"], f["stg_scores"]), min_coverage, now)
+        # scores are doubles of a text file: twelve decimals, so none ends a build
+        return ix.build_index(base, index_tasks(f["stg_tasks"], f["stg_scores"]), min_coverage, now, value_scale=12)
 
     def long(f):
         return ix.axis_long(f["industry_exposure_fact"], f["region_exposure_fact"], f["wage_band_exposure_fact"])

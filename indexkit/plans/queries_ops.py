@@ -242,13 +242,26 @@ def q_tasks_scored(spark, sf_dir):
 
 @query("semi_match", """
 SELECT p_partkey, p_name FROM part WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey)""",
-       ids=("J08", "J16"))
+       ids=("J08",))
 def q_semi_match(spark, sf_dir):
     p = S.read(spark, sf_dir, "part").select("p_partkey", "p_name")
     li = S.read(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("p_partkey"))
     return REL.semi(p, li, "p_partkey")
 
 
+@query("missing_ids", """
+SELECT COUNT(DISTINCT k) AS listed, COUNT(DISTINCT CASE WHEN k IN (SELECT c_custkey FROM customer) THEN k END) AS found,
+       COUNT(DISTINCT CASE WHEN k NOT IN (SELECT c_custkey FROM customer) THEN k END) AS missing
+FROM (SELECT o_custkey + l_linenumber AS k FROM orders JOIN lineitem ON l_orderkey = o_orderkey)""", ids=("J16",))
+def q_missing_ids(spark, sf_dir):
+    """How many of a list of ids exist, and how many don't."""
+    li = S.read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    o = S.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    wanted = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select((F.col("o_custkey") + F.col("l_linenumber")).alias("k"))
+    known = S.read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("k"))
+    return REL.membership(wanted, known, "k")
+
+
 @query("anti_left", """
 SELECT DISTINCT c_custkey FROM customer
 WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')""",

@@ -405,3 +405,28 @@ def q_placeholder_fact(spark, sf_dir):
         F.col("p_partkey").alias("OCC_CODE"), F.lit("99").alias("AREA"), F.lit("US").alias("STATE"),
         F.col("p_type").alias("NAICS"), F.lower("p_type").alias("INDUSTRY_TITLE"))
     return ix.build_placeholder_fact(base.join(p, "OCC_CODE"), ph, extra=("AREA", "STATE", "NAICS", "INDUSTRY_TITLE"))
+
+
+# ------------------------------------------------------------ index validation
+
+@query("index_invariants", f"""
+WITH i AS ({O.occupation_index_sql()}), r AS ({O.axis_region_sql()}), l AS ({O.axis_long_sql()})
+SELECT (SELECT COUNT(*) FROM i) AS occupations, (SELECT COUNT(DISTINCT OCC_CODE) FROM i) AS codes,
+       (SELECT min(AI_EXPOSURE) FROM i) AS exposure_min, (SELECT max(AI_EXPOSURE) FROM i) AS exposure_max,
+       (SELECT min(WAGE_PERCENTILE) FROM i) AS percentile_min, (SELECT max(WAGE_PERCENTILE) FROM i) AS percentile_max,
+       (SELECT COUNT(*) FROM i WHERE (SCORE_STATUS = 'SCORED') <> (AI_EXPOSURE IS NOT NULL)) AS status_mismatches,
+       (SELECT COUNT(DISTINCT t) FROM (SELECT SUM(TOTAL_EMP) AS t FROM r GROUP BY GRANULARITY)) AS granularity_totals,
+       (SELECT COUNT_IF(NOT (AI_EXPOSURE BETWEEN 0 AND 1) OR NOT (EMP_COVERAGE BETWEEN 0 AND 1)) FROM l) AS axis_cells_out,
+       (SELECT COUNT(*) FROM l) AS axis_cells""", ids=("C10", "Q07", "Q28"))
+def q_index_invariants(spark, sf_dir):
+    """What must hold of a published index and its axes, in one row."""
+    t = published_tables(spark, sf_dir)
+    i = t["index"].agg(
+        F.count(F.lit(1)).alias("occupations"), F.count_distinct("OCC_CODE").alias("codes"),
+        F.min("AI_EXPOSURE").alias("exposure_min"), F.max("AI_EXPOSURE").alias("exposure_max"),
+        F.min("WAGE_PERCENTILE").alias("percentile_min"), F.max("WAGE_PERCENTILE").alias("percentile_max"),
+        F.count_if((F.col("SCORE_STATUS") == "SCORED") != F.col("AI_EXPOSURE").isNotNull()).alias("status_mismatches"))
+    r = t["region"].groupBy("GRANULARITY").agg(F.sum("TOTAL_EMP").alias("t")).agg(F.count_distinct("t").alias("granularity_totals"))
+    out = ~F.col("AI_EXPOSURE").between(0, 1) | ~F.col("EMP_COVERAGE").between(0, 1)
+    cells = t["long"].agg(F.count_if(out).alias("axis_cells_out"), F.count(F.lit(1)).alias("axis_cells"))
+    return i.crossJoin(r).crossJoin(cells)

@@ -22,3 +22,17 @@ def test_keys_order_like_fractions(spark):
     rank = {k: r for r, k in enumerate(sorted({keys[i] for i in good}))}
     place = {v: r for r, v in enumerate(sorted(set(want.values())))}
     assert all(rank[keys[i]] == place[want[i]] for i in good)
+
+
+def test_scores_with_many_decimals_are_summed_exactly(spark):
+    """Doubles with up to twelve decimals: no abort, the mean of the exact values."""
+    from indexkit.operators.rollup import task_rollup
+    rng = random.Random(9)
+    rows = [("a", rng.randint(100, 500) / 100.0, rng.choice([0.123456789, 1 / 3, 0.1 + 0.2, 0.7, 1e-9, 1.0, 0.0])) for _ in range(200)]
+    df = spark.createDataFrame(rows, "OCC_CODE string, IMPORTANCE_RAW double, s double").selectExpr(
+        "*", "s AS AI_EXPOSURE_SCORE", "s AS AUTOMATION_SCORE", "1 - s AS AUGMENTATION_SCORE", "s AS CONFIDENCE")
+    got = task_rollup(df, value_scale=12).first()
+    total = sum(Fraction(round(w * 100)) for _, w, _ in rows)
+    mean = sum(Fraction(round(w * 100)) * Fraction(round(s * 10 ** 12)) for _, w, s in rows) / total / 10 ** 12
+    assert abs(got["occ_AI_EXPOSURE_SCORE"] - float(mean)) <= 0.0000501
+    assert abs(got["occ_confidence"] - sum(s for _, _, s in rows) / len(rows)) <= 0.0000501
