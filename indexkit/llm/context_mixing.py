@@ -142,10 +142,18 @@ def contexts(ids: np.ndarray, lengths: np.ndarray, n_common: int) -> np.ndarray:
         return np.stack([one * _M[0] + np.uint64(11), (one * _M[1] ^ two * _M[2]) + np.uint64(22), common * _M[3] + np.uint64(33)])
 
 
-def _slots(h: np.ndarray, node: np.ndarray, bits: int) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        x = (h ^ (node.astype(np.uint64) * _M[2])) * _M[0]
-        return ((x ^ (x >> np.uint64(29))) * _M[1] >> np.uint64(64 - bits)).astype(np.int64)
+def _slots(h: np.ndarray, mixed: np.ndarray, bits: int) -> np.ndarray:
+    """Slots of contexts ``h`` at tree nodes (``mixed`` by ``_mix``)."""
+    x = h ^ mixed
+    x *= _M[0]  # arrays wrap around without a warning
+    x ^= x >> np.uint64(29)
+    x *= _M[1]
+    x >>= np.uint64(64 - bits)
+    return x.view(np.int64)
+
+
+def _mix(node: np.ndarray) -> np.ndarray:
+    return node.astype(np.uint64) * _M[2]
 
 
 def predictors(n0: np.ndarray, n1: np.ndarray, trust: float = 1.5) -> np.ndarray:
@@ -210,6 +218,8 @@ class Mixer:
     def ready(self) -> "Mixer":
         if self._code is None:
             self._code = Code(self.weights)
+            self._mixed = _mix(self._code.node)
+            self._pairs = None if self.table is None else self.table.view(np.complex64).ravel()
             self._id = {w: k for k, w in enumerate(self.words)}
             self.end, self.other = len(self.words), len(self.words) + 1
             self.base = np.append(np.log10(self.counts.astype(np.float64) + 1), [0.0, 0.0])
@@ -227,9 +237,12 @@ class Mixer:
         for at in range(0, len(ids), 20_000):
             part = slice(at, at + 20_000)
             owner, flat = _spread(code.start[ids[part]], code.length[ids[part]])
-            node, bit = code.node[flat], code.bit[flat]
+            mixed, bit = self._mixed[flat], code.bit[flat]
             for k in range(3):
-                np.add.at(counts.reshape(-1), _slots(h[k, part][owner], node, TABLE_BITS) * 2 + bit, np.int32(1))
+                slots = _slots(h[k, part][owner], mixed, TABLE_BITS)
+                slots *= 2
+                slots += bit
+                np.add.at(counts.reshape(-1), slots, np.int32(1))
 
     def score(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Log10 probability of the symbols of each document."""
@@ -247,25 +260,31 @@ class Mixer:
             sym = ids[token]
             owner, flat = _spread(code.start[sym], code.length[sym])
             node, bit = code.node[flat], code.bit[flat]
-            sign = bit.astype(np.float32) * 2 - 1
+            sign = bit.astype(np.float32)
+            sign *= 2
+            sign -= 1
             doc = active[who[owner]]
-            static = code.static[node]
-            x = np.empty((4, len(node)), dtype=np.float32)
-            x[0] = static
+            static, mixed = code.static[node], self._mixed[flat]
             seen = token[owner]
-            gate = np.zeros(len(node), dtype=np.int64)
+            x = [static]
+            trust = []
             for k in range(3):
-                got = np.take(self.table, _slots(h[k][seen], node, TABLE_BITS), axis=0)
-                x[k + 1] = (got[:, 0] - static) * got[:, 1]
-                if k == 1:
-                    gate += 2 * ((got[:, 1] > 0).astype(np.int64) + (got[:, 1] > 0.75))
-                elif k == 0:
-                    gate += got[:, 1] > 0.9
+                got = self._pairs.take(_slots(h[k].take(seen), mixed, TABLE_BITS))  # logit and trust as one number
+                trust.append(got.imag)
+                x.append((got.real - static) * got.imag)
+            gate = (trust[1] > 0).view(np.int8) + (trust[1] > 0.75).view(np.int8)
+            gate *= 2
+            gate += (trust[0] > 0.9).view(np.int8)
             cell = doc * 6 + gate
-            z = np.clip(sum(x[k] * weight[k][cell] for k in range(4)), -14, 14)
-            p = 1 / (1 + np.exp(-z * sign))
-            bits += np.bincount(doc, weights=-np.log2(p), minlength=docs)
-            miss = (1 - p) * sign
+            z = x[0] * weight[0].take(cell)
+            for k in range(1, 4):
+                z += x[k] * weight[k].take(cell)
+            np.clip(z, -14, 14, out=z)
+            z *= sign
+            np.negative(z, out=z)
+            odds = np.exp(z, out=z)                      # (1 - p) / p of the coded bit
+            bits += np.bincount(doc, weights=np.log2(1 + odds), minlength=docs)
+            miss = odds / (1 + odds) * sign
             seen_bits = np.bincount(cell, minlength=docs * 6) + REACH
             for k in range(4):
                 weight[k] += (RATE * np.bincount(cell, weights=miss * x[k], minlength=docs * 6) / seen_bits).astype(np.float32)
@@ -297,7 +316,8 @@ def _spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
         node = node * np.uint64(2) + bit
     node, bit = np.concatenate(nodes), np.concatenate(bits).astype(np.int64)
     with np.errstate(over="ignore"):
-        slots = np.stack([_slots(np.tile(h, 8) * _M[3], node, SPELL_BITS) for h in hashes])
+        mixed = _mix(node)
+        slots = np.stack([_slots(np.tile(h, 8) * _M[3], mixed, SPELL_BITS) for h in hashes])
     return np.tile(owner, 8), slots, node, bit
 
 
