@@ -219,7 +219,6 @@ class Mixer:
         if self._code is None:
             self._code = Code(self.weights)
             self._mixed = _mix(self._code.node)
-            self._pairs = None if self.table is None else self.table.view(np.complex64).ravel()
             self._id = {w: k for k, w in enumerate(self.words)}
             self.end, self.other = len(self.words), len(self.words) + 1
             self.base = np.append(np.log10(self.counts.astype(np.float64) + 1), [0.0, 0.0])
@@ -247,6 +246,7 @@ class Mixer:
     def score(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Log10 probability of the symbols of each document."""
         code, h = self._code, contexts(ids, lengths, COMMON)
+        pairs = np.ascontiguousarray(self.table, dtype=np.float32).view(np.complex64).ravel()
         docs = len(lengths)
         begin = np.cumsum(lengths) - lengths
         bits = np.zeros(docs)
@@ -269,7 +269,7 @@ class Mixer:
             x = [static]
             trust = []
             for k in range(3):
-                got = self._pairs.take(_slots(h[k].take(seen), mixed, TABLE_BITS))  # logit and trust as one number
+                got = pairs.take(_slots(h[k].take(seen), mixed, TABLE_BITS))  # logit and trust as one number
                 trust.append(got.imag)
                 x.append((got.real - static) * got.imag)
             gate = (trust[1] > 0).view(np.int8) + (trust[1] > 0.75).view(np.int8)
