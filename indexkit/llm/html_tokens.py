@@ -28,6 +28,7 @@ _IN_P = INLINE | VOID - {"hr"} | RAW | {"button", "svg", "select", "option", "ob
 
 _TOKEN = re.compile(r"<(?:!--(?P<comment>)|(?P<end>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>=]|=\s*\"[^\"]*\"|=\s*'[^']*'|=)*+)>"
                     r"|(?P<odd>[!?/]))")
+_START = re.compile(r"<[a-zA-Z!?/]")
 _ATTR = re.compile(r"([^\s=/]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 _NUMBER = re.compile(r"\d+")
 
@@ -42,15 +43,13 @@ def tokens(page: str) -> Iterator[tuple[str, str, str]]:
     unclosed one reaches to the end of the page."""
     at, n = 0, len(page)
     while at < n:
-        m = _TOKEN.search(page, at)
+        c = _START.search(page, at)
+        if text := page[at:c.start() if c else n]:
+            yield "text", _html.unescape(text), ""
+        # one try a place: a tag that never ends takes the rest of the page
+        m = _TOKEN.match(page, c.start()) if c else None
         if m is None:
-            # no further markup, but a tag cut off by the page's end is no text
-            cut = re.search(r"<[a-zA-Z/!?]", page[at:])
-            if text := page[at:at + cut.start() if cut else n]:
-                yield "text", _html.unescape(text), ""
             return
-        if m.start() > at:
-            yield "text", _html.unescape(page[at:m.start()]), ""
         at = m.end()
         if m["comment"] is not None:
             stop = re.compile(r"--!?>").search(page, at - 2)

@@ -3,6 +3,7 @@
 import html
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +33,15 @@ def test_tokens():
     assert list(tokens("a<script>never closed <p>")) == [("text", "a", ""), ("start", "script", "")]
 
 
+@pytest.mark.parametrize("part", ["<a ", "<a x=\"", "<a x=' <b", "<!--", "</", "<script>", "<p><div>", "&am", "< a", "<p class='ad'>x"])
+def test_hostile_pages_take_linear_time(part):
+    page = part * (400_000 // len(part))
+    start = time.process_time()
+    html_extract.text_of(page, None)
+    assert time.process_time() - start < 20
+    html_extract.text_of(page + ">", None)
+
+
 def strip(item):
     return item[:3] + ([strip(x) for x in item[6]] if item[6] else [])
 
