@@ -145,8 +145,15 @@ def rater_mean(df: DataFrame, cols: Sequence[str], out: str = "rater_mean",
     for p in present:
         total = total + F.coalesce(p, F.lit(0))
         count = count + F.when(p.isNotNull(), 1).otherwise(0)
-    return df.withColumn("raters_present", count).withColumn(
-        out, F.when(F.col("raters_present") > 0, exact_ratio(total, F.col("raters_present") * F.lit(10000), digits)))
+    n = F.col("raters_present")
+    if digits <= 4:
+        # round(total / n, digits) in whole numbers, half-up: no decimals a row
+        low = n.cast("bigint") * F.lit(10 ** (4 - digits))
+        half_up = F.call_function("div", F.abs(total) * F.lit(2) + low, low * F.lit(2))
+        mean = (F.when(total < 0, -half_up).otherwise(half_up)).cast("double") / F.lit(float(10 ** digits))
+    else:
+        mean = exact_ratio(total, n * F.lit(10000), digits)
+    return df.withColumn("raters_present", count).withColumn(out, F.when(n > 0, mean))
 
 
 def swap_flags(df: DataFrame, m1: tuple[str, str], m2: tuple[str, str], threshold: float = 0.25,
