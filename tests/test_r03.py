@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import os
+import random
 import shutil
 
 import pytest
@@ -109,3 +110,30 @@ def test_axes_share_one_pass_over_the_lines(spark, monkeypatch, name):
     monkeypatch.setattr(S, "enriched_lines", lambda *a: calls.append(1) or whole(*a))
     assert entry.queries()[name](spark, SF).count() > 0
     assert len(calls) == 1
+
+
+def test_every_character_has_a_code_of_its_own():
+    from indexkit.llm import kneser_ney as KN
+    chars = list(range(ord("a"), ord("a") + 26)) + list(range(0x400, 0x500)) + list(range(0x4E00, 0x4E00 + 3000))
+    coder = KN.Coder(chars[:KN.ranked()])
+    points = [*chars, 0x10FFFF, 0x1F600, 0, 10]
+    codes = [tuple(coder.coded(chr(p)).tolist()) for p in points]
+    assert len(set(codes)) == len(points) and {len(c) for c in codes} == {1, 2, 3, 5}
+    assert all(0 < s < KN.SYMBOLS for c in codes for s in c)
+    assert not any(c[:n] in set(codes) for c in codes for n in range(1, len(c)))  # no code begins another
+    text = "".join(map(chr, points))
+    assert coder.coded(text).tolist() == [s for c in codes for s in c]
+
+
+def test_texts_in_a_minority_script_are_told_from_their_shuffles(spark):
+    from indexkit.llm import kneser_ney as KN
+    rng = random.Random(0)
+    greek = [chr(c) for c in range(0x3B1, 0x3C9)]
+    latin = "".join(chr(c) for c in range(33, 127))
+    words = ["".join(rng.choices(greek, k=4)) for _ in range(12)]
+    rows = [(latin * 6, 0)] * 20 + [(" ".join(rng.choices(words, k=30)), 0) for _ in range(20)]
+    model = KN.fit(spark.createDataFrame(rows, "text string, fold int"))[0]
+    usual = " ".join(rng.choices(words, k=30))
+    junk = " ".join("".join(rng.sample(w, len(w))) for w in usual.split(" "))
+    assert model.score(usual)[1] == model.score(junk)[1] == len(usual) + 1
+    assert model.score(usual)[0] > model.score(junk)[0] + 10
