@@ -39,6 +39,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -50,7 +51,10 @@ TABLE_BITS, SPELL_BITS = 21, 18
 SPELL_ORDER, SPELL_TRUST = 3, 3.0
 #: The commonest words that serve as the language-telling context.
 COMMON = 64
-TAKE_CHARS = 500_000
+#: Characters of text laid out at a time (a look-up of words has a cost of its own).
+TAKE_CHARS = 4_000_000
+#: Tokens whose contexts, and whose bits, are worked on at a time: their arrays stay in cache.
+GROUP, BLOCK = 80_000, 4_000
 #: Distinct words a task counts before it passes them on.
 HOLD_WORDS = 400_000
 #: Tokens after which a document's weights are refined, and from when on rarely.
@@ -121,6 +125,24 @@ def _spread(start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return owner, np.arange(len(owner)) - first[owner] + start[owner]
 
 
+def _flat(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """Flat positions of ``length`` items after each ``start``."""
+    flat = np.repeat(start - (np.cumsum(length) - length), length)
+    flat += np.arange(len(flat))
+    return flat
+
+
+def _blocks(take: np.ndarray, tokens: int) -> Iterator[tuple[int, int]]:
+    """Runs of documents of at most ``tokens`` tokens (or one document)."""
+    ends = np.cumsum(take)
+    lo = 0
+    while lo < len(take):
+        hi = int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + tokens, "right"))
+        hi = max(lo + 1, hi)
+        yield lo, hi
+        lo = hi
+
+
 # ---- contexts ------------------------------------------------------------------
 def contexts(ids: np.ndarray, lengths: np.ndarray, n_common: int) -> np.ndarray:
     """Hashes [3, T] of the contexts of every token of documents laid end to end."""
@@ -207,7 +229,6 @@ class Mixer:
     def __init__(self, words: list[bytes], counts: np.ndarray, weights: np.ndarray, table: np.ndarray | None):
         self.words, self.counts, self.weights, self.table = words, counts, weights, table
         self._code: Code | None = None
-        self._id: dict[bytes, int] = {}
 
     def __getstate__(self) -> tuple:
         return self.words, self.counts, self.weights, self.table
@@ -219,79 +240,112 @@ class Mixer:
         if self._code is None:
             self._code = Code(self.weights)
             self._mixed = _mix(self._code.node)
-            self._id = {w: k for k, w in enumerate(self.words)}
+            self._static = self._code.static[self._code.node]
+            self._sign = self._code.bit.astype(np.float32) * 2 - 1
+            self._set = pa.array(self.words, pa.large_binary())
             self.end, self.other = len(self.words), len(self.words) + 1
             self.base = np.append(np.log10(self.counts.astype(np.float64) + 1), [0.0, 0.0])
             first = list(_FIRST.values())
             self.first = np.array([first[k // 2] for k in range(6)], dtype=np.float32)
         return self
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        get, other = self._id.get, self.other
-        return np.fromiter([get(w, other) for w in words], dtype=np.int32, count=len(words))
+    def _pairs(self) -> np.ndarray:
+        """The table, each slot's two numbers as one."""
+        return np.ascontiguousarray(self.table, dtype=np.float32).view(np.complex64).ravel()
+
+    def ids(self, words: pa.Array) -> np.ndarray:
+        return pc.fill_null(pc.index_in(words, value_set=self._set), self.other).to_numpy()
 
     def count(self, ids: np.ndarray, lengths: np.ndarray, counts: np.ndarray) -> None:
         """Add the bits of documents to the slots of their contexts."""
-        code, h = self._code, contexts(ids, lengths, COMMON)
-        for at in range(0, len(ids), 20_000):
-            part = slice(at, at + 20_000)
-            owner, flat = _spread(code.start[ids[part]], code.length[ids[part]])
-            mixed, bit = self._mixed[flat], code.bit[flat]
+        ends = np.cumsum(lengths)
+        for lo, hi in _blocks(lengths, GROUP):
+            begin = ends[lo] - lengths[lo]
+            self._count_group(ids[begin:ends[hi - 1]], lengths[lo:hi], counts.reshape(-1))
+
+    def _count_group(self, ids: np.ndarray, lengths: np.ndarray, flat_counts: np.ndarray) -> None:
+        code, h, one = self._code, contexts(ids, lengths, COMMON), np.int32(1)
+        for at in range(0, len(ids), BLOCK):
+            part = slice(at, at + BLOCK)
+            length = code.length.take(ids[part])
+            flat = _flat(code.start.take(ids[part]), length)
+            mixed, bit = self._mixed.take(flat), code.bit.take(flat)
             for k in range(3):
-                slots = _slots(h[k, part][owner], mixed, TABLE_BITS)
+                slots = _slots(np.repeat(h[k, part], length), mixed, TABLE_BITS)
                 slots *= 2
                 slots += bit
-                np.add.at(counts.reshape(-1), slots, np.int32(1))
+                np.add.at(flat_counts, slots, one)
 
     def score(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Log10 probability of the symbols of each document."""
-        code, h = self._code, contexts(ids, lengths, COMMON)
-        pairs = np.ascontiguousarray(self.table, dtype=np.float32).view(np.complex64).ravel()
-        docs = len(lengths)
-        begin = np.cumsum(lengths) - lengths
-        bits = np.zeros(docs)
-        weight = [np.tile(self.first[:, k], docs) for k in range(4)]
-        at, turn = 0, 0
-        active = np.flatnonzero(lengths > 0)
-        while len(active):
-            step = SEGMENT if turn < EARLY else LONG_SEGMENT
-            take = np.minimum(lengths[active] - at, step)
-            who, token = _spread(begin[active] + at, take)
-            sym = ids[token]
-            owner, flat = _spread(code.start[sym], code.length[sym])
-            node, bit = code.node[flat], code.bit[flat]
-            sign = bit.astype(np.float32)
-            sign *= 2
-            sign -= 1
-            doc = active[who[owner]]
-            static, mixed = code.static[node], self._mixed[flat]
-            seen = token[owner]
-            x = [static]
-            trust = []
-            for k in range(3):
-                got = pairs.take(_slots(h[k].take(seen), mixed, TABLE_BITS))  # logit and trust as one number
-                trust.append(got.imag)
-                x.append((got.real - static) * got.imag)
-            gate = (trust[1] > 0).view(np.int8) + (trust[1] > 0.75).view(np.int8)
-            gate *= 2
-            gate += (trust[0] > 0.9).view(np.int8)
-            cell = doc * 6 + gate
-            z = x[0] * weight[0].take(cell)
-            for k in range(1, 4):
-                z += x[k] * weight[k].take(cell)
-            np.clip(z, -14, 14, out=z)
-            z *= sign
-            np.negative(z, out=z)
-            odds = np.exp(z, out=z)                      # (1 - p) / p of the coded bit
-            bits += np.bincount(doc, weights=np.log2(1 + odds), minlength=docs)
-            miss = odds / (1 + odds) * sign
-            seen_bits = np.bincount(cell, minlength=docs * 6) + REACH
-            for k in range(4):
-                weight[k] += (RATE * np.bincount(cell, weights=miss * x[k], minlength=docs * 6) / seen_bits).astype(np.float32)
-            at += step
+        ends = np.cumsum(lengths)
+        return np.concatenate([self._score_group(ids[ends[lo] - lengths[lo]:ends[hi - 1]], lengths[lo:hi])
+                               for lo, hi in _blocks(lengths, GROUP)])
+
+    def _score_group(self, ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        h = contexts(ids, lengths, COMMON)
+        pairs = self._pairs()
+        # the longest documents first: those with tokens left are always the first ones
+        order = np.argsort(-lengths, kind="stable")
+        begin, left = (np.cumsum(lengths) - lengths)[order], lengths[order]
+        bits = np.zeros(len(order))
+        weight = [np.tile(self.first[:, k], (len(order), 1)) for k in range(4)]
+        turn = 0
+        while len(left) and left[0] > 0:
+            take = np.minimum(left[:np.searchsorted(-left, 0)], SEGMENT if turn < EARLY else LONG_SEGMENT)
+            for lo, hi in _blocks(take, BLOCK):
+                goes_on = int(np.searchsorted(-left[lo:hi], -take[lo]))
+                bits[lo:hi] += self._score_block(ids, h, pairs, begin[lo:hi], take[lo:hi], goes_on, [w[lo:hi] for w in weight])
+            begin[:len(take)] += take
+            left[:len(take)] -= take
             turn += 1
-            active = active[lengths[active] > at]
-        return -bits * LOG10_2
+        result = np.empty(len(order))
+        result[order] = -bits * LOG10_2
+        return result
+
+    def _score_block(self, ids: np.ndarray, h: np.ndarray, pairs: np.ndarray, begin: np.ndarray, take: np.ndarray,
+                     goes_on: int, weight: list[np.ndarray]) -> np.ndarray:
+        """Bits of the next ``take`` tokens of some documents; refines in place the
+        ``weight`` of the first ``goes_on``, which have tokens left."""
+        code, docs = self._code, len(take)
+        token = _flat(begin, take)
+        sym = ids.take(token)
+        length = code.length.take(sym)
+        flat = _flat(code.start.take(sym), length)
+        static, sign, mixed = self._static.take(flat), self._sign.take(flat), self._mixed.take(flat)
+        x = [static]
+        trust = []
+        for k in range(3):
+            got = pairs.take(_slots(np.repeat(h[k].take(token), length), mixed, TABLE_BITS))  # logit and trust as one number
+            trust.append(got.imag)
+            logit = got.real - static
+            logit *= got.imag
+            x.append(logit)
+        gate = (trust[1] > 0).view(np.int8) + (trust[1] > 0.75).view(np.int8)
+        gate *= 2
+        gate += (trust[0] > 0.9).view(np.int8)
+        doc = np.repeat(np.repeat(np.arange(docs), take), length)
+        cell = doc * 6
+        cell += gate
+        z = x[0] * weight[0].take(cell)
+        for k in range(1, 4):
+            z += x[k] * weight[k].take(cell)
+        np.clip(z, -14, 14, out=z)
+        z *= sign
+        np.negative(z, out=z)
+        odds = np.exp(z, out=z)                      # (1 - p) / p of the coded bit
+        ends = np.cumsum(length)[np.cumsum(take) - 1]
+        bits = np.add.reduceat(np.log2(1 + odds), np.append(0, ends[:-1]), dtype=np.float64)
+        if goes_on:
+            n = int(ends[goes_on - 1])
+            cell, miss = cell[:n], odds[:n] / (1 + odds[:n]) * sign[:n]
+            seen_bits = np.bincount(cell, minlength=goes_on * 6) + REACH
+            lane = cell * 4 + np.arange(n) % 4  # neighbours add to sums of their own
+            for k in range(4):
+                total = np.bincount(lane, weights=miss * x[k][:n], minlength=goes_on * 24).reshape(-1, 4).sum(axis=1)
+                gain = RATE * total / seen_bits
+                weight[k][:goes_on] += gain.astype(np.float32).reshape(-1, 6)
+        return bits
 
 
 # ---- spelling of unseen words ------------------------------------------------------
@@ -362,16 +416,6 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("c"))
 
 
-def _documents(mixer: Mixer, texts: list[str]) -> Iterator[tuple[int, np.ndarray, list[bytes]]]:
-    """(text number, ids, words outside the dictionary) of bounded pieces of
-    texts; the last piece of a text ends with the end symbol."""
-    for k, text in enumerate(texts):
-        for words in pieces(text):
-            ids = mixer.ids(words)
-            yield k, ids, [words[i] for i in np.flatnonzero(ids == mixer.other).tolist()]
-        yield k, np.array([mixer.end], dtype=np.int32), []
-
-
 def _takes(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
     at = 0
     while at < len(texts):
@@ -384,12 +428,22 @@ def _takes(texts: list[str]) -> Iterator[tuple[int, list[str]]]:
 
 
 def _laid(mixer: Mixer, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[Counter]]:
-    ids, lengths, others = [], np.zeros(len(texts), dtype=np.int64), [Counter() for _ in texts]
-    for k, part, out in _documents(mixer, texts):
-        ids.append(part)
-        lengths[k] += len(part)
-        others[k].update(out)
-    return np.concatenate(ids), lengths, others
+    """Symbols of texts end to end, how many each has, and its words outside the
+    dictionary.  Words are those of ``pieces``."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(pa.array(texts, pa.large_string())))
+    words = split.flatten()
+    real = pc.greater(pc.binary_length(words), 0)  # white space at an end leaves an empty string
+    owner = pc.list_parent_indices(split).filter(real).to_numpy()
+    words = words.filter(real).cast(pa.large_binary())
+    symbol = mixer.ids(words)
+    lengths = np.bincount(owner, minlength=len(texts)) + 1
+    ids = np.full(int(lengths.sum()), mixer.end, dtype=np.int32)
+    ids[np.arange(len(symbol)) + owner] = symbol  # one end for each text before
+    others: list[Counter] = [Counter() for _ in texts]
+    out = np.flatnonzero(symbol == mixer.other)
+    for k, word in zip(owner[out].tolist(), words.take(pa.array(out)).to_numpy(zero_copy_only=False).tolist()):
+        others[k][word] += 1
+    return ids, lengths, others
 
 
 def context_counts(docs: DataFrame, mixer: Mixer) -> DataFrame:

@@ -222,6 +222,35 @@ def test_a_document_scores_the_same_alone_and_in_a_batch():
     assert np.allclose(together, alone, rtol=1e-4)
 
 
+def test_bits_are_worked_on_in_blocks_and_score_the_same(monkeypatch):
+    m, sizes, slots = _mixer(), [], context_mixing._slots
+    monkeypatch.setattr(context_mixing, "_slots", lambda h, *rest: sizes.append(len(h)) or slots(h, *rest))
+    rng = np.random.default_rng(1)
+    docs = [rng.integers(0, 6, n).astype(np.int32) for n in (*[96] * 400, 1, 97, 800, 5000)]
+    ids, lengths = np.concatenate(docs), np.array([len(d) for d in docs])
+    together = m.score(ids, lengths)
+    assert max(sizes) <= 4_000 * m._code.length.max() < 30_000
+    counts = np.zeros((1 << context_mixing.TABLE_BITS, 2), dtype=np.int32)
+    m.count(ids, lengths, counts)
+    assert counts.sum() == 3 * m._code.length[ids].sum()
+    monkeypatch.setattr(context_mixing, "BLOCK", 7)
+    monkeypatch.setattr(context_mixing, "GROUP", 90)
+    again = np.zeros_like(counts)
+    m.count(ids, lengths, again)
+    assert (again == counts).all() and np.allclose(m.score(ids, lengths), together, rtol=1e-9)
+
+
+def test_laid_out_words_are_those_of_pieces():
+    texts = ["", " ", "A b\x0bc\x0c\r d ", "\tÉ é\x85b\x1cb b", "b b\x00 x x y", "a" * 70 + "\n\n"]
+    m = _mixer()
+    ids, lengths, others = context_mixing._laid(m, texts)
+    number = {w: k for k, w in enumerate(m.words)}
+    words = [[w for part in context_mixing.pieces(t) for w in part] for t in texts]
+    assert ids.tolist() == [k for ws in words for k in [*(number.get(w, m.other) for w in ws), m.end]]
+    assert lengths.tolist() == [len(ws) + 1 for ws in words]
+    assert [dict(c) for c in others] == [{w: ws.count(w) for w in ws if w not in number} for ws in words]
+
+
 def test_spelling_is_a_distribution_over_short_words():
     counts = np.zeros((1 << context_mixing.SPELL_BITS, 2), dtype=np.int32)
     context_mixing.spell_counts([b"the", b"then", b"ten", b"a"], counts)
