@@ -50,6 +50,8 @@ from indexkit.llm.common import stored
 
 #: Characters of text gathered in a block, and chunks remembered in a task.
 BLOCK_CHARS, MEMO = 2_000_000, 400_000
+#: Block rows in a row group of the written blocks: a row holds megabytes.
+GROUP_BLOCKS = 2
 #: Documents gathered in a block, if they are short.
 BLOCK_DOCS = 50_000
 #: Characters of a text that are cut into chunks at a time.
@@ -363,7 +365,7 @@ def align(docs: DataFrame, path_a: str, path_b: str, block_chars: int = BLOCK_CH
     """Per document: doc_id, its tokens, groups and links, how many links have
     their A id's highest corpus-wide count (ties included), the sum of the
     links' counts, and the digest of its groups."""
-    made = stored(blocks(docs, path_a, path_b, block_chars), "aligned")
+    made = stored(blocks(docs, path_a, path_b, block_chars), "aligned", GROUP_BLOCKS)
     held = made.select("block", F.posexplode(F.arrays_zip("links", "link_docs")).alias("pos", "e")) \
         .select("block", "pos", F.col("e.links").alias("link"), F.col("e.link_docs").alias("docs"))
     counts = held.groupBy("link").agg(F.sum("docs").alias("n"))
